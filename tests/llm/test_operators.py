@@ -1,0 +1,218 @@
+"""The operators against brute force, round trips and held-out labels, with odd rows in each."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from tidegrid.llm import embeddings, lm, mixing, packing, passages, spotsigs, toxicity, urls, warc
+
+
+@pytest.fixture(scope="module")
+def prose():
+    r = random.Random(5)
+    words = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 8))) for _ in range(4000)]
+    return lambda n: " ".join(r.choice(["the", "of", "and"]) if r.random() < 0.3 else r.choice(words) for _ in range(n))
+
+
+def test_embeddings_match_brute_force(spark):
+    g = np.random.default_rng(2)
+    x = g.normal(size=(120, 64))
+    x[60:90] = x[:30] + 0.2 * g.normal(size=(30, 64))
+    x[90:100] = x[0]
+    rows = [(int(k), [float(e) for e in v]) for k, v in enumerate(x)] + [(500, None), (501, [0.0] * 64), (502, [float("nan")] + [1.0] * 63), (503, []), (504, [1.0, None])]
+    rows.append((500, None))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    near = u @ u.T >= 0.9
+    comp = list(range(len(x)))
+    for _ in range(4):
+        comp = [min(comp[j] for j in np.flatnonzero(near[i])) for i in range(len(x))]
+    got = {(r.vec_id, r.n_links, r.component_id, r.kept) for r in embeddings.link(df, tile=16).collect()}
+    want = {(i, int(near[i].sum()) - 1, comp[i], comp[i] == i) for i in range(len(x))} | {(k, 0, k, True) for k in range(500, 505)}
+    assert got == want
+    assert embeddings.link(df.limit(0)).collect() == []
+
+
+def test_spotsigs(spark, prose):
+    texts = [prose(80), None, "", "one", prose(300)]
+    texts += [texts[0], "日本語 の テキスト", texts[-1].replace("the", "The")]
+    rows = [(10 * k, t) for k, t in enumerate(texts)]
+    got = {r.doc_id: r for r in spotsigs.compare_edits(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert len(got) == len(rows)
+    for k, (d, t) in enumerate(rows):
+        t, after = t or "", rows[(k + 1) % len(rows)][1] or ""
+        cut = len(t) // 4
+        new = t[: len(t) - cut] + after[:cut]
+        a, b = set(spotsigs.signatures(t).tolist()), set(spotsigs.signatures(new).tolist())
+        assert got[d].n_chars == len(t)
+        assert got[d].near_edited == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
+    assert got[0].fingerprint == got[50].fingerprint
+    assert got[0].near_edited > 0.4 > 0.05 > got[0].near_next
+    small = spotsigs.with_next(spark.createDataFrame(rows, "doc_id long, text string"), bucket_rows=2).collect()
+    assert sum(not r.ahead for r in small) == len(rows)
+    pairs = {(r.a, r.b) for r in spotsigs.near_duplicates(spark.createDataFrame([(1, texts[4]), (2, texts[4] + " more"), (3, texts[0])], "doc_id long, text string")).collect()}
+    assert pairs == {(1, 2)}
+    assert spotsigs.compare_edits(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_toxicity_learns_gapped_insults(prose):
+    r = random.Random(3)
+    docs = []
+    for k in range(600):
+        words = prose(60).split()
+        y = int(k % 6 == 0)
+        if y:
+            words[r.randrange(60)] = r.choice(["zimbolt", "krunkfy", "vexhorn"])
+        docs.append((y, set(toxicity.encode(" ".join(words)).tobytes().split(b"\0")) - {b""}))
+    model = toxicity.fit(docs)
+    clean = [prose(60) for _ in range(40)]
+    for insult in ("zimbolt", "Zim-bolt!", "z i m b o l t", "zimxbolt", "z1mb0lt", "krunkfying"):
+        assert model.scores([clean[0] + " " + insult + " " + clean[1]])[0] >= 0.5, insult
+    assert (model.scores(clean) < 0.5).all()
+    assert (model.scores(["", " ", "...", "a b"]) < 0.5).all()
+    assert (toxicity.fit([]).scores(["x"]) < 0.5).all()
+
+
+def test_targets_and_apportionment():
+    assert mixing.targets({"a": 10, "b": 10, None: 10}) == {"a": 20.0, "b": pytest.approx(50 / 3), None: pytest.approx(25 / 3)}
+    claims, seats = [53.0, 24.0, 23.0, 0.0], 7
+    want, heap = [0] * 4, None
+    for _ in range(seats):
+        heap = max(range(4), key=lambda k: (claims[k] / (2 * want[k] + 1), -k))
+        want[heap] += 1
+    assert mixing.sainte_lague(claims, seats) == want
+    assert sum(mixing.sainte_lague([1e12, 3e12, 7.0], 10**9)) == 10**9
+    assert mixing.sainte_lague([], 3) == []
+
+
+def test_mixing(spark, prose):
+    rows = [(k, prose(5 + k % 90), f"s{k % 4}", 0) for k in range(400)] + [(900, None, "s0", None), (901, "", None, 0), (None, prose(50), None, 1), (5, prose(5), "s1", 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    plan = mixing.plan(mixing.sized(df)).collect()
+    assert len(plan) == len(rows)
+    assert all(0 <= r.taken <= 2 * r.size and r.taken == r.passes * r.size + sum(s.end - s.start for s in r.spans) for r in plan)
+    for s in {r.source for r in plan}:
+        mine = [r for r in plan if r.source == s]
+        assert sum(r.taken for r in mine) == pytest.approx(mine[0].target, abs=130, rel=0.02)
+    mixed = mixing.mix(df)
+    assert mixed.columns == df.columns
+    assert sum(len(r.text.split()) for r in mixed.collect()) == sum(r.taken for r in plan)
+    assert mixing.plan(mixing.sized(df.limit(0))).collect() == []
+
+
+def test_packing_is_a_round_trip(spark, prose):
+    from tokenizers import Tokenizer
+
+    texts = [None, "", " ", "a  b\n c \n", prose(3000), "x<|endoftext|>y", "\0 nul \0", "it's 12  3", "  lead", "tab\t x", "é\u00a0 ü\u2003 z", prose(20)] + [prose(k % 700) for k in range(60)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(1, ""), (None, "z")]
+    got = packing.pack(packing.pieces(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))).collect()
+    import public_tokenizers
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    for d, text in rows:
+        ids = [*t.encode(text or "", add_special_tokens=False).ids, 1]
+        mine = sorted((r for r in got if r.doc_id == d), key=lambda r: r.start)
+        if d == 1:
+            mine = mine[:1]
+        assert [r.doc_tokens for r in mine] == [len(ids)] * len(mine)
+        assert sum(r.length for r in mine) == len(ids)
+        for r in mine:
+            assert r.ids_crc32 == zlib.crc32(np.array(ids[r.start : r.start + r.length], "<u4").tobytes())
+    by: dict = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in by.values():
+        at = 0
+        for o, n in sorted(parts):
+            assert o == at
+            at += n
+        assert at <= 2048
+    assert packing.pack(packing.pieces(spark.createDataFrame([], "doc_id long, text string"))).collect() == []
+
+
+def test_warc_round_trip(spark):
+    r = random.Random(4)
+    big = "".join(chr(r.randrange(32, 1000)) for _ in range(3000))
+    rows = [(k, f"http://h/{k}", big if k % 5 == 0 else big[: 10 * k]) for k in range(200)] + [(None, None, big), (300, "u v", None), (300, "u v", None), (301, "x", "y" * 1000), (302, "x", "y" * 1000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    from hashlib import sha1
+
+    size = lambda h: len((h or "").encode())
+    top = lambda h: max((p for p, _, g in rows if (g or "") == (h or "") and p is not None), default=None)
+    want = sorted((str(p), size(h), sha1((h or "").encode()).hexdigest(), *(("revisit", top(h)) if size(h) >= 1000 and top(h) != p else ("response", None))) for p, _, h in rows)
+    for split in (100, 1 << 20):
+        got = warc.round_trip(spark, df.repartition(3), split=split).collect()
+        assert sorted((str(x.page_id), x.payload_bytes, x.payload_digest, x.record_type, x.refers_to) for x in got) == want
+        assert all(sha1(bytes(x.payload)).hexdigest() == x.payload_digest for x in got if x.record_type == "response")
+    assert warc.round_trip(spark, df.limit(0)).collect() == []
+
+
+def test_urls(spark):
+    link = '<a href="http://bad.example.org/x">x</a><a href="/own">y</a>'
+    rows = [(k, f"http://bad.Example.org/es/{k}", "") for k in range(9)] + [(9, "https://bad.example.org/fr/1", None)]
+    rows += [(20, "http://friend.example.net/x", link), (21, None, link), (22, "no host", None), (23, "x://a.com?q#z", None), (24, "x://a.com/en/1#z", None), (25, "x://example.com/en/7", None), (26, "x://notexample.com/en/7", None), (27, "x://q.example.net/de/8/?/de", None), (28, "x://net/de/8", None)]
+    got = {r.page_id: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows)
+    say = lambda k: (got[k].host, got[k].path, got[k].rule, got[k].verdict)
+    assert say(9) == ("bad.example.org", "/fr/1", None, "block")
+    assert say(20)[3] == "block" and got[20].distrust > 0.5
+    assert say(21) == ("", "", None, "allow") and say(22) == ("", "", None, "allow")
+    assert say(23) == ("a.com", "", None, "allow") and say(24)[2:] == ("com/en/", "block")
+    assert say(25)[2:] == ("example.com/en/7", "allow") and say(26)[2:] == ("com/en/", "block")
+    assert say(27)[2:] == ("example.net/de/8", "block") and say(28)[2:] == ("net/de/", "allow")
+    assert urls.judge(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_lm_prefers_the_target(spark, prose):
+    background = [(k, prose(100)) for k in range(60)]
+    target = [(k, " ".join(["rate", "of", "change", "in", "the", "field"] * 10)) for k in range(10)]
+    docs = background + [(100, target[0][1]), (101, None), (102, ""), (103, "unseen " * 4000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    model = lm.fit(spark.createDataFrame(target, "item_id long, text string"), frame)
+    got = {r.doc_id: r for r in lm.score(frame, model).collect()}
+    assert got[100].score < min(got[k].score for k, _ in background)
+    assert got[101].score == got[102].score == 0 and got[101].loss_target is None
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert lm.score(empty, lm.fit(empty, empty)).collect() == []
+    n = {bytes(r.word): r.n for r in lm.word_counts(frame).collect()}
+    assert n[b"unseen"] == 4000
+
+
+def test_passages(spark, prose):
+    p, q = prose(60), prose(200)
+    w = q.split()
+    for k in (40, 90, 150):
+        w[k] = "edited"
+    del w[120]
+    fuzzy = " ".join(w)
+    rows = [(1, prose(100) + " " + p + " " + prose(50)), (2, prose(30) + " " + p), (3, q), (4, prose(80) + "\n" + fuzzy + "\n" + prose(80)), (5, prose(300)), (6, prose(20)), (7, None), (8, ""), (None, q), (9, "line " * 400), (10, "line " * 400), (5, q)]
+    df = spark.createDataFrame([(d, t, "en", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, n_chars long")
+    got = {(r.doc_id, r.other_id): r for r in passages.find(df).collect()}
+    assert set(got) == {(2, 1), (4, 3), (5, 3), (10, 9)}
+    assert (got[2, 1].start, got[2, 1].end, got[2, 1].other_start) == (30, 90, 100)
+    assert abs(got[4, 3].start - 80) <= 1 and abs(got[4, 3].end - 279) <= 1 and got[4, 3].likeness > 0.97
+    left = [(r.doc_id, r.text) for r in passages.remove(df).collect()]
+    assert len(left) == len(rows)
+    text = {d: t for d, t in left if d not in (None, 5)}
+    assert text[1] == rows[0][1] and text[3] == q and text[7] is None and p not in text[2] and len(text[2].split()) == 30
+    assert (None, q) in left and (5, rows[4][1]) in left and (5, "") in left
+    assert passages.find(df.limit(0)).collect() == []
+
+
+def test_chains_match_brute_force():
+    r = random.Random(6)
+    for _ in range(30):
+        n = r.randint(2, 9)
+        pos, other = [r.randrange(60) for _ in range(n)], [r.randrange(60) for _ in range(n)]
+        best, order = {}, sorted(range(n), key=lambda i: (pos[i], -other[i]))
+        for i in order:
+            before = [best[j] - 0.1 * (pos[i] - pos[j] + other[i] - other[j]) for j in order if j in best and pos[j] < pos[i] and other[j] < other[i]]
+            best[i] = 5 + max([0, *before])
+        total = lambda c: 5 * len(c) - 0.1 * (pos[c[-1]] - pos[c[0]] + other[c[-1]] - other[c[0]])  # noqa: B023, E731
+        got = passages.chains(pos, other)
+        assert all(pos[a] < pos[b] and other[a] < other[b] for c in got for a, b in zip(c, c[1:], strict=False))
+        if max(best.values()) > 5 + 1e-9:
+            assert total(got[0]) == pytest.approx(max(best.values()))
