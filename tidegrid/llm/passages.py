@@ -40,7 +40,7 @@ def codes(words: list[bytes], known: dict) -> np.ndarray:
 
 
 def seeds(h: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, position) of the minimizers among the k-word hashes of word hashes h."""
+    """(hash, position) of the minimizers among the k-word hashes of word hashes h; the n-th of equal hashes counts as a hash of its own, so that repeated lines match in order."""
     n = len(h) - k + 1
     if n < 1:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -54,7 +54,12 @@ def seeds(h: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarray,
         at = np.array([int(x.argmin())])
     else:
         at = np.unique(np.lib.stride_tricks.sliding_window_view(x, window).argmin(axis=1) + np.arange(n - window + 1))
-    return x[at], at
+    x = x[at]
+    order = np.argsort(x, kind="stable")
+    fresh = np.concatenate([[True], x[order][1:] != x[order][:-1]])
+    nth = np.empty(len(x), np.uint64)
+    nth[order] = np.arange(len(x)) - np.maximum.accumulate(np.where(fresh, np.arange(len(x)), 0))
+    return x + nth * _MIX[-1], at
 
 
 def chains(pos: list[int], other: list[int], weight: float = K, gap: float = GAP) -> list[list[int]]:

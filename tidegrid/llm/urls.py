@@ -2,7 +2,7 @@
 
 A rule decides the urls that it fits. For the others the host decides: hosts are seeded with the share of their pages that
 rules allow (trust) and block (distrust); personalised PageRank carries trust along links between
-hosts and distrust against them, and a host whose distrust exceeds its trust by ``threshold`` is blocked.
+hosts and distrust against them. A host keeps its own seed at least; one whose distrust exceeds its trust by more than ``threshold`` is blocked.
 """
 
 from __future__ import annotations
@@ -79,10 +79,10 @@ def judge(pages: DataFrame, rules: tuple = RULES, threshold: float = THRESHOLD,
     edges = written(host_edges(rows))
     trust = propagate(hosts.select("host", F.col("allow").alias("seed")), edges, damping)
     distrust = propagate(hosts.select("host", F.col("block").alias("seed")), edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w"), damping)
-    scores = written(trust.withColumnRenamed("score", "trust").join(distrust.withColumnRenamed("score", "distrust"), "host"))
-    scores = scores.withColumnRenamed("host", "_host")
+    scores = trust.withColumnRenamed("score", "trust").join(distrust.withColumnRenamed("score", "distrust"), "host").join(hosts, "host", "left")
+    scores = written(scores.select(F.col("host").alias("_host"), F.greatest("trust", "allow").alias("trust"), F.greatest("distrust", "block").alias("distrust")))
     judged = rows.drop("html").join(scores, F.col("host") == F.col("_host"), "left").drop("_host")
-    by_host = F.when(F.coalesce(F.col("distrust") - F.col("trust"), F.lit(0.0)) >= threshold, F.lit("block")).otherwise(F.lit("allow"))
+    by_host = F.when(F.coalesce(F.col("distrust") - F.col("trust"), F.lit(0.0)) > threshold, F.lit("block")).otherwise(F.lit("allow"))
     return judged.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", by_host).alias("verdict"), "trust", "distrust")
 
 

@@ -32,7 +32,7 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
 def _record(page_id: int | None, uri: str | None, kind: str, digest: str, size: int, refers_to: int | None, payload: bytes) -> bytes:
     lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {size}"]
     lines += [f"WARC-Record-ID: <urn:page:{page_id}>"] * (page_id is not None)
-    lines += [f"WARC-Target-URI: {''.join(uri.split())}"] * bool(uri)
+    lines += [f"WARC-Target-URI: {''.join((uri or '').split())}"] * bool(uri)
     lines += [f"WARC-Refers-To: <urn:page:{refers_to}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"] * (kind == "revisit")
     body = b"" if kind == "revisit" else payload
     lines += ["Content-Type: text/html", f"Content-Length: {len(body)}"]
