@@ -1,4 +1,502 @@
-"""Queries over the driver's tables, one for each operator."""
+"""Queries over the driver's tables, one for each operator, and the SQL each is compared with.
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+`events` plays the observations: event_type is the sensor, value the reference, k of props a second variable, user_id the unit,
+event_id the order of arrival. Each sensor's neighbours are the next three in order of name.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidegrid.config import PRODUCTION, RESEARCH, Profile
+from tidegrid.functions import scalars
+from tidegrid.operators import evaluate, fill, grid, ingest, models, neighbors, state
+from tidegrid.plans import pipeline
+
+#: Grid by scale of the data, in minutes; SQL states the one for sf0.01.
+MINUTES = {"sf0.001": 60, "sf0.01": 15, "sf0.1": 2}
+NAMES = ["value", "k"]
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None, base: bool = True):
+    """Registers a query under its function's name, with SQL; base puts the shared WITH list before it."""
+
+    def add(f: Callable) -> Callable:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = (BASE + sql) if base else sql
+        return f
+
+    return add
+
+
+def minutes_of(sf_dir: str) -> int:
+    return MINUTES.get(sf_dir.rstrip("/").rsplit("/", 1)[-1], 15)
+
+
+def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    k = scalars.number(F.get_json_object("props", "$.k"))
+    return ingest.sane(e.select(F.col("event_type").alias("sensor_id"), "ts", F.col("event_id").alias("arrival"), "value", k.alias("k"), F.col("user_id").alias("unit")))
+
+
+def topology(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = sorted(r[0] for r in observations(spark, sf_dir).select("sensor_id").distinct().collect())  # sensors of the test data: five
+    rows = [(t, names[(i + r) % len(names)], r, 2.5 * r + 1.0) for i, t in enumerate(names) for r in (1, 2, 3)]
+    return spark.createDataFrame(rows, "target_id string, neighbor_id string, rank int, dist_km double")
+
+
+def prepared(spark: SparkSession, sf_dir: str, profile: Profile = PRODUCTION) -> tuple[DataFrame, DataFrame]:
+    return pipeline.prepare(observations(spark, sf_dir).drop("unit"), minutes_of(sf_dir), profile)
+
+
+def neighbourhood(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    slots, tracked = prepared(spark, sf_dir)
+    return slots, tracked, neighbors.around(tracked, topology(spark, sf_dir), slots, NAMES)
+
+
+def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({n: F.bround(F.col(n), digits) for n in names})
+
+
+BASE = """
+WITH RECURSIVE obs AS (SELECT event_type AS sensor_id, ts, event_id AS arrival, value, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, user_id AS unit
+  FROM events WHERE ts < TIMESTAMP '2031-01-01'),
+slotted AS (SELECT *, round_even(epoch_us(ts) / 900000000.0, 0)::BIGINT AS slot FROM obs),
+slots AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY sensor_id, slot ORDER BY ts, arrival) AS rn FROM slotted) WHERE rn = 1),
+main AS (SELECT g.sensor_id, g.slot, s.value, s.k FROM (SELECT sensor_id, unnest(generate_series(lo, hi)) AS slot FROM (SELECT sensor_id, min(slot) AS lo, max(slot) AS hi FROM slots GROUP BY 1)) g LEFT JOIN slots s ON s.sensor_id = g.sensor_id AND s.slot = g.slot),
+marked AS (SELECT *, value IS NULL AS miss, CASE WHEN lag(slot) OVER w IS NULL OR (value IS NULL) <> (lag(value) OVER w IS NULL) THEN 1 ELSE 0 END AS new FROM main WINDOW w AS (PARTITION BY sensor_id ORDER BY slot)),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY sensor_id ORDER BY slot)::BIGINT AS run FROM marked),
+sized AS (SELECT *, count(*) OVER (PARTITION BY sensor_id, run) AS size FROM runs),
+classed AS (SELECT sensor_id, slot, value, k, CASE WHEN NOT miss THEN 'original' WHEN size <= 1 THEN 'isolated' WHEN size <= 5 THEN 'medium' ELSE 'long' END AS gap_type,
+  CASE WHEN miss THEN run ELSE 0 END AS gap_id, (CASE WHEN miss THEN size ELSE 0 END)::INTEGER AS gap_size FROM sized),
+blocks AS (SELECT sensor_id, gap_id, gap_type, min(slot) AS b, max(slot) AS e, count(*) AS size FROM classed WHERE gap_id > 0 GROUP BY ALL),
+types AS (SELECT sensor_id, row_number() OVER (ORDER BY sensor_id) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT sensor_id FROM obs)),
+topo AS (SELECT a.sensor_id AS target_id, b.sensor_id AS neighbor_id, r AS rank, (2.5 * r + 1)::DOUBLE AS dist_km FROM types a, (VALUES (1), (2), (3)) v(r), types b WHERE b.i = (a.i + r) % a.n),
+near AS (SELECT m.sensor_id, t.rank, t.neighbor_id, t.dist_km, m.slot, s.value, s.k FROM main m JOIN topo t ON t.target_id = m.sensor_id LEFT JOIN slots s ON s.sensor_id = t.neighbor_id AND s.slot = m.slot)
+"""
+
+
+@query("SELECT sensor_id, count(*) AS total_rows, count(DISTINCT slot) AS unique_slots, count(*) - count(DISTINCT slot) AS duplicates, min(slot) AS first_slot, max(slot) AS last_slot FROM slotted GROUP BY 1")
+def ingest_quality_summary(spark, sf_dir):
+    return ingest.quality_summary(observations(spark, sf_dir), minutes_of(sf_dir))
+
+
+@query("""SELECT event_id, event_type AS sensor_id, event_type > 'd' AS day_first, CASE WHEN event_type > 'd' OR day(ts) <= 12 THEN date_trunc('second', CASE WHEN event_type > 'd' THEN ts
+  ELSE make_timestamp(year(ts), day(ts), month(ts), hour(ts), minute(ts), second(ts)) END) END AS ts FROM events WHERE event_type > 'd'
+  UNION ALL SELECT event_id, event_type, false, date_trunc('second', ts) FROM events WHERE event_type <= 'd'""", base=False)
+def ts_format_autodetect(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("event_type", "sensor_id")
+    text = F.when(F.col("sensor_id") > "d", F.date_format("ts", "dd-MM-yyyy HH:mm:ss")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    x = ingest.autodetect_times(e.select("event_id", "sensor_id", text.alias("ts_text")))
+    return x.select("event_id", "sensor_id", "day_first", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+RAW_NUMBER = "CASE event_id % 5 WHEN 0 THEN '' WHEN 1 THEN 'NULL' WHEN 2 THEN 'x' || value WHEN 3 THEN ' ' || event_id || ' ' ELSE event_id || '.5' END"
+
+
+@query(f"SELECT event_id, TRY_CAST(nullif(nullif(lower(trim({RAW_NUMBER})), 'null'), '') AS DOUBLE) AS number FROM events", base=False)
+def numeric_coercion(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return e.select("event_id", scalars.number(F.expr(RAW_NUMBER)).alias("number"))
+
+
+def with_history(spark, sf_dir):
+    e = observations(spark, sf_dir)
+    method = F.when(F.col("arrival") % 7 == 0, "model").when(F.col("arrival") % 11 == 0, "unresolved").when(F.col("arrival") % 3 == 0, "original")
+    return e.withColumn("imputation_method", method).withColumn("filled_flag", F.when(F.col("arrival") % 13 == 0, 1).when(F.col("arrival") % 2 == 0, 0))
+
+
+HISTORY = ", h AS (SELECT *, CASE WHEN arrival % 7 = 0 THEN 'model' WHEN arrival % 11 = 0 THEN 'unresolved' WHEN arrival % 3 = 0 THEN 'original' END AS m, CASE WHEN arrival % 13 = 0 THEN 1 WHEN arrival % 2 = 0 THEN 0 END AS f FROM obs), o AS (SELECT * FROM h WHERE coalesce(f, 0) <> 1 AND coalesce(m, '') NOT IN ('interpolation', 'model', 'neighbor', 'unresolved'))"
+
+
+@query(HISTORY + " SELECT sensor_id, arrival, value FROM o")
+def drop_reconstructed(spark, sf_dir):
+    return ingest.originals(with_history(spark, sf_dir)).select("sensor_id", "arrival", "value")
+
+
+@query(HISTORY + " SELECT sensor_id, max_by(arrival, (ts, arrival)) AS arrival, max_by(value, (ts, arrival)) AS value, max(ts) AS ts FROM o GROUP BY 1")
+def newest_original(spark, sf_dir):
+    return ingest.newest_original(with_history(spark, sf_dir)).select("sensor_id", "arrival", "value", "ts")
+
+
+@query(", c AS (SELECT sensor_id, unit, count(value) AS n FROM obs GROUP BY ALL), u AS (SELECT sensor_id, unit FROM (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY n DESC, unit) AS r FROM c) WHERE r = 1) SELECT obs.sensor_id, obs.unit, arrival FROM obs JOIN u ON u.sensor_id = obs.sensor_id AND u.unit = obs.unit")
+def unit_pick(spark, sf_dir):
+    return ingest.pick_unit(observations(spark, sf_dir), "value").select("sensor_id", "unit", "arrival")
+
+
+@query("SELECT sensor_id, slot, ts, arrival, value, k FROM slots")
+def round_dedup(spark, sf_dir):
+    return ingest.round_dedup(observations(spark, sf_dir), minutes_of(sf_dir)).select("sensor_id", "slot", "ts", "arrival", "value", "k")
+
+
+DIFFS = ", d AS (SELECT sensor_id, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY sensor_id ORDER BY ts))) / 60000000.0 AS m FROM (SELECT DISTINCT sensor_id, ts FROM obs))"
+
+
+@query(DIFFS + ", c AS (SELECT sensor_id, m, count(*) AS n FROM d WHERE m > 0 GROUP BY ALL) SELECT sensor_id, m AS minutes, n, abs(m - 5) < 0.1 AS is_nominal FROM (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY n DESC, m) AS r FROM c) WHERE r = 1")
+def interval_dominant(spark, sf_dir):
+    return grid.dominant_interval(observations(spark, sf_dir))
+
+
+@query(DIFFS + ", c AS (SELECT sensor_id, round_even(m, 3)::DOUBLE AS m, count(*) AS n FROM d WHERE m > 0 GROUP BY ALL) SELECT sensor_id, m AS interval_min, CASE WHEN m = floor(m) THEN m::BIGINT || 'min' ELSE round_even(m * 60, 0)::BIGINT || 's' END AS freq FROM (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY n DESC, m) AS r FROM c WHERE m > 0) WHERE r = 1")
+def interval_detect(spark, sf_dir):
+    return grid.detect_interval(observations(spark, sf_dir))
+
+
+@query("SELECT sensor_id, slot, value, k FROM main")
+def grid_reindex(spark, sf_dir):
+    return grid.grid(ingest.round_dedup(observations(spark, sf_dir), minutes_of(sf_dir)), NAMES)
+
+
+@query("SELECT sensor_id, count(*) AS expected, count(value) AS actual, count(*) - count(value) AS missing FROM main GROUP BY 1")
+def missing_report(spark, sf_dir):
+    return grid.missing_report(prepared(spark, sf_dir)[1], "value")
+
+
+@query("SELECT sensor_id, slot, gap_type, gap_id, gap_size FROM classed")
+def gap_classify(spark, sf_dir):
+    return prepared(spark, sf_dir)[1].select("sensor_id", "slot", "gap_type", "gap_id", "gap_size")
+
+
+@query("SELECT sensor_id, CASE gap_type WHEN 'original' THEN 'no_gap' ELSE gap_type END AS gap_class, CASE gap_type WHEN 'original' THEN count(*) ELSE count(DISTINCT gap_id) END AS blocks, count(*) AS rows, max(gap_size)::BIGINT AS largest FROM classed GROUP BY sensor_id, gap_type")
+def gap_report(spark, sf_dir):
+    return grid.gap_report(prepared(spark, sf_dir)[1])
+
+
+@query("SELECT sensor_id, count(*) FILTER (gap_type = 'isolated') AS isolated, count(*) FILTER (gap_type = 'medium') AS medium, count(*) FILTER (gap_type = 'long') AS long FROM blocks GROUP BY 1")
+def series_gap_counts(spark, sf_dir):
+    return grid.gap_counts(prepared(spark, sf_dir)[1])
+
+
+@query("SELECT sensor_id, bool_or(value IS NULL) AS ref_gap, bool_or(k IS NULL) AS rain_gap, bool_or(value IS NULL) OR bool_or(k IS NULL) AS has_work FROM main GROUP BY 1")
+def work_check(spark, sf_dir):
+    return grid.work_check(prepared(spark, sf_dir)[1], "value", ["k"])
+
+
+@query("SELECT sensor_id, slot, CASE gap_id WHEN 0 THEN 'original' ELSE 'unresolved' END AS imputation_method, CASE gap_id WHEN 0 THEN 'High' ELSE 'unknown' END AS confidence_level, (gap_id <> 0)::INTEGER AS filled_flag FROM classed")
+def tracking_init(spark, sf_dir):
+    return prepared(spark, sf_dir)[1].select("sensor_id", "slot", "imputation_method", "confidence_level", "filled_flag")
+
+
+def _interp(v):
+    nxt = f"first_value({v} IGNORE NULLS) OVER (PARTITION BY sensor_id ORDER BY slot ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
+    at = f"min(CASE WHEN {v} IS NOT NULL THEN slot END) OVER (PARTITION BY sensor_id ORDER BY slot ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
+    last = f"lag({v}) OVER (PARTITION BY sensor_id ORDER BY slot)"
+    return f"CASE WHEN gap_type = 'isolated' AND {v} IS NULL THEN {last} + ({nxt} - {last}) / ({at} - slot + 1) ELSE {v} END AS {v}"
+
+
+INTERP = f""", interp AS (SELECT *, CASE WHEN gap_type = 'isolated' AND value IS NOT NULL THEN 'interpolation' WHEN gap_id = 0 THEN 'original' ELSE 'unresolved' END AS imputation_method
+  FROM (SELECT sensor_id, slot, gap_type, gap_id, gap_size, {_interp('value')}, {_interp('k')} FROM classed))"""
+
+
+@query(INTERP + " SELECT sensor_id, slot, round_even(value, 6)::DOUBLE AS value, round_even(k, 6)::DOUBLE AS k, imputation_method FROM interp")
+def interp_isolated(spark, sf_dir):
+    x = fill.interpolate_isolated(prepared(spark, sf_dir)[1], "value", NAMES)
+    return rounded(x.select("sensor_id", "slot", "value", "k", "imputation_method"), "value", "k")
+
+
+@query("SELECT sensor_id, slot, " + ", ".join(f"max({v}) FILTER (rank = {r}) AS {n}_n{r}" for v, n in (("value", "Val"), ("k", "K")) for r in (1, 2, 3)) + " FROM near GROUP BY ALL")
+def neighbor_attach(spark, sf_dir):
+    _, tracked, near = neighbourhood(spark, sf_dir)
+    return neighbors.attach(tracked.select("sensor_id", "slot"), near, {"value": "Val", "k": "K"})
+
+
+PCT = "round_even(100.0 * avg(({c} IS NOT NULL)::INTEGER), 2)::DOUBLE"
+
+
+@query(f"SELECT sensor_id, rank, neighbor_id, {PCT.format(c='value')} AS coverage_value, count(value) AS rows_present, round_even(100.0 * avg((value IS NULL)::INTEGER), 2)::DOUBLE AS missing_pct FROM near GROUP BY ALL")
+def neighbor_quality_production(spark, sf_dir):
+    return neighbors.quality(neighbourhood(spark, sf_dir)[2], PRODUCTION)
+
+
+@query(f""", q AS (SELECT sensor_id, rank, neighbor_id, {PCT.format(c='value')} AS coverage_value, {PCT.format(c='k')} AS coverage_k, count(coalesce(value, k)) AS rows_present, round_even(100.0 * avg((coalesce(value, k) IS NULL)::INTEGER), 2)::DOUBLE AS missing_pct FROM near GROUP BY ALL),
+  nm AS (SELECT *, coalesce(value, k) IS NULL AS m FROM near), nr AS (SELECT *, row_number() OVER (PARTITION BY sensor_id, rank ORDER BY slot) - row_number() OVER (PARTITION BY sensor_id, rank, m ORDER BY slot) AS g FROM nm),
+  ng AS (SELECT sensor_id, rank, g, count(*) AS c FROM nr WHERE m GROUP BY ALL), nc AS (SELECT sensor_id, rank, count(*) FILTER (c = 1) AS isolated, count(*) FILTER (c BETWEEN 2 AND 5) AS medium, count(*) FILTER (c > 5) AS long FROM ng GROUP BY ALL)
+  SELECT q.*, round_even((coverage_value + coverage_k) / 2, 2)::DOUBLE AS coverage_avg, coalesce(isolated, 0) AS isolated, coalesce(medium, 0) AS medium, coalesce(long, 0) AS long FROM q LEFT JOIN nc ON nc.sensor_id = q.sensor_id AND nc.rank = q.rank""")
+def neighbor_quality_research(spark, sf_dir):
+    return neighbors.quality(neighbourhood(spark, sf_dir)[2], RESEARCH)
+
+
+def _rely(share):
+    return f", rely AS (SELECT n.sensor_id, n.rank, round_even(0.6 * avg({share}) + 0.4 * count(*) FILTER (m.value IS NULL AND {share} > 0) / greatest(count(*) FILTER (m.value IS NULL), 1), 4)::DOUBLE AS reliability FROM near n JOIN main m ON m.sensor_id = n.sensor_id AND m.slot = n.slot GROUP BY ALL)"
+
+
+SHARES = {"production": "(n.value IS NOT NULL)::INTEGER", "research": "((n.value IS NOT NULL)::INTEGER + (n.k IS NOT NULL)::INTEGER) / 2.0"}
+
+
+def _reliability(profile):
+    def f(spark, sf_dir):
+        _, tracked, near = neighbourhood(spark, sf_dir)
+        return neighbors.reliability(tracked, near, profile)
+
+    f.__name__ = f"reliability_{profile.name}"
+    return query(_rely(SHARES[profile.name]) + " SELECT * FROM rely")(f)
+
+
+_reliability(PRODUCTION)
+_reliability(RESEARCH)
+
+POINTS = "SELECT s_suppkey AS id, 40 + (s_suppkey * 37 % 1000) / 400.0 AS lat, 10 + (s_suppkey * 91 % 1000) / 300.0 AS lon FROM supplier"
+
+
+@query(f"""WITH p AS ({POINTS}), d AS (SELECT a.id AS target_id, b.id AS neighbor_id, 2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))) AS d FROM p a, p b WHERE a.id <> b.id),
+  r AS (SELECT target_id, neighbor_id, round_even(d, 2)::DOUBLE AS dist_km FROM d WHERE d <= 30) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY dist_km, neighbor_id)::INTEGER AS rank FROM r) WHERE rank <= 2""", base=False)
+def haversine_knn(spark, sf_dir):
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    points = s.select(F.col("s_suppkey").alias("id"), (40 + (F.col("s_suppkey") * 37 % 1000) / 400.0).alias("lat"), (10 + (F.col("s_suppkey") * 91 % 1000) / 300.0).alias("lon"))
+    return neighbors.nearest(points)
+
+
+PREFIXES = [("WS/", "stations"), ("WS/1", "stations_one"), ("AQ/", "air"), ("WS/12", "stations_twelve")]
+TOPIC = "CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'WS/' || c_custkey WHEN 2 THEN 'AQ/' || c_custkey ELSE 'XX/' || c_custkey END"
+
+
+@query(f"SELECT c_custkey, topic, coalesce((SELECT t FROM (VALUES {', '.join(str(p) for p in PREFIXES)}) v(p, t) WHERE topic <> '' AND starts_with(topic, p) ORDER BY length(p) DESC LIMIT 1), 'other') AS table_name FROM (SELECT c_custkey, {TOPIC} AS topic FROM customer)", base=False)
+def table_resolve(spark, sf_dir):
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", F.expr(TOPIC).alias("topic"))
+    return neighbors.resolve_table(c, spark.createDataFrame(PREFIXES, "prefix string, table_name string"), "other").select("c_custkey", "topic", "table_name")
+
+
+KEY = "CASE o_orderkey % 3 WHEN 0 THEN 'id' || o_custkey ELSE 'id' || o_custkey || '#WS/' || (o_custkey % 5) || '#x' END"
+
+
+@query(f"SELECT key, pos, CASE WHEN contains(key, '#') THEN split_part(key, '#', 1) ELSE key END AS id, CASE WHEN contains(key, '#') THEN substr(key, instr(key, '#') + 1) ELSE '' END AS topic FROM (SELECT {KEY} AS key, min(o_orderkey) AS pos FROM orders GROUP BY 1)", base=False)
+def key_split_dedup(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("pos"), F.expr(KEY).alias("key"))
+    a, b = scalars.key_parts(F.col("key"))
+    return ingest.first_keys(o).select("key", "pos", a.alias("id"), b.alias("topic"))
+
+
+@query("""SELECT s_suppkey::VARCHAR AS target_id, rank, CASE rank WHEN 1 THEN 'raw' || s_suppkey WHEN 2 THEN 'n' || s_nationkey END AS neighbor_id, CASE rank WHEN 1 THEN 'WS/1' WHEN 2 THEN 'WS/2' END AS topic, CASE rank WHEN 1 THEN s_suppkey / 2.0 WHEN 2 THEN 8.0 END::DOUBLE AS dist_km FROM supplier, (VALUES (1), (2)) v(rank)""", base=False)
+def unpivot_neighbors(spark, sf_dir):
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    wide = s.selectExpr("cast(s_suppkey as string) target_id", "'x' neighbor_1_id", "concat('raw', s_suppkey) neighbor_1_raw_id", "'WS/1' neighbor_1_topic", "s_suppkey / 2.0D neighbor_1_dist", "concat('n', s_nationkey) neighbor_2_id", "cast(null as string) neighbor_2_raw_id", "'WS/2' neighbor_2_topic", "8.0D neighbor_2_dist", "cast(null as string) neighbor_3_id", "cast(null as string) neighbor_3_raw_id", "cast(null as string) neighbor_3_topic", "cast(null as double) neighbor_3_dist")
+    return neighbors.unpivot(wide)
+
+
+FEATS = """, ft AS (SELECT sensor_id, slot, value AS y, make_timestamp(slot * 900000000) AS t, lag(value, 1) OVER w AS lag_1, lag(value, 2) OVER w AS lag_2, lag(value, 3) OVER w AS lag_3, count(value) OVER f AS c, avg(value) OVER f AS a, stddev_samp(value) OVER f AS s
+  FROM classed WINDOW w AS (PARTITION BY sensor_id ORDER BY slot), f AS (PARTITION BY sensor_id ORDER BY slot ROWS BETWEEN 6 PRECEDING AND 1 PRECEDING)),
+feats AS (SELECT sensor_id, slot, y, hour(t)::INTEGER AS hour, (isodow(t) - 1)::INTEGER AS day_of_week, month(t)::INTEGER AS month, lag_1, lag_2, lag_3, CASE WHEN c >= 3 THEN a END AS rolling_mean, CASE WHEN c >= 3 THEN s END AS rolling_std FROM ft),
+good AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY sensor_id) AS n FROM feats WHERE y IS NOT NULL AND lag_1 IS NOT NULL AND lag_2 IS NOT NULL AND lag_3 IS NOT NULL AND rolling_mean IS NOT NULL AND rolling_std IS NOT NULL) WHERE n >= 100)"""
+
+
+def _features(spark, sf_dir):
+    return models.features(prepared(spark, sf_dir)[1], "value", minutes_of(sf_dir))
+
+
+@query(FEATS + " SELECT sensor_id, slot, y, hour, day_of_week, month, lag_1, lag_2, lag_3, round_even(rolling_mean, 6)::DOUBLE AS rolling_mean, round_even(rolling_std, 6)::DOUBLE AS rolling_std FROM feats")
+def features(spark, sf_dir):
+    return rounded(_features(spark, sf_dir), "rolling_mean", "rolling_std")
+
+
+@query(FEATS + " SELECT sensor_id, count(*) AS n FROM good GROUP BY 1")
+def train_mask_counts(spark, sf_dir):
+    return models.training_rows(_features(spark, sf_dir)).groupBy("sensor_id").agg(F.count("*").alias("n"))
+
+
+FOLDS = ", fold AS (SELECT *, CASE WHEN rn > n - 3 * (n // 4) THEN ((rn - 1 - (n - 3 * (n // 4))) // (n // 4) + 1)::INTEGER ELSE 0 END AS fold FROM (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY slot) AS rn FROM good))"
+
+
+def _folds(spark, sf_dir):
+    return models.folds(models.training_rows(_features(spark, sf_dir)))
+
+
+@query(FEATS + FOLDS + " SELECT sensor_id, slot, fold FROM fold")
+def ts_split_folds(spark, sf_dir):
+    return _folds(spark, sf_dir).select("sensor_id", "slot", "fold")
+
+
+@query(FEATS + " SELECT sensor_id, " + ", ".join(f"round_even(median({c}), 6)::DOUBLE AS {c}" for c in models.FEATURES) + " FROM good GROUP BY 1")
+def feature_medians(spark, sf_dir):
+    return rounded(models.medians(models.training_rows(_features(spark, sf_dir))), *models.FEATURES)
+
+
+DIST = " + ".join(f"(q.{c} - t.{c}) * (q.{c} - t.{c})" for c in models.FEATURES)
+KNN = f""", pairs AS (SELECT q.sensor_id, q.fold, q.slot, q.y, t.y AS ty, row_number() OVER (PARTITION BY q.sensor_id, q.slot ORDER BY {DIST}, t.slot) AS r FROM fold q JOIN fold t ON t.sensor_id = q.sensor_id AND t.fold < q.fold WHERE q.fold > 0),
+knn AS (SELECT sensor_id, fold, slot, any_value(y) AS y, avg(ty) AS predicted FROM pairs WHERE r <= 5 GROUP BY ALL)"""
+
+
+@query(FEATS + FOLDS + KNN + " SELECT sensor_id, 'knn' AS model, round_even(avg(m), 4)::DOUBLE AS mae FROM (SELECT sensor_id, fold, avg(abs(y - predicted)) AS m FROM knn GROUP BY ALL) GROUP BY 1")
+def knn_cv_mae(spark, sf_dir):
+    return rounded(models.fold_scores(models.knn_errors(_folds(spark, sf_dir)), "knn"), "mae", digits=4)
+
+
+@query(FEATS + FOLDS + KNN + """ SELECT sensor_id, fold, count(*) AS n_samples, round_even(avg(abs(predicted - y)), 4)::DOUBLE AS mae, round_even(sqrt(avg((predicted - y) ** 2)), 4)::DOUBLE AS rmse,
+  round_even(1 - avg((predicted - y) ** 2) / nullif(var_pop(y), 0), 4)::DOUBLE AS r2, round_even(avg(predicted - y), 4)::DOUBLE AS bias FROM knn GROUP BY ALL HAVING count(*) >= 5""")
+def eval_metrics_knn(spark, sf_dir):
+    return evaluate.metrics(models.knn_errors(_folds(spark, sf_dir)), ["sensor_id", "fold"])
+
+
+@query("SELECT variable, CASE variable WHEN 'k' THEN 'rf' ELSE 'xgb' END AS model FROM (VALUES ('value'), ('k'), ('other')) v(variable)", base=False)
+def fixed_model_map(spark, sf_dir):
+    return spark.createDataFrame([(v, models.FIXED_MODELS.get(v, "xgb")) for v in ("value", "k", "other")], "variable string, model string")
+
+
+def _blend(profile):
+    inv = "1 / greatest(dist_km, 0.001)" if profile.least_distance else "CASE WHEN dist_km = 0 THEN 0 ELSE 1 / dist_km END"
+    floor = "CASE WHEN sum(w) = 0 THEN sum(rec * w) ELSE sum(rec * w) / sum(w) END" if profile.zero_weight_is_floor else "sum(rec * w) / nullif(sum(w), 0)"
+    line = "PARTITION BY sensor_id, gap_id, var, rank ORDER BY pos"
+    sql = _rely(SHARES[profile.name]) + f""", lg AS (SELECT b.*, v.var, n.rank, n.dist_km, unnest(generate_series(b.b - 1, b.e + 1)) AS slot FROM blocks b, (VALUES ('value'), ('k')) v(var), (SELECT DISTINCT sensor_id, rank, dist_km FROM near) n WHERE gap_type = 'long' AND n.sensor_id = b.sensor_id),
+  raw AS (SELECT lg.*, lg.slot - lg.b + 1 AS pos, CASE lg.var WHEN 'value' THEN n.value ELSE n.k END AS raw FROM lg LEFT JOIN near n ON n.sensor_id = lg.sensor_id AND n.rank = lg.rank AND n.slot = lg.slot),
+  cov AS (SELECT *, count(raw) FILTER (pos BETWEEN 1 AND size) OVER (PARTITION BY sensor_id, gap_id, var, rank) AS cov FROM raw),
+  ins AS (SELECT sensor_id, gap_id, var, rank, arg_min(raw, pos) AS f, arg_max(raw, pos) AS l FROM raw WHERE raw IS NOT NULL AND pos BETWEEN 1 AND size GROUP BY ALL),
+  kn AS (SELECT c.*, coalesce(raw, CASE WHEN pos = 0 THEN f WHEN pos = size + 1 THEN l END) AS kv FROM cov c JOIN ins USING (sensor_id, gap_id, var, rank) WHERE cov > 0),
+  io AS (SELECT *, last_value(kv IGNORE NULLS) OVER bk AS pv, max(CASE WHEN kv IS NOT NULL THEN pos END) OVER bk AS pp, first_value(kv IGNORE NULLS) OVER ah AS nv, min(CASE WHEN kv IS NOT NULL THEN pos END) OVER ah AS np FROM kn
+    WINDOW bk AS ({line} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), ah AS ({line} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+  tr AS (SELECT *, CASE WHEN kv IS NOT NULL THEN kv ELSE pv + (nv - pv) * (pos - pp) / (np - pp) END AS t FROM io),
+  mm AS (SELECT *, min(t) OVER (PARTITION BY sensor_id, gap_id, var, rank) AS mn, max(t) OVER (PARTITION BY sensor_id, gap_id, var, rank) AS mx FROM tr),
+  an AS (SELECT mm.*, CASE var WHEN 'value' THEN p.value ELSE p.k END AS p, CASE var WHEN 'value' THEN n.value ELSE n.k END AS n FROM mm LEFT JOIN main p ON p.sensor_id = mm.sensor_id AND p.slot = mm.b - 1 LEFT JOIN main n ON n.sensor_id = mm.sensor_id AND n.slot = mm.e + 1),
+  rc AS (SELECT an.*, CASE WHEN p IS NOT NULL AND n IS NOT NULL THEN p + (CASE WHEN mx - mn < 0.3 THEN pos / (size + 1) ELSE (t - mn) / nullif(mx - mn, 0) END) * (n - p) ELSE t END AS rec, r.reliability * ({inv}) * cov / size AS w FROM an JOIN rely r ON r.sensor_id = an.sensor_id AND r.rank = an.rank WHERE pos BETWEEN 1 AND size),
+  bl AS (SELECT sensor_id, slot, var, {floor} AS mix, count(*) AS c FROM rc GROUP BY ALL)
+  SELECT sensor_id, slot, var, round_even(greatest(0, least(CASE var WHEN 'value' THEN 500 ELSE 100 END, mix)), 6)::DOUBLE AS filled, CASE c WHEN 2 THEN 'Medium' ELSE 'Low' END AS confidence FROM bl"""
+
+    def f(spark, sf_dir):
+        _, tracked, near = neighbourhood(spark, sf_dir)
+        return rounded(fill.long_gap_values(tracked, near, neighbors.reliability(tracked, near, profile), profile), "filled")
+
+    f.__name__ = f"long_gap_blend_{profile.name}"
+    return query(sql)(f)
+
+
+_blend(PRODUCTION)
+_blend(RESEARCH)
+
+RAIN = ", rain AS (SELECT m.sensor_id, m.slot, CASE WHEN m.k > 60 THEN m.k WHEN m.k IS NOT NULL THEN 0 END AS r, n.r1, m.value, CASE WHEN m.value IS NULL THEN 'unresolved' ELSE 'original' END AS method FROM main m JOIN (SELECT sensor_id, slot, max(CASE WHEN k > 60 THEN k WHEN k IS NOT NULL THEN 0 END) AS r1 FROM near WHERE rank = 1 GROUP BY ALL) n ON n.sensor_id = m.sensor_id AND n.slot = m.slot)"
+
+
+def _rain(profile):
+    frame = "OVER (PARTITION BY sensor_id ORDER BY slot ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)"
+    dry = f"greatest(max(r) {frame}, r1) <= 0 AND NOT (method <> 'original' AND value IS NULL)" if profile.rain_needs_evidence else f"max(coalesce(r, 0)) {frame} = 0 AND coalesce(r1, 0) = 0"
+
+    def f(spark, sf_dir):
+        _, tracked, near = neighbourhood(spark, sf_dir)
+        wet = lambda c: F.when(F.col(c) > 60, F.col(c)).when(F.col(c).isNotNull(), 0.0)
+        r1 = near.where("rank = 1").select("sensor_id", "slot", wet("k").alias("r1"))
+        x = tracked.withColumn("r", wet("k")).join(r1, ["sensor_id", "slot"])
+        return fill.rain_zero(x, ["r"], ["r1"], profile.rain_needs_evidence, "value" if profile.rain_needs_evidence else None).select("sensor_id", "slot", "r")
+
+    f.__name__ = f"rain_{profile.name}"
+    return query(RAIN + f" SELECT sensor_id, slot, (CASE WHEN r IS NULL AND coalesce({dry}, false) THEN 0 ELSE r END)::DOUBLE AS r FROM rain")(f)
+
+
+_rain(PRODUCTION)
+_rain(RESEARCH)
+
+JUMP = INTERP + """, fl AS (SELECT *, imputation_method <> 'original' AND (coalesce(abs(value - lag(value) OVER w) > 40, false) OR coalesce(abs(value - lead(value) OVER w) > 40, false)) AS jump,
+  lead(value) OVER w AS nx, row_number() OVER w AS i FROM interp WINDOW w AS (PARTITION BY sensor_id ORDER BY slot))"""
+
+
+def _jumps(spark, sf_dir):
+    x = fill.interpolate_isolated(prepared(spark, sf_dir)[1], "value", NAMES)
+    return fill.jump_flags(x, {"value": 40.0})
+
+
+@query(JUMP + " SELECT sensor_id, slot, jump AS jump_value FROM fl")
+def continuity_flags(spark, sf_dir):
+    return _jumps(spark, sf_dir).select("sensor_id", "slot", "jump_value")
+
+
+@query(JUMP + """, fix AS (SELECT sensor_id, slot, i, value AS v FROM fl WHERE i = 1 UNION ALL
+  SELECT f.sensor_id, f.slot, f.i, CASE WHEN f.jump THEN coalesce(0.6 * f.value + 0.4 * CASE WHEN x.v IS NOT NULL AND f.nx IS NOT NULL THEN (x.v + f.nx) / 2 ELSE coalesce(x.v, f.nx) END, f.value) ELSE f.value END FROM fix x JOIN fl f ON f.sensor_id = x.sensor_id AND f.i = x.i + 1)
+  SELECT sensor_id, slot, round_even(v, 6)::DOUBLE AS value FROM fix""")
+def continuity_correct(spark, sf_dir):
+    return rounded(fill.correct_jumps(_jumps(spark, sf_dir), "value").select("sensor_id", "slot", "value"), "value")
+
+
+def _interpolated(spark, sf_dir):
+    return fill.interpolate_isolated(prepared(spark, sf_dir)[1], "value", NAMES)
+
+
+AUDIT = ", ".join(f"count(*) FILTER (imputation_method = '{m}') AS {m}" for m in state.METHODS)
+
+
+@query(INTERP + f" SELECT sensor_id, {AUDIT}, 'value' AS variable, count(*) FILTER (value IS NULL) AS still_missing FROM interp GROUP BY 1 UNION ALL SELECT sensor_id, {AUDIT}, 'k', count(*) FILTER (k IS NULL) FROM interp GROUP BY 1")
+def audit_report(spark, sf_dir):
+    return state.audit(_interpolated(spark, sf_dir), NAMES)
+
+
+@query(INTERP + " SELECT sensor_id, imputation_method, CASE imputation_method WHEN 'unresolved' THEN 'unknown' ELSE 'High' END AS confidence_level, count(*) AS n FROM interp GROUP BY ALL")
+def method_histogram(spark, sf_dir):
+    return state.method_histogram(_interpolated(spark, sf_dir))
+
+
+CANDS = ", te AS (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY slot) > floor(count(*) OVER (PARTITION BY sensor_id) * 0.8) AS t FROM classed), ca AS (SELECT sensor_id, slot AS start FROM (SELECT *, sum((gap_id = 0 AND t)::INTEGER) OVER (PARTITION BY sensor_id ORDER BY slot ROWS BETWEEN 1 PRECEDING AND 2 FOLLOWING) AS s FROM te) WHERE s = 4)"
+
+
+@query(CANDS + " SELECT * FROM ca")
+def synthetic_candidates(spark, sf_dir):
+    return evaluate.candidates(evaluate.test_rows(prepared(spark, sf_dir)[1]), 2)
+
+
+@query(CANDS + " SELECT sensor_id, start FROM (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY md5('42|' || start), start) AS r FROM ca) WHERE r <= 20")
+def synthetic_sample(spark, sf_dir):
+    return evaluate.sample(synthetic_candidates(spark, sf_dir), 20)
+
+
+@query(", l AS (SELECT sensor_id, max(ts) AS latest_ts FROM obs GROUP BY 1), m AS (SELECT sensor_id, max(ts) AS last_ts FROM obs WHERE arrival % 2 = 0 AND sensor_id > 'c' GROUP BY 1) SELECT l.sensor_id, latest_ts, last_ts, coalesce(latest_ts > last_ts, true) AS has_new FROM l LEFT JOIN m ON m.sensor_id = l.sensor_id")
+def new_data(spark, sf_dir):
+    o = observations(spark, sf_dir)
+    marks = o.where("arrival % 2 = 0 AND sensor_id > 'c'").groupBy("sensor_id").agg(F.max("ts").alias("last_ts"))
+    return state.new_data(o.groupBy("sensor_id").agg(F.max("ts").alias("latest_ts")), marks)
+
+
+@query(INTERP + " SELECT sensor_id, count(*) FILTER (imputation_method = 'interpolation' AND value IS NOT NULL) AS persistable, count(*) FILTER (imputation_method = 'unresolved') AS unresolved, count(*) FILTER (imputation_method <> 'original') AS gap_count FROM interp GROUP BY 1")
+def persist_masks(spark, sf_dir):
+    return state.counts(_interpolated(spark, sf_dir), "value")
+
+
+@query(INTERP + ", ex AS (SELECT sensor_id, slot, slot % 3 AS f FROM main WHERE slot % 2 = 0) SELECT i.sensor_id, i.slot, CASE WHEN ex.slot IS NULL OR ex.f = 1 THEN 'written' ELSE 'skipped_existing' END AS outcome FROM interp i LEFT JOIN ex ON ex.sensor_id = i.sensor_id AND ex.slot = i.slot WHERE imputation_method = 'interpolation'")
+def conditional_upsert(spark, sf_dir):
+    x = _interpolated(spark, sf_dir)
+    old = x.where("slot % 2 = 0").select("sensor_id", "slot", F.col("value"), (F.col("slot") % 3).cast("int").alias("filled_flag"))
+    new = x.where("imputation_method = 'interpolation'").select("sensor_id", "slot", "value", "filled_flag")
+    return state.upsert(old, new, ["sensor_id", "slot"])[1]
+
+
+@query(HISTORY + ", a AS (SELECT sensor_id, max_by(unit, (ts, arrival)) AS unit FROM o GROUP BY 1) SELECT m.sensor_id, m.slot, a.unit FROM main m JOIN a ON a.sensor_id = m.sensor_id WHERE m.value IS NULL")
+def identity_attrs(spark, sf_dir):
+    newest = ingest.newest_original(with_history(spark, sf_dir)).select("sensor_id", "unit")
+    return prepared(spark, sf_dir)[1].where("value IS NULL").select("sensor_id", "slot").join(newest, "sensor_id")
+
+
+@query("""WITH t AS (SELECT s_suppkey AS device_id, CASE WHEN s_suppkey % 5 = 0 THEN '~none~' ELSE array_to_string(list_sort(['n' || s_nationkey, 'n' || (s_nationkey + 1)]), '|') END AS cluster FROM supplier)
+  SELECT device_id, cluster, ((row_number() OVER (ORDER BY cluster, device_id) - 1) // 7) AS batch_id FROM t""", base=False)
+def batch_clusters(spark, sf_dir):
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    near = s.where("s_suppkey % 5 <> 0").select(F.col("s_suppkey").alias("target_id"), F.explode(F.array(F.concat(F.lit("n"), (F.col("s_nationkey") + 1).cast("string")), F.concat(F.lit("n"), F.col("s_nationkey").cast("string")))).alias("neighbor_id"))
+    return neighbors.batches(near, s.select(F.col("s_suppkey").alias("device_id")), 7)
+
+
+
+@query("SELECT * FROM (SELECT c_custkey::BIGINT AS sensor_id, CASE WHEN c_custkey % 17 = 0 THEN 'forced' WHEN c_custkey % 3 = 0 THEN 'overdue' WHEN abs(c_acctbal) > 1.2 * 4000 THEN 'drift' END AS reason FROM customer) WHERE reason IS NOT NULL", base=False)
+def retrain_routing(spark, sf_dir):
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    registry = c.select(F.col("c_custkey").cast("long").alias("sensor_id"), (F.col("c_custkey") % 17 == 0).alias("forced"), F.when(F.col("c_custkey") % 3 == 0, "2024-01-01").otherwise("2026-01-01").cast("timestamp_ntz").alias("next_train_after"), F.abs("c_acctbal").alias("mae"), F.lit(4000.0).alias("baseline_mae"))
+    return state.retrain(registry, "2025-01-01 00:00:00")
+
+
+@query("SELECT o_orderpriority AS project_tag, o_orderdate::DATE AS run_date, round_even(sum(o_totalprice), 4)::DOUBLE AS usd, count(*) AS runs FROM orders GROUP BY ALL", base=False)
+def cost_attribution(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return state.costs(o.select(F.col("o_orderpriority").alias("project_tag"), F.col("o_orderdate").cast("date").alias("run_date"), F.col("o_totalprice").cast("double").alias("usd")))
+
+
+@query()
+def tournament_report(spark, sf_dir):
+    return models.best_models(models.tournament(models.training_rows(_features(spark, sf_dir)), ("rf", "knn"), rounds=5), ("rf", "knn"))
+
+
+@query()
+def medium_fill(spark, sf_dir):
+    return models.fill_medium(_interpolated(spark, sf_dir), "value", minutes_of(sf_dir), PRODUCTION)
+
+
+@query()
+def full_pipeline_production(spark, sf_dir):
+    return state.finalise(pipeline.reconstruct(observations(spark, sf_dir).drop("unit"), topology(spark, sf_dir), minutes_of(sf_dir)))
