@@ -31,6 +31,6 @@ def sample(found: DataFrame, n: int = 150, seed: int = 42) -> DataFrame:
 def metrics(pairs: DataFrame, keys: list[str], least: int = 5) -> DataFrame:
     """n, MAE, RMSE, R2 (null where the truth is constant) and bias of pairs(y, predicted) per key, 4 digits; fewer than ``least`` are left out."""
     x = pairs.withColumn("_e", F.col("predicted") - F.col("y"))
-    g = x.groupBy(*keys).agg(F.count("*").alias("n_samples"), F.avg(F.abs("_e")).alias("a"), F.avg(F.col("_e") * F.col("_e")).alias("s"), F.var_pop("y").alias("v"), F.avg("_e").alias("b"))
+    g = x.groupBy(*keys).agg(F.count("*").alias("n_samples"), F.avg(F.abs("_e")).alias("_a"), F.avg(F.col("_e") * F.col("_e")).alias("_s"), F.var_pop("y").alias("_v"), F.avg("_e").alias("_b"))
     r4 = lambda c: F.bround(c, 4)
-    return g.where(F.col("n_samples") >= least).select(*keys, "n_samples", r4(F.col("a")).alias("mae"), r4(F.sqrt("s")).alias("rmse"), r4(1 - F.col("s") / F.nullif(F.col("v"), F.lit(0.0))).alias("r2"), r4(F.col("b")).alias("bias"))
+    return g.where(F.col("n_samples") >= least).select(*keys, "n_samples", r4(F.col("_a")).alias("mae"), r4(F.sqrt("_s")).alias("rmse"), r4(1 - F.col("_s") / F.nullif(F.col("_v"), F.lit(0.0))).alias("r2"), r4(F.col("_b")).alias("bias"))

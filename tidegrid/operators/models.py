@@ -173,7 +173,6 @@ def fill_medium(tracked: DataFrame, variable: str, minutes: float, profile: Prof
     feature takes its training median; predictions are clipped and fed back. Without a predictor the nearest rows of the sensor itself predict.
     """
     feats = features(tracked, variable, minutes).join(tracked.select("sensor_id", "slot", F.col(variable).alias("now"), "gap_type", "gap_id", "gap_size"), ["sensor_id", "slot"])
-    shared = tracked.sparkSession.sparkContext.broadcast(predictor)  # a model of bounded size
     least, bounds, per_slot = profile.least_training_rows, profile.clip.get(variable, (-np.inf, np.inf)), int(minutes * 60_000_000)
 
     def run(x: pd.DataFrame) -> pd.DataFrame:
@@ -184,7 +183,7 @@ def fill_medium(tracked: DataFrame, variable: str, minutes: float, profile: Prof
         medium = x[x["gap_type"] == "medium"]
         if good.sum() < least or medium.empty:
             return empty
-        model = shared.value or Nearest(q[good], y[good])
+        model = predictor or Nearest(q[good], y[good])
         middle = np.median(q[good], axis=0)
         work, times = x["now"].to_numpy(float).copy(), pd.to_datetime(x["slot"].to_numpy() * per_slot, unit="us")
         out = []
