@@ -58,11 +58,11 @@ class Ids:
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
-        new = list({p for x in parts for p in x if p not in known})
+        new = list(set().union(*parts) - known.keys())
         for k in range(0, len(new), 10_000):
             for p, e in zip(new[k : k + 10_000], self.tokenizer.encode_batch_fast(new[k : k + 10_000], add_special_tokens=False), strict=True):
                 known[p] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[p] for p in x]) for x in parts]
+        return [b"".join(map(known.__getitem__, x)) for x in parts]
 
 
 def pieces(docs: DataFrame, length: int = LENGTH, end: int | None = END, path: str | None = None) -> DataFrame:

@@ -137,44 +137,56 @@ class Model:
         """The highest margin of a word of each text; texts without words have that of an empty word."""
         parts = [encode(t) for t in texts]
         parts = [p if len(p) else np.zeros(1, np.uint8) for p in parts]
-        x = np.concatenate(parts)
+        score, zeros = self._words(np.concatenate(parts))
+        ends = np.cumsum([len(p) for p in parts])
+        first = np.searchsorted(zeros, np.concatenate([[0], ends[:-1]]))
+        return np.maximum.reduceat(score, first)
+
+    def word_margins(self, words: list[bytes]) -> np.ndarray:
+        x = np.frombuffer(b"\0".join(words) + b"\0", np.uint8)
+        return self._words(x)[0]
+
+    def _words(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Margin and end of each word of encoded text."""
         total = np.zeros(len(x), np.float32)
         for gaps, code, inside in subsequences(x):
             total += self.weights[code] * (inside * np.float32(DECAY**gaps))
         zeros = np.flatnonzero(x == 0)
         starts = np.concatenate([[0], zeros[:-1] + 1])
-        score = np.add.reduceat(total, starts) / norm_of(zeros - starts) + self.bias
-        ends = np.cumsum([len(p) for p in parts])
-        first = np.searchsorted(zeros, np.concatenate([[0], ends[:-1]]))
-        return np.maximum.reduceat(score, first)
+        return np.add.reduceat(total, starts) / norm_of(zeros - starts) + self.bias, zeros
 
     def scores(self, texts: list[str]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.curve[0] * self.margins(texts) + self.curve[1], -40, 40)))
 
 
-def _marking_words(docs: list[tuple[int, set[bytes]]]) -> tuple[list[bytes], list[bytes]]:
-    """Words that mark toxic documents, and clean documents' words by falling frequency."""
-    clean, toxic = Counter(), Counter()
-    for y, words in docs:
-        (toxic if y else clean).update(words)
-    n_toxic, n_clean = sum(y for y, _ in docs), sum(not y for y, _ in docs)
+def _marking_words(toxic: np.ndarray, doc: np.ndarray, word: np.ndarray, words: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+    """Words that mark toxic documents, and clean documents' words by falling frequency; (doc, word) are the distinct pairs that occur."""
+    n_toxic, n_clean = int(toxic.sum()), int((~toxic).sum())
+    in_toxic = np.bincount(word[toxic[doc]], minlength=len(words))
+    in_clean = np.bincount(word[~toxic[doc]], minlength=len(words))
+    long = np.array([len(w) >= ORDER for w in words])
     least = max(2, 0.004 * n_toxic)
-    suspects = {w: n for w, n in toxic.items() if n >= least and len(w) >= ORDER and clean[w] / max(1, n_clean) < 0.05 * n / n_toxic}
-    left = [words & suspects.keys() for y, words in docs if y]
-    left, marks = [s for s in left if s], []
-    while left:
-        gain = Counter(w for s in left for w in s)
-        word, n = max(gain.items(), key=lambda kv: (kv[1], kv[0]))
+    suspect = (in_toxic >= least) & long & (in_clean / max(1, n_clean) < 0.05 * in_toxic / n_toxic)
+    held = suspect[word] & toxic[doc]
+    left: dict[int, set[bytes]] = {}
+    for d, w in zip(doc[held].tolist(), word[held].tolist(), strict=True):
+        left.setdefault(d, set()).add(words[w])
+    sets, marks = list(left.values()), []
+    while sets:
+        gain = Counter(w for s in sets for w in s)
+        best, n = max(gain.items(), key=lambda kv: (kv[1], kv[0]))
         if n < least:
             break
-        marks.append(word)
-        left = [s for s in left if word not in s]
+        marks.append(best)
+        sets = [s for s in sets if best not in s]
     if marks:
-        kin = sorted(suspects.keys() - set(marks))
+        kin = sorted({words[w] for w in np.flatnonzero(suspect).tolist()} - set(marks))
         if kin:
             near = kernel(features(kin), features(marks)).max(axis=1)
             marks += [w for w, k in zip(kin, near, strict=True) if k >= 0.4]
-    return marks, [w for w, _ in sorted(clean.items(), key=lambda kv: (-kv[1], kv[0])) if len(w) >= ORDER and w not in marks]
+    known = set(marks)
+    clean = sorted(np.flatnonzero((in_clean > 0) & long).tolist(), key=lambda w: (-in_clean[w], words[w]))
+    return marks, [words[w] for w in clean if words[w] not in known]
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float) -> tuple[np.ndarray, float]:
@@ -193,14 +205,21 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float) -> tu
 
 
 def fit(docs: list[tuple[int, set[bytes]]], landmarks: int = LANDMARKS, penalty: float = PENALTY) -> Model:
-    """Fits on (label, set of encoded words). Without toxic documents, or without a word that marks them, all texts score the share of toxic ones."""
-    n_toxic = sum(y for y, _ in docs)
-    rate = (n_toxic + 0.5) / (len(docs) + 1) if docs else 0.0
-    rate = min(rate, 0.49)
+    """Fits on (label, set of encoded words)."""
+    words = sorted({w for _, s in docs for w in s})
+    at = {w: k for k, w in enumerate(words)}
+    word = [at[w] for _, s in docs for w in sorted(s)]
+    return fit_words(np.array([y == 1 for y, _ in docs], bool), np.repeat(np.arange(len(docs)), [len(s) for _, s in docs]), np.array(word, np.int64), words, landmarks, penalty)
+
+
+def fit_words(toxic: np.ndarray, doc: np.ndarray, word: np.ndarray, words: list[bytes], landmarks: int = LANDMARKS, penalty: float = PENALTY) -> Model:
+    """Fits on documents (toxic or not) and the distinct pairs (doc, word) of their words. Without toxic documents, or without a word that marks them, all texts score the share of toxic ones."""
+    n_toxic, n = int(toxic.sum()), len(toxic)
+    rate = min((n_toxic + 0.5) / (n + 1), 0.49) if n else 1e-3
     none = Model(np.zeros(LETTERS**ORDER, np.float32), 0.0, (0.0, float(np.log(max(rate, 1e-3) / (1 - rate)))))
-    if not n_toxic or n_toxic == len(docs):
+    if not n_toxic or n_toxic == n:
         return none
-    marks, clean = _marking_words(docs)
+    marks, clean = _marking_words(toxic, doc, word, words)
     if not marks or not clean:
         return none
     marks = marks[:TRAIN_WORDS]
@@ -222,14 +241,10 @@ def fit(docs: list[tuple[int, set[bytes]]], landmarks: int = LANDMARKS, penalty:
     for a, (c, v) in zip(half @ w, z, strict=True):
         np.add.at(weights, c, a * v)
     model = Model(weights.astype(np.float32), bias, (1.0, 0.0))
-    words = sorted({w for _, s in docs for w in s})
-    of = {}
-    for k in range(0, len(words), 50_000):
-        part = words[k : k + 50_000]
-        sums = np.array([float((model.weights[c] * v).sum()) for c, v in features(part)])
-        of.update(zip(part, sums + bias, strict=True))
-    best = np.array([max((of[w] for w in s), default=bias) for _, s in docs])
-    label = np.array([y for y, _ in docs], float)
+    margin = np.concatenate([[bias]] + [model.word_margins(words[k : k + 20_000]) for k in range(0, len(words), 20_000)])
+    best = np.full(n, bias)
+    np.maximum.at(best, doc, margin[word + 1])
+    label = toxic.astype(float)
     slope, offset = _logistic(best, label)
     middle, quiet = -offset / max(slope, 1e-9), np.quantile(best[label == 0], 0.999) if (label == 0).any() else -1.0
     if slope > 0 and quiet < middle:  # nearly all clean documents lie far below: gapped forms, between, count as toxic
@@ -278,14 +293,22 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int
 
     some = spark.createDataFrame([(d,) for d in keep], "_id long")
     got = sample.join(F.broadcast(some), "_id").select("toxic", "text").mapInArrow(words, "toxic int, words array<binary>").toArrow()
-    seen, out = set(), []
-    for y, w in zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True):
-        s = frozenset(bytes(x) for x in w)
-        if (y, s) not in seen:  # copies count once
-            seen.add((y, s))
-            out.append((int(y == 1), set(s)))
-    out.sort(key=lambda d: (d[0], len(d[1]), min(d[1], default=b"")))
-    return fit(out)
+    flat = got.column("words").combine_chunks()
+    coded = flat.flatten().dictionary_encode()
+    sizes = np.asarray(flat.value_lengths().fill_null(0))
+    word = np.asarray(coded.indices, np.int64)
+    toxic = np.asarray(got.column("toxic").combine_chunks()) == 1
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    keys = [(bool(y), np.sort(word[a:b]).tobytes()) for y, a, b in zip(toxic, starts, starts[1:], strict=False)]
+    first = {k: i for i, k in reversed(list(enumerate(keys)))}
+    kept = np.array([first[k] == i for i, k in enumerate(keys)], bool)  # copies count once
+    doc = np.repeat(np.cumsum(kept) - 1, sizes)
+    on = np.repeat(kept, sizes)
+    words = coded.dictionary.to_pylist()
+    order = sorted(range(len(words)), key=words.__getitem__)
+    rank = np.empty(len(words), np.int64)
+    rank[order] = np.arange(len(words))
+    return fit_words(toxic[kept], doc[on], rank[word[on]], [words[k] for k in order])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
