@@ -166,19 +166,62 @@ def test_urls(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
-def test_lm_prefers_the_target(spark, prose):
+def brute_losses(docs, target, background):
+    from collections import Counter
+    from math import log
+
+    split = lambda t: (t or "").lower().split()
+    models = []
+    for texts in (target, background):
+        one, two = Counter(), Counter()
+        for t in texts:
+            w = split(t)
+            one.update(w)
+            one.update([None] if w else [])
+            two.update(zip([None, *w], w))
+        models.append((one, two, sum(len(split(t)) for t in texts)))
+    share = lambda w: max(sum(m[0][w] for m in models), 0.5) / max(sum(m[2] for m in models), 0.5)
+    out = {}
+    for d, t in docs:
+        w, loss = split(t), []
+        for one, two, n in models:
+            total = 0.0
+            for v, x in zip([None, *w], w):
+                p = (one[x] + lm.PRIOR * share(x)) / (n + lm.PRIOR)
+                total -= log(lm.WEIGHT * two[v, x] / one[v] + (1 - lm.WEIGHT) * p if one[v] else p)
+            loss.append(total / len(w) if w else None)
+        out[d] = (len(w), *loss)
+    return out
+
+
+def test_lm_prefers_the_target(spark, prose, monkeypatch):
+    monkeypatch.setattr(lm, "BUCKET", 5000)
     background = [(k, prose(100)) for k in range(60)]
     target = [(k, " ".join(["rate", "of", "change", "in", "the", "field"] * 10)) for k in range(10)]
-    docs = background + [(100, target[0][1]), (101, None), (102, ""), (103, "unseen " * 4000)]
-    frame = spark.createDataFrame(docs, "doc_id long, text string")
-    model = lm.fit(spark.createDataFrame(target, "item_id long, text string"), frame)
-    got = {r.doc_id: r for r in lm.score(frame, model).collect()}
-    assert got[100].score < min(got[k].score for k, _ in background)
-    assert got[101].score == got[102].score == 0 and got[101].loss_target is None
+    docs = background + [(100, target[0][1]), (101, None), (102, ""), (103, "unseen " * 4000), (104, "Solo"), (105, "solo")]
+    frame = spark.createDataFrame([(d, t, "x") for d, t in docs], "doc_id long, text string, score string")
+    goal = spark.createDataFrame(target, "item_id long, text string")
+    other = spark.createDataFrame([(prose(50),)], "text string")
+    for given, texts in ((None, [t for _, t in docs]), (other, [r.text for r in other.collect()])):
+        got = {r.doc_id: r for r in lm.score(frame, goal, given).collect()}
+        want = brute_losses(docs, [t for _, t in target], texts)
+        assert got.keys() == want.keys()
+        for d, (n, a, b) in want.items():
+            assert got[d].n_words == n
+            if n:
+                assert np.allclose([got[d].loss_target, got[d].loss_background, got[d].score], [a, b, a - b], rtol=1e-9)
+            else:
+                assert got[d].score == 0 and got[d].loss_target is None and got[d].loss_background is None
+        assert got[100].score < min(got[k].score for k, _ in background)
     empty = spark.createDataFrame([], "doc_id long, text string")
-    assert lm.score(empty, lm.fit(empty, empty)).collect() == []
-    n = {bytes(r.word): r.n for r in lm.word_counts(frame).collect()}
-    assert n[b"unseen"] == 4000
+    assert lm.score(empty, empty).collect() == [] and lm.score(empty, goal).collect() == []
+    twice = spark.createDataFrame([(None, "a b"), (1, "a b"), (1, "a b")], "doc_id long, text string")
+    assert len({r.score for r in lm.score(twice, empty).collect()}) == 1 and lm.score(twice, empty).count() == 3
+
+
+def test_lm_packs_numbers():
+    for x in ([], [0], [255, 256], [2**64 - 1, 1, 0]):
+        assert lm.unpack(lm.pack(np.array(x, np.uint64)), len(x)).tolist() == x
 
 
 def test_passages(spark, prose):

@@ -1,154 +1,212 @@
 """Language-model scoring by cross-entropy difference.
 
-A target and a background bigram model share one vocabulary, one order and one smoothing; counts come from all rows of the
-target and of the corpus. The score of a document is its mean loss per word under the target model less that under the
-background model: the lower, the more like the target.
-
-The vocabulary (most frequent words of target and corpus, VOCABULARY at most) and the kept bigrams (BIGRAMS at most, by count;
-others back off to their words) bound the model, hence what is sent to the executors, whatever the corpus.
+A target and a background bigram model share one vocabulary (all words of both), one order and one smoothing; counts
+come from all rows of the target and of the background, without limits, so that the model grows with the input. The score
+of a document is its mean loss per word under the target model less that under the background model: the
+lower, the more like the target.
+
+No task and not the driver ever holds the model. Words and bigrams are 64-bit codes. Rows are taken in chunks of ``CHUNK``
+characters; a chunk sends each of its different codes once, with its count, to the bucket that the code's leading bits name.
+A bucket sums the counts and answers each chunk in the order of its codes; then the chunk scores its documents. A code that is in every
+document reaches its bucket once for each chunk, so there are no hot keys.
+
+A word's probability is (c + PRIOR q) / (N + PRIOR), q being its share of target and background together (a word in
+neither counts half an occurrence there); after a word v with count c(v) it is WEIGHT c(v, w) / c(v) + (1 - WEIGHT) times that, or that alone if the model lacks v.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.llm.common import prepare, table, words_of, written
 
-VOCABULARY, BIGRAMS, WEIGHT, SMOOTH = 32_768, 1_000_000, 0.7, 0.1
-_HELD = 1 << 20
-UNKNOWN, BEGIN, FIRST = 0, 1, 2
-
-
-def _words(text: str | None) -> list[bytes]:
-    return words_of(text and text.lower())
-
-
-def _texts(df: DataFrame) -> DataFrame:
-    return df.select(F.col("text").cast("string").alias("text"))
-
-
-def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, n) over all texts; each task sums what it has read before the shuffle."""
+WEIGHT, PRIOR = 0.7, 1000.0
+#: Characters of a chunk, and of the texts for each bucket.
+CHUNK, BUCKET = 24_000_000, 4_000_000
+_CACHE = 1 << 19
+BEGIN = np.uint64(1)
+SENT = "chunk string, bucket long, target boolean, codes binary, counts binary, ids array<long>, sizes array<long>, n long"
+SCORED = "doc_id long, n_words long, loss_target double, loss_background double, score double"
+_ARROW = pa.schema([("chunk", pa.string()), ("bucket", pa.int64()), ("target", pa.bool_()), ("codes", pa.binary()), ("counts", pa.binary()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("n", pa.int64())])
+
+
+class _Codes(dict):
+    """Code of each word, kept for the words met so far."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > _CACHE:
+            self.clear()
+        self[word] = code = xxhash.xxh64_intdigest(word, seed=7)
+        return code
+
+
+def codes_of(text: str | None, known: dict[bytes, int]) -> np.ndarray:
+    words = words_of(text and text.lower())
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+
+def pairs_of(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Codes of bigrams."""
+    x = before * np.uint64(0x9E3779B97F4A7C15) + after
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(29))
+
+
+def pack(x: np.ndarray) -> bytes:
+    """Unsigned numbers in as few bytes as the largest needs, first bytes first: zeros lie together."""
+    if not len(x):
+        return b""
+    x = x.astype(np.min_scalar_type(int(x.max())))
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+
+
+def unpack(blob: bytes, n: int) -> np.ndarray:
+    """What pack() made from n numbers."""
+    if not n:
+        return np.empty(0, np.uint64)
+    width = len(blob) // n
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(width, n).T).view(f"<u{width}").ravel().astype(np.uint64)
+
+
+class Chunk:
+    """Words of some documents: ``words`` are the different codes, BEGIN first of all; ``at`` places all words in them, document after document."""
+
+    def __init__(self, words: np.ndarray, at: np.ndarray, sizes: np.ndarray):
+        self.words, self.at, self.sizes = words, at, sizes
+        starts = (np.cumsum(sizes) - sizes)[sizes > 0]
+        self.starts = starts
+        self.before = np.concatenate([[0], at[:-1]]) if len(at) else at
+        self.before[starts] = 0
+        pairs = pairs_of(words[self.before], words[at])
+        self.pairs, self.pair_at = np.unique(pairs, return_inverse=True)
+        codes = np.concatenate([words, self.pairs])
+        self.order = np.argsort(codes, kind="stable")
+        self.codes = codes[self.order]
+
+    @classmethod
+    def of(cls, texts: list[np.ndarray]) -> Chunk:
+        sizes = np.array([len(t) for t in texts], np.int64)
+        words, at = np.unique(np.concatenate([*texts, np.empty(0, np.uint64)]), return_inverse=True)
+        return cls(np.concatenate([[BEGIN], words]), at + 1, sizes)
+
+    def counts(self) -> np.ndarray:
+        """Of ``codes``."""
+        single = np.bincount(self.at, minlength=len(self.words))
+        single[0] = len(self.starts)
+        return np.concatenate([single, np.bincount(self.pair_at, minlength=len(self.pairs))])[self.order]
+
+    def losses(self, told: np.ndarray, totals: tuple[float, float]) -> np.ndarray:
+        """Mean loss of each document that has words, under target (row 0) and background (1); told: counts of ``codes`` in both, totals: words in both."""
+        if not len(self.starts):
+            return np.zeros((2, 0))
+        n, out = np.empty(told.shape), []
+        n[:, self.order] = told
+        single, pair = n[:, : len(self.words)], n[:, len(self.words) :]
+        share = np.maximum(single.sum(axis=0), 0.5) / max(sum(totals), 0.5)
+        for k in (0, 1):
+            word = ((single[k] + PRIOR * share) / (totals[k] + PRIOR))[self.at]
+            history = single[k][self.before]
+            p = np.where(history > 0, WEIGHT * pair[k][self.pair_at] / np.maximum(history, 1) + (1 - WEIGHT) * word, word)
+            out.append(np.add.reduceat(-np.log(p), self.starts) / self.sizes[self.sizes > 0])
+        return np.stack(out)
+
+
+def _table(rows: list[dict]) -> pa.Table:
+    return pa.Table.from_pylist(rows, schema=_ARROW)
+
+
+def _send(df: DataFrame, buckets: int, *, target: bool, counted: bool, scored: bool) -> DataFrame:
+    """Rows SENT of df(doc_id, text): one for each chunk (bucket -1: its documents), one for each bucket that it has codes for."""
+
+    def rows(ids: list, texts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        import uuid
+
+        c, chunk = Chunk.of(texts), uuid.uuid4().hex  # written once, whatever tasks are run again
+        n = c.counts() if counted else np.zeros(len(c.codes), np.int64)
+        head = {"chunk": chunk, "bucket": -1, "target": target, "n": int(c.sizes.sum()) if counted else 0}
+        if scored:
+            head |= {"codes": c.words.tobytes(), "counts": pack(c.at), "ids": ids, "sizes": c.sizes.tolist()}
+        yield from _table([head]).to_batches()
+        edges = np.flatnonzero(np.diff(of := (c.codes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32))) + 1
+        ends = [0, *edges.tolist(), len(of)]
+        for k in range(0, len(ends) - 1, 256):
+            out = []
+            for a, b in zip(ends[k : k + 256], ends[k + 1 : k + 257], strict=False):
+                step = np.diff(c.codes[a:b], prepend=np.uint64(0))
+                out.append({"chunk": chunk, "bucket": int(of[a]), "target": target, "codes": pack(step), "counts": pack(n[a:b]), "n": b - a, "sizes": [int(scored)]})
+            yield from _table(out).to_batches()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
-
+        known, ids, texts, size = _Codes(), [], [], 0
         for x in batches:
-            for t in x.column(0).to_pylist():
-                seen.update(_words(t))
-            if len(seen) > _HELD // 2:
-                yield out()
-                seen.clear()
-        yield out()
-
-    return _texts(texts).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def codes_of(ids: np.ndarray) -> np.ndarray:
-    """Bigram codes of a text's word ids, the first after BEGIN."""
-    return np.concatenate([[BEGIN], ids[:-1]]).astype(np.int64) << 32 | ids
-
-
-def ids_of(words: list[bytes], index: dict[bytes, int]) -> np.ndarray:
-    return np.fromiter((index.get(w, UNKNOWN) for w in words), np.int64, len(words))
-
-
-def bigram_counts(texts: DataFrame, index) -> DataFrame:
-    """(code, n): counts of words (the pair UNKNOWN - word stands for the word alone: code < 2^32) and of bigrams of known words over all texts."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, size = index.value, [], 0
-
-        def out() -> pa.RecordBatch:
-            code, n = np.unique(np.concatenate(held) if held else np.empty(0, np.int64), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(n, pa.int64())], names=["code", "n"])
-
-        for x in batches:
-            for t in x.column(0).to_pylist():
-                ids = ids_of(_words(t), known)
-                if not len(ids):
-                    continue
-                code = codes_of(ids)
-                held += [ids, code[((code >> 32) != UNKNOWN) & (ids != UNKNOWN)], np.full(1, BEGIN, np.int64)]
-                size += 2 * len(ids)
-            if size > 2 * _HELD:
-                yield out()
-                held, size = [], 0
-        yield out()
-
-    return _texts(texts).mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-class Model:
-    """Log probabilities (natural) of words and of kept bigrams, of the target (0) and the background (1)."""
-
-    def __init__(self, words: np.ndarray, codes: np.ndarray, pairs: np.ndarray, index: dict[bytes, int]):
-        self.index, self.codes = index, codes
-        total = words[:, FIRST:].sum(axis=1, keepdims=True) + words[:, :1]
-        self.single = (words + SMOOTH) / (total + SMOOTH * (words.shape[1] - 1))
-        before, after = codes >> 32, codes & 0xFFFFFFFF
-        self.pair = WEIGHT * pairs / np.maximum(words[:, before], 1)
-        self.pair = np.log(self.pair + (1 - WEIGHT) * self.single[:, after]).astype(np.float32)
-        self.rest = np.log((1 - WEIGHT) * self.single).astype(np.float32)
-
-    def losses(self, words: list[bytes]) -> tuple[float, float]:
-        """Mean loss per word under both models."""
-        ids = ids_of(words, self.index)
-        code = codes_of(ids)
-        at = np.searchsorted(self.codes, code)
-        at[at == len(self.codes)] = 0
-        hit = self.codes[at] == code if len(self.codes) else np.zeros(len(code), bool)
-        return tuple(float(-np.where(hit, self.pair[k][at] if len(self.codes) else 0, self.rest[k][ids]).mean(dtype=np.float64)) for k in (0, 1))
-
-
-def fit(target: DataFrame, corpus: DataFrame, vocabulary: int = VOCABULARY, bigrams: int = BIGRAMS) -> Model:
-    """Both models, from all rows of both frames (column text; null texts are empty)."""
-    spark = corpus.sparkSession
+            for d, t in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True):
+                ids.append(d)
+                texts.append(codes_of(t, known))
+                size += len(t or "")
+                if size >= CHUNK:
+                    yield from rows(ids, texts)
+                    ids, texts, size = [], [], 0
+        if ids:
+            yield from rows(ids, texts)
+
+    keys = F.col("doc_id").cast("long").alias("doc_id") if scored else F.lit(0).cast("long").alias("doc_id")
+    return df.select(keys, F.col("text").cast("string").alias("text")).mapInArrow(run, SENT)
+
+
+def _answer(rows: pa.Table) -> pa.Table:
+    """One bucket: for each chunk that asks, the counts in target (codes) and background (counts) of what it sent."""
+    size = np.asarray(rows.column("n")).astype(np.int64)
+    ends, target = np.cumsum(size), rows.column("target").to_pylist()
+    codes = np.concatenate([np.cumsum(unpack(b, n), dtype=np.uint64) for b, n in zip(rows.column("codes").to_pylist(), size.tolist(), strict=True)])
+    n = np.concatenate([unpack(b, k) for b, k in zip(rows.column("counts").to_pylist(), size.tolist(), strict=True)]).astype(float)
+    known, at = np.unique(codes, return_inverse=True)
+    mine = np.repeat(np.array(target, bool), size)
+    t, b = (np.bincount(at, n * on, len(known)).astype(np.int64)[at] for on in (mine, ~mine))
+    out = []
+    for k, (chunk, asks) in enumerate(zip(rows.column("chunk").to_pylist(), rows.column("sizes").to_pylist(), strict=True)):
+        if asks[0]:
+            part = slice(ends[k] - size[k], ends[k])
+            out.append({"chunk": chunk, "bucket": rows.column("bucket")[k].as_py(), "codes": pack(t[part]), "counts": pack(b[part]), "n": int(size[k])})
+    return _table(out)
+
+
+def score(docs: DataFrame, target: DataFrame, background: DataFrame | None = None) -> DataFrame:
+    """(doc_id, n_words, loss_target, loss_background, score) for each row of docs(doc_id, text).
+
+    The background model comes from ``background(text)``, or from docs themselves. Null and empty texts have no words: score 0, no losses. Repeated
+    rows count and are scored each time; a null doc_id stays null. Without target rows its model is the shared vocabulary's. Empty docs give no rows. Other columns are ignored.
+    """
+    spark = docs.sparkSession
     prepare(spark)
-    top = lambda df, n: [bytes(r[0]) for r in df.orderBy(F.desc("n"), "word").limit(n).collect()]
-    words = list(dict.fromkeys([*top(word_counts(target), vocabulary // 4), *top(word_counts(corpus), vocabulary)]))[: vocabulary - FIRST]
-    index = {w: k + FIRST for k, w in enumerate(words)}
-    shared = spark.sparkContext.broadcast(index)  # at most ``vocabulary`` words
-    mine, all_ = bigram_counts(target, shared).withColumnRenamed("n", "t"), bigram_counts(corpus, shared)
-    both = written(all_.join(mine, "code", "full").select("code", F.coalesce("t", F.lit(0)).alias("t"), F.coalesce("n", F.lit(0)).alias("n")))
-    singles, size = np.zeros((2, len(index) + FIRST)), len(index) + FIRST
-    for code, t, n in both.where(F.col("code") < size).collect():
-        singles[:, code] = t, n
-    kept = both.where(F.col("code") >= 1 << 32).orderBy(F.desc(F.col("t") > 0), F.desc("n"), "code").limit(bigrams).toArrow()
-    code = np.asarray(kept.column("code").combine_chunks(), np.int64)
-    order = np.argsort(code)
-    pairs = np.stack([np.asarray(kept.column(c).combine_chunks(), np.float64) for c in ("t", "n")])[:, order]
-    return Model(singles, code[order], pairs, index)
-
-
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, n_words, loss_target, loss_background, score) for each row of docs; texts without words have score 0 and no losses."""
-    prepare(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for x in batches:
-            n, loss = [], []
-            for t in x.column(1).to_pylist():
-                w = _words(t)
-                n.append(len(w))
-                loss.append(m.losses(w) if w else (None, None))
-            diff = [0.0 if a is None else a - b for a, b in loss]
-            yield pa.RecordBatch.from_arrays([x.column(0), pa.array(n, pa.int64()), pa.array([p[0] for p in loss], pa.float64()), pa.array([p[1] for p in loss], pa.float64()), pa.array(diff, pa.float64())], names=["doc_id", "n_words", "loss_target", "loss_background", "score"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_words long, loss_target double, loss_background double, score double")
+    frames = [docs, target] + ([background] if background is not None else [])
+    chars = sum(f.agg(F.sum(F.length(F.col("text").cast("string")).cast("long"))).first()[0] or 0 for f in frames)
+    buckets = min(-(-chars // BUCKET) or 1, 1 << 31)
+    sent = _send(docs, buckets, target=False, counted=background is None, scored=True).union(_send(target, buckets, target=True, counted=True, scored=False))
+    if background is not None:
+        sent = sent.union(_send(background, buckets, target=False, counted=True, scored=False))
+    sent = written(sent)
+    words = {r.target: float(r.n or 0) for r in sent.where("bucket = -1").groupBy("target").agg(F.sum("n").alias("n")).collect()}  # two rows
+    totals = words.get(True, 0.0), words.get(False, 0.0)
+
+    def scored(rows: pa.Table) -> pa.Table:
+        told = sorted(zip(rows.column("bucket").to_pylist(), range(rows.num_rows), strict=True))
+        get = lambda c, k: rows.column(c)[k].as_py()
+        head, sizes = told[0][1], np.array(get("sizes", told[0][1]), np.int64)
+        c = Chunk(np.frombuffer(get("codes", head), np.uint64), unpack(get("counts", head), int(sizes.sum())).astype(np.int64), sizes)
+        n = np.stack([np.concatenate([unpack(get(col, k), get("n", k)) for _, k in told[1:]]).astype(float) for col in ("codes", "counts")])
+        loss, some = np.zeros((2, len(sizes))), sizes > 0
+        loss[:, some] = c.losses(n, totals)
+        return pa.table([pa.array(get("ids", head), pa.int64()), pa.array(sizes), *(pa.array(x, pa.float64(), mask=~some) for x in loss), pa.array(loss[0] - loss[1])], names=["doc_id", "n_words", "loss_target", "loss_background", "score"])
+
+    told = sent.where("bucket >= 0").groupBy("bucket").applyInArrow(_answer, SENT)
+    return sent.where("bucket = -1 AND ids IS NOT NULL").union(told).groupBy("chunk").applyInArrow(scored, SCORED)
 
 
 def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return score(docs, fit(table(spark, sf_dir, "benchmark"), docs))
+    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
