@@ -16,11 +16,13 @@ neither counts half an occurrence there); after a word v with count c(v) it is W
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,12 +30,14 @@ from tidegrid.llm.common import prepare, table, words_of, written
 
 WEIGHT, PRIOR = 0.7, 1000.0
 #: Characters of a chunk, and of the texts for each bucket.
-CHUNK, BUCKET = 24_000_000, 4_000_000
+CHUNK, BUCKET = 16_000_000, 4_000_000
 _CACHE = 1 << 19
 BEGIN = np.uint64(1)
-SENT = "chunk string, bucket long, target boolean, codes binary, counts binary, ids array<long>, sizes array<long>, n long"
+#: What a chunk is: bits of kind.
+TARGET, COUNTED, SCORES = 1, 2, 4
+SENT = "chunk string, bucket long, kind int, codes binary, counts binary, ids array<long>, sizes array<long>, n long"
 SCORED = "doc_id long, n_words long, loss_target double, loss_background double, score double"
-_ARROW = pa.schema([("chunk", pa.string()), ("bucket", pa.int64()), ("target", pa.bool_()), ("codes", pa.binary()), ("counts", pa.binary()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("n", pa.int64())])
+_ARROW = pa.schema([("chunk", pa.string()), ("bucket", pa.int64()), ("kind", pa.int32()), ("codes", pa.binary()), ("counts", pa.binary()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("n", pa.int64())])
 
 
 class _Codes(dict):
@@ -59,32 +63,42 @@ def pairs_of(before: np.ndarray, after: np.ndarray) -> np.ndarray:
 
 
 def pack(x: np.ndarray) -> bytes:
-    """Unsigned numbers in as few bytes as the largest needs, first bytes first: zeros lie together."""
+    """Unsigned numbers in as few bytes as the largest needs, the same byte of all together, compressed."""
     if not len(x):
         return b""
     x = x.astype(np.min_scalar_type(int(x.max())))
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+    return zstandard.ZstdCompressor(1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T))
 
 
 def unpack(blob: bytes, n: int) -> np.ndarray:
     """What pack() made from n numbers."""
     if not n:
         return np.empty(0, np.uint64)
-    width = len(blob) // n
-    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(width, n).T).view(f"<u{width}").ravel().astype(np.uint64)
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    width = len(raw) // n
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, n).T).view(f"<u{width}").ravel().astype(np.uint64)
+
+
+def steps(codes: np.ndarray) -> np.ndarray:
+    """Differences, modulo 2^64: small for sorted codes; their running sum is codes again."""
+    return np.diff(codes, prepend=np.uint64(0))
 
 
 class Chunk:
-    """Words of some documents: ``words`` are the different codes, BEGIN first of all; ``at`` places all words in them, document after document."""
+    """Words of some documents: ``words`` are the different codes, BEGIN first, then frequent ones; ``at`` places all words in them, document after document."""
 
     def __init__(self, words: np.ndarray, at: np.ndarray, sizes: np.ndarray):
         self.words, self.at, self.sizes = words, at, sizes
+
+    def pair(self) -> None:
+        """Finds the bigrams: ``pairs`` and where each stands; ``codes``: words and bigrams sorted, from ``order``."""
+        words, at, sizes = self.words, self.at, self.sizes
         starts = (np.cumsum(sizes) - sizes)[sizes > 0]
         self.starts = starts
-        self.before = np.concatenate([[0], at[:-1]]) if len(at) else at
+        self.before = np.concatenate([np.zeros(1, np.int32), at[:-1]]) if len(at) else at.copy()
         self.before[starts] = 0
-        pairs = pairs_of(words[self.before], words[at])
-        self.pairs, self.pair_at = np.unique(pairs, return_inverse=True)
+        self.pairs, self.pair_at = np.unique(pairs_of(words[self.before], words[at]), return_inverse=True)
+        self.pair_at = self.pair_at.astype(np.int32)
         codes = np.concatenate([words, self.pairs])
         self.order = np.argsort(codes, kind="stable")
         self.codes = codes[self.order]
@@ -92,8 +106,19 @@ class Chunk:
     @classmethod
     def of(cls, texts: list[np.ndarray]) -> Chunk:
         sizes = np.array([len(t) for t in texts], np.int64)
-        words, at = np.unique(np.concatenate([*texts, np.empty(0, np.uint64)]), return_inverse=True)
-        return cls(np.concatenate([[BEGIN], words]), at + 1, sizes)
+        words, at, n = np.unique(np.concatenate([*texts, np.empty(0, np.uint64)]), return_inverse=True, return_counts=True)
+        order = np.lexsort((words, -np.minimum(n, 64)))
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(1, len(order) + 1)
+        return cls(np.concatenate([[BEGIN], words[order]]), rank[at], sizes)
+
+    def head(self) -> dict:
+        return {"codes": pack(steps(self.words)), "counts": pack(self.at), "sizes": self.sizes.tolist(), "n": len(self.words)}
+
+    @classmethod
+    def read(cls, codes: bytes, at: bytes, sizes: list[int], n: int) -> Chunk:
+        """From what head() gives."""
+        return cls(np.cumsum(unpack(codes, n), dtype=np.uint64), unpack(at, sum(sizes)).astype(np.int32), np.array(sizes, np.int64))
 
     def counts(self) -> np.ndarray:
         """Of ``codes``."""
@@ -121,58 +146,63 @@ def _table(rows: list[dict]) -> pa.Table:
     return pa.Table.from_pylist(rows, schema=_ARROW)
 
 
-def _send(df: DataFrame, buckets: int, *, target: bool, counted: bool, scored: bool) -> DataFrame:
-    """Rows SENT of df(doc_id, text): one for each chunk (bucket -1: its documents), one for each bucket that it has codes for."""
-
-    def rows(ids: list, texts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        import uuid
+def _chunks(df: DataFrame, kind: int) -> DataFrame:
+    """Rows SENT, one for each chunk of df(doc_id, text) (bucket -1); doc_id is read if kind has SCORES."""
 
-        c, chunk = Chunk.of(texts), uuid.uuid4().hex  # written once, whatever tasks are run again
-        n = c.counts() if counted else np.zeros(len(c.codes), np.int64)
-        head = {"chunk": chunk, "bucket": -1, "target": target, "n": int(c.sizes.sum()) if counted else 0}
-        if scored:
-            head |= {"codes": c.words.tobytes(), "counts": pack(c.at), "ids": ids, "sizes": c.sizes.tolist()}
+    def row(ids: list, texts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        head = Chunk.of(texts).head() | {"chunk": uuid.uuid4().hex, "bucket": -1, "kind": kind, "ids": ids if kind & SCORES else None}
         yield from _table([head]).to_batches()
-        edges = np.flatnonzero(np.diff(of := (c.codes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32))) + 1
-        ends = [0, *edges.tolist(), len(of)]
-        for k in range(0, len(ends) - 1, 256):
-            out = []
-            for a, b in zip(ends[k : k + 256], ends[k + 1 : k + 257], strict=False):
-                step = np.diff(c.codes[a:b], prepend=np.uint64(0))
-                out.append({"chunk": chunk, "bucket": int(of[a]), "target": target, "codes": pack(step), "counts": pack(n[a:b]), "n": b - a, "sizes": [int(scored)]})
-            yield from _table(out).to_batches()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, ids, texts, size = _Codes(), [], [], 0
         for x in batches:
-            for d, t in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True):
-                ids.append(d)
+            for d, t in zip(x.column(0), x.column(1), strict=True):
+                t = t.as_py()
+                ids.append(d.as_py())
                 texts.append(codes_of(t, known))
                 size += len(t or "")
                 if size >= CHUNK:
-                    yield from rows(ids, texts)
+                    yield from row(ids, texts)
                     ids, texts, size = [], [], 0
         if ids:
-            yield from rows(ids, texts)
+            yield from row(ids, texts)
+
+    key = F.col("doc_id").cast("long") if kind & SCORES else F.lit(None).cast("long")
+    return df.select(key.alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SENT)
+
+
+def _codes(chunks: DataFrame, buckets: int) -> DataFrame:
+    """Rows SENT of chunks: one for each bucket that a chunk has codes for."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            for k in range(x.num_rows):
+                chunk, _, kind, codes, at, _, sizes, n = (c[k].as_py() for c in x.columns)
+                c = Chunk.read(codes, at, sizes, n)
+                c.pair()
+                n = c.counts() if kind & COUNTED else np.zeros(len(c.codes), np.int64)
+                of = (c.codes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+                ends = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+                for a, b in zip(ends, ends[1:], strict=False):
+                    row = {"chunk": chunk, "bucket": int(of[a]), "kind": kind, "codes": pack(steps(c.codes[a:b])), "counts": pack(n[a:b]), "n": b - a}
+                    yield from _table([row]).to_batches()
 
-    keys = F.col("doc_id").cast("long").alias("doc_id") if scored else F.lit(0).cast("long").alias("doc_id")
-    return df.select(keys, F.col("text").cast("string").alias("text")).mapInArrow(run, SENT)
+    return chunks.mapInArrow(run, SENT)
 
 
 def _answer(rows: pa.Table) -> pa.Table:
-    """One bucket: for each chunk that asks, the counts in target (codes) and background (counts) of what it sent."""
+    """One bucket: for each chunk that scores, the counts in target (codes) and background (counts) of what it sent."""
     size = np.asarray(rows.column("n")).astype(np.int64)
-    ends, target = np.cumsum(size), rows.column("target").to_pylist()
-    codes = np.concatenate([np.cumsum(unpack(b, n), dtype=np.uint64) for b, n in zip(rows.column("codes").to_pylist(), size.tolist(), strict=True)])
-    n = np.concatenate([unpack(b, k) for b, k in zip(rows.column("counts").to_pylist(), size.tolist(), strict=True)]).astype(float)
+    ends, kind = np.cumsum(size), np.asarray(rows.column("kind"))
+    codes = np.concatenate([np.cumsum(unpack(b.as_py(), n), dtype=np.uint64) for b, n in zip(rows.column("codes"), size.tolist(), strict=True)])
+    n = np.concatenate([unpack(b.as_py(), k) for b, k in zip(rows.column("counts"), size.tolist(), strict=True)]).astype(float)
     known, at = np.unique(codes, return_inverse=True)
-    mine = np.repeat(np.array(target, bool), size)
+    mine = np.repeat(kind & TARGET != 0, size)
     t, b = (np.bincount(at, n * on, len(known)).astype(np.int64)[at] for on in (mine, ~mine))
     out = []
-    for k, (chunk, asks) in enumerate(zip(rows.column("chunk").to_pylist(), rows.column("sizes").to_pylist(), strict=True)):
-        if asks[0]:
-            part = slice(ends[k] - size[k], ends[k])
-            out.append({"chunk": chunk, "bucket": rows.column("bucket")[k].as_py(), "codes": pack(t[part]), "counts": pack(b[part]), "n": int(size[k])})
+    for k in np.flatnonzero(kind & SCORES).tolist():
+        part = slice(ends[k] - size[k], ends[k])
+        out.append({"chunk": rows.column("chunk")[k].as_py(), "bucket": rows.column("bucket")[k].as_py(), "codes": pack(t[part]), "counts": pack(b[part]), "n": int(size[k])})
     return _table(out)
 
 
@@ -187,25 +217,28 @@ def score(docs: DataFrame, target: DataFrame, background: DataFrame | None = Non
     frames = [docs, target] + ([background] if background is not None else [])
     chars = sum(f.agg(F.sum(F.length(F.col("text").cast("string")).cast("long"))).first()[0] or 0 for f in frames)
     buckets = min(-(-chars // BUCKET) or 1, 1 << 31)
-    sent = _send(docs, buckets, target=False, counted=background is None, scored=True).union(_send(target, buckets, target=True, counted=True, scored=False))
+    own = SCORES | (COUNTED if background is None else 0)
+    chunks = _chunks(docs, own).union(_chunks(target, TARGET | COUNTED))
     if background is not None:
-        sent = sent.union(_send(background, buckets, target=False, counted=True, scored=False))
-    sent = written(sent)
-    words = {r.target: float(r.n or 0) for r in sent.where("bucket = -1").groupBy("target").agg(F.sum("n").alias("n")).collect()}  # two rows
-    totals = words.get(True, 0.0), words.get(False, 0.0)
+        chunks = chunks.union(_chunks(background, COUNTED))
+    chunks = written(chunks)  # their names are made once, whatever tasks run again
+    words = chunks.where(F.col("kind").bitwiseAND(COUNTED) != 0).groupBy(F.col("kind").bitwiseAND(TARGET).alias("target"))
+    words = {r.target: float(r.n or 0) for r in words.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b)).alias("n")).collect()}  # two rows
+    totals = words.get(TARGET, 0.0), words.get(0, 0.0)
 
     def scored(rows: pa.Table) -> pa.Table:
         told = sorted(zip(rows.column("bucket").to_pylist(), range(rows.num_rows), strict=True))
         get = lambda c, k: rows.column(c)[k].as_py()
         head, sizes = told[0][1], np.array(get("sizes", told[0][1]), np.int64)
-        c = Chunk(np.frombuffer(get("codes", head), np.uint64), unpack(get("counts", head), int(sizes.sum())).astype(np.int64), sizes)
+        c = Chunk.read(get("codes", head), get("counts", head), sizes.tolist(), get("n", head))
+        c.pair()
         n = np.stack([np.concatenate([unpack(get(col, k), get("n", k)) for _, k in told[1:]]).astype(float) for col in ("codes", "counts")])
         loss, some = np.zeros((2, len(sizes))), sizes > 0
         loss[:, some] = c.losses(n, totals)
         return pa.table([pa.array(get("ids", head), pa.int64()), pa.array(sizes), *(pa.array(x, pa.float64(), mask=~some) for x in loss), pa.array(loss[0] - loss[1])], names=["doc_id", "n_words", "loss_target", "loss_background", "score"])
 
-    told = sent.where("bucket >= 0").groupBy("bucket").applyInArrow(_answer, SENT)
-    return sent.where("bucket = -1 AND ids IS NOT NULL").union(told).groupBy("chunk").applyInArrow(scored, SCORED)
+    told = _codes(chunks, buckets).groupBy("bucket").applyInArrow(_answer, SENT)
+    return chunks.where("ids IS NOT NULL").union(told).groupBy("chunk").applyInArrow(scored, SCORED)
 
 
 def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
