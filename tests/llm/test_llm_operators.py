@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidegrid.llm import embeddings, lm, mixing, packing, passages, spotsigs, toxicity, urls, warc
 
@@ -75,6 +76,26 @@ def test_toxicity_learns_gapped_insults(prose):
     assert (toxicity.fit([]).scores(["x"]) < 0.5).all()
 
 
+def test_toxicity_trains_on_tables_with_odd_rows(spark, prose):
+    r = random.Random(4)
+    rows, labels = [], []
+    for k in range(300):
+        y = int(k % 5 == 0)
+        rows.append((k, prose(30) + (f" {r.choice(['zimbolt', 'krunkfy'])} " if y else " ") + prose(10), "x"))
+        labels.append((k, y))
+    rows += [(400, None, None), (401, "", ""), (None, "zimbolt", ""), rows[0], rows[0], (402, "zimbolt " * 30000, "")]
+    labels += [(400, 0), (401, None), (None, 1), (999, 1), labels[0]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, words string").withColumn("_id", F.lit("clash")).repartition(5)
+    given = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(docs, given)
+    assert (toxicity.train(docs, given).weights == model.weights).all()
+    got = toxicity.score(docs, model).collect()
+    assert len(got) == len(rows) and set(got[0].asDict()) == {"doc_id", "text", "words", "_id", "toxicity"}
+    assert all((x.toxicity >= 0.5) == ("zimbolt" in (x.text or "") or "krunkfy" in (x.text or "")) for x in got)
+    for d, n in ((docs.limit(0), given), (docs, given.limit(0)), (docs, given.where("toxic = 0"))):
+        assert all(x.toxicity < 0.5 for x in toxicity.score(docs, toxicity.train(d, n)).collect())
+
+
 def test_targets_and_apportionment():
     assert mixing.targets({"a": 10, "b": 10, None: 10}) == {"a": 20.0, "b": pytest.approx(50 / 3), None: pytest.approx(25 / 3)}
     claims, seats = [53.0, 24.0, 23.0, 0.0], 7

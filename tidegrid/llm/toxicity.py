@@ -275,40 +275,53 @@ def held_out() -> F.Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Model:
-    """Fits on a sample of the labelled documents that are not held out: the first ``rows`` by hash of doc_id, as long as their texts have ``chars`` characters or less. Rows with a null id or label are left out."""
+    """Fits on a sample of the labelled documents that are not held out: the first ``rows`` by hash of doc_id, as long as their texts have ``chars`` characters or less. Rows with a null id or label are left out.
+
+    The fit runs in one task of an executor, as the sample is bounded; the driver receives the weights (4 MB) only.
+    """
     spark = docs.sparkSession
     prepare(spark)
     labelled = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
     picked = labelled.orderBy(F.xxhash64("_id"), "_id", "toxic").limit(rows)
-    picked = spark.createDataFrame(picked.toPandas(), "_id long, toxic int") if rows else labelled.limit(0)
+    picked = spark.createDataFrame([tuple(r) for r in picked.collect()], "_id long, toxic int")
     sample = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "_id")
-    sizes = sorted((r.h, r["_id"], r.n) for r in sample.select("_id", F.xxhash64("_id").alias("h"), F.coalesce(F.length("text"), F.lit(0)).alias("n")).collect())
-    total, keep = np.cumsum([n for _, _, n in sizes]), [d for _, d, _ in sizes]
-    keep = sorted({d for d, t in zip(keep, total.tolist(), strict=True) if t <= chars})
+    sizes = sample.groupBy("_id").agg(F.sum(F.coalesce(F.length("text"), F.lit(0)).cast("long")).alias("n")).select(F.xxhash64("_id").alias("h"), "_id", "n").orderBy("h", "_id").collect()
+    total = np.cumsum([r.n for r in sizes]).tolist()
+    some = spark.createDataFrame([(r["_id"],) for r, t in zip(sizes, total, strict=True) if t <= chars], "_id long")
 
     def words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            sets = [sorted(set(encode(t or "").tobytes().split(b"\0")) - {b""}) for t in x.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([x.column(0), pa.array(sets, pa.list_(pa.binary()))], names=["toxic", "words"])
+            sets = [sorted(set(encode(t or "").tobytes().split(b"\0")) - {b""}) for t in x.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), pa.array(sets, pa.list_(pa.binary()))], names=["_id", "toxic", "words"])
+
+    coded = sample.join(F.broadcast(some), "_id").select("_id", "toxic", "text").mapInArrow(words, "_id long, toxic int, words array<binary>")
+    got = coded.groupBy().applyInArrow(_fit_sample, "weights binary, bias double, slope double, middle double").collect()
+    if not got:
+        return fit([])
+    return Model(np.frombuffer(got[0].weights, np.float32), got[0].bias, (got[0].slope, got[0].middle))
+
 
-    some = spark.createDataFrame([(d,) for d in keep], "_id long")
-    got = sample.join(F.broadcast(some), "_id").select("toxic", "text").mapInArrow(words, "toxic int, words array<binary>").toArrow()
-    flat = got.column("words").combine_chunks()
+def _fit_sample(sample: pa.Table) -> pa.Table:
+    """The model of the whole sample (_id, toxic, words), as one row."""
+    sample = sample.sort_by([("_id", "ascending"), ("toxic", "ascending")])
+    flat = sample.column("words").combine_chunks()
     coded = flat.flatten().dictionary_encode()
     sizes = np.asarray(flat.value_lengths().fill_null(0))
     word = np.asarray(coded.indices, np.int64)
-    toxic = np.asarray(got.column("toxic").combine_chunks()) == 1
+    names = coded.dictionary.to_pylist()
+    order = sorted(range(len(names)), key=names.__getitem__)
+    rank = np.empty(len(names), np.int64)
+    rank[order] = np.arange(len(names))
+    word = rank[word]
+    toxic = np.asarray(sample.column("toxic").combine_chunks()) == 1
     starts = np.concatenate([[0], np.cumsum(sizes)])
     keys = [(bool(y), np.sort(word[a:b]).tobytes()) for y, a, b in zip(toxic, starts, starts[1:], strict=False)]
     first = {k: i for i, k in reversed(list(enumerate(keys)))}
     kept = np.array([first[k] == i for i, k in enumerate(keys)], bool)  # copies count once
     doc = np.repeat(np.cumsum(kept) - 1, sizes)
     on = np.repeat(kept, sizes)
-    words = coded.dictionary.to_pylist()
-    order = sorted(range(len(words)), key=words.__getitem__)
-    rank = np.empty(len(words), np.int64)
-    rank[order] = np.arange(len(words))
-    return fit_words(toxic[kept], doc[on], rank[word[on]], [words[k] for k in order])
+    m = fit_words(toxic[kept], doc[on], word[on], [names[k] for k in order])
+    return pa.table({"weights": pa.array([m.weights.tobytes()], pa.binary()), "bias": [float(m.bias)], "slope": [float(m.curve[0])], "middle": [float(m.curve[1])]})
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
