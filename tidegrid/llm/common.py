@@ -30,13 +30,25 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tidegrid-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read again: lineage ends there, and a lost executor costs no more than its tasks."""
-    spark, path = df.sparkSession, shared_dir(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
+def written(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read again: lineage ends there, and a lost executor costs no more than its tasks. Its shuffle files go when the write is done."""
+    spark, path = df.sparkSession, path or shared_dir(df.sparkSession)
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, "false")
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of written tables that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

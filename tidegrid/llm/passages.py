@@ -6,7 +6,7 @@
    stay as many as seeds, whatever the number of holders.
 3. Of each pair (document, first holder) the seed matches are chained in order with costs for gaps, by a Fenwick tree of prefix maxima.
 4. Chains are aligned: exactly between seeds, by X-drop beyond the ends. A passage has ``least`` words or more and a likeness of ``like`` or more.
-Only codes of words (32 bits) of documents that have a chain move, not their texts.
+Only codes of words (32 bits) of documents that have a chain move, not their texts. Joins sort and merge at every size, as no side has a bound.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidegrid.llm.common import prepare, table, words_of, written
+from tidegrid.llm.common import discard, prepare, shared_dir, table, words_of, written
 
 K, WINDOW, LEAST, LIKE = 5, 10, 50, 0.8
 GAP, MARGIN, DROP, PENALTY = 0.1, 64, 12, 3
@@ -169,10 +169,11 @@ def find(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST,
 
     sown = rows.mapInArrow(sow, "seed long, doc long, pos int")
     shared = sown.groupBy("seed").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last")
-    shared = written(shared.select("seed", "first"))
-    held = written(sown.join(shared, "seed"))
-    firsts = written(held.where("doc = first").groupBy("seed").agg(F.min("pos").alias("other")))
-    matches = held.where("doc <> first").join(firsts, "seed").select("doc", "first", "pos", "other")
+    passing = shared_dir(spark)
+    shared = written(shared.select("seed", "first"), f"{passing}/shared")
+    held = written(sown.join(shared.hint("merge"), "seed"), f"{passing}/held")
+    firsts = written(held.where("doc = first").groupBy("seed").agg(F.min("pos").alias("other")), f"{passing}/firsts")
+    matches = held.where("doc <> first").join(firsts.hint("merge"), "seed").select("doc", "first", "pos", "other")
     pairs = matches.groupBy("doc", "first").agg(F.collect_list(F.struct("pos", "other")).alias("at")).where(F.size("at") > 1)
 
     def chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,6 +186,7 @@ def find(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST,
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), ints, ints))], names=["doc", "first", "pos", "other"])
 
     found = written(pairs.mapInArrow(chain, "doc long, first long, pos array<int>, other array<int>"))
+    discard(spark, passing)
     needed = found.select(F.explode(F.array("doc", "first")).alias("d")).select(F.shiftrightunsigned(F.xxhash64("d"), 64 - FILTER_BITS).alias("bit"))
     words = needed.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toArrow()  # a filter of fixed size
     filter_ = np.zeros(1 << (FILTER_BITS - 6), np.int64)
@@ -199,10 +201,10 @@ def find(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST,
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["id", "key", "codes"])
 
     coded = rows.select("doc_id", F.xxhash64("text").alias("key"), "text", F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - FILTER_BITS).alias("bit")).mapInArrow(encode, "id long, key long, codes binary")
-    mine = found.join(coded.select(F.col("id").alias("doc"), F.col("key").alias("text_key"), "codes"), "doc")
+    mine = found.join(coded.select(F.col("id").alias("doc"), F.col("key").alias("text_key"), "codes").hint("merge"), "doc")
     low, high = F.greatest(F.element_at("pos", 1) - MARGIN, F.lit(0)), F.element_at("pos", -1) + k + MARGIN
     mine = mine.select("doc", "text_key", "first", "pos", "other", low.alias("low"), F.substring("codes", 4 * low + 1, 4 * (high - low)).alias("a"))
-    both = mine.join(coded.select(F.col("id").alias("first"), F.col("codes").alias("b")), "first")
+    both = mine.join(coded.select(F.col("id").alias("first"), F.col("codes").alias("b")).hint("merge"), "first")
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -224,7 +226,7 @@ def remove(docs: DataFrame, **options) -> DataFrame:
     """docs without the passages that an earlier document has; n_chars follows the text. All rows and columns stay; a text that is one passage becomes empty."""
     spans = find(docs, **options)
     spans = spans.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.collect_set(F.struct("start", "end")).alias("_spans"))
-    joined = docs.join(written(spans), (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_key")), "left").drop("_id", "_key")
+    joined = docs.join(written(spans).hint("merge"), (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_key")), "left").drop("_id", "_key")
     schema = docs.schema
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
