@@ -121,6 +121,11 @@ def test_mixing(spark, prose):
     assert mixed.columns == df.columns
     assert sum(len(r.text.split()) for r in mixed.collect()) == sum(r.taken for r in plan)
     assert mixing.plan(mixing.sized(df.limit(0))).collect() == []
+    odd = df.withColumns({"_row": F.lit("r"), "spans": F.lit(None).cast("int"), "a.b": F.array(F.lit(1))})
+    got = mixing.mix(odd)
+    assert got.columns == odd.columns and mixing.mix(odd.limit(0)).collect() == []
+    assert sorted((r.text, r.n_chars) for r in got.collect()) == sorted((r.text, r.n_chars) for r in mixed.collect())
+    assert all(r["_row"] == "r" and r["spans"] is None and r["a.b"] == [1] for r in got.collect())
 
 
 def test_packing_is_a_round_trip(spark, prose):

@@ -142,27 +142,44 @@ def sized(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """docs as mixed: a row for each whole pass over a document and one with the taken words of a partial pass; n_chars follows the text. Documents of which nothing is taken go; a null source is a source."""
-    columns = docs.columns
-    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()))
-    sizes = written(rows.select("_row", F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count("text").alias("size")))
-    chosen = written(plan(sizes, **options).where("taken > 0").select("_row", "passes", "spans"))
-    joined = rows.join(chosen, "_row")
-    whole = joined.where("passes > 0").withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("passes").cast("int")))).select(*columns)
-    part = joined.where(F.size("spans") > 0)
-    text_type = "text string, _row long"
+    """docs as mixed: a row for each whole pass over a document and one with the taken words of a partial pass; n_chars follows the text.
+
+    Documents of which nothing is taken go; a null source is a source. Other columns stay, whatever their names. Texts move in one join, which sorts and merges at every size.
+    """
+    names, schema = docs.columns, docs.schema
+    rows = written(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*(F.col(f"`{c}`") for c in names)).alias("_doc")))
+    part = F.col("_doc")
+    sizes = rows.select("_row", part["doc_id"].cast("long").alias("doc_id"), part["source"].cast("string").alias("source"), part["text"].alias("text")).withColumn("size", word_count("text")).drop("text")
+    chosen = written(plan(written(sizes), **options).where("taken > 0").select("_row", "passes", "spans"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
 
         word = re.compile(r"[^\x20\x09-\x0D]+")
+
+        def taken(docs: pa.StructArray, at: list[int], texts: list[str], partial: list[bool]) -> pa.RecordBatch:
+            columns = dict(zip(names, docs.take(pa.array(at, pa.int64())).flatten(), strict=True))
+            columns["text"] = pa.array(texts, columns["text"].type)
+            if "n_chars" in columns:
+                given = columns["n_chars"]
+                columns["n_chars"] = pa.array([len(t) if p else n for t, p, n in zip(texts, partial, given.to_pylist(), strict=True)], given.type)
+            return pa.RecordBatch.from_arrays(list(columns.values()), names=names)
+
         for x in batches:
-            out = []
-            for t, spans in zip(x.column(0).to_pylist(), x.column(2).to_pylist(), strict=True):
-                at = [m.span() for m in word.finditer(t)]
-                out.append("\n".join(t[at[s["start"]][0] : at[s["end"] - 1][1]] for s in spans))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), x.column(1)], names=["text", "_row"])
-
-    texts = part.select(F.col("text").cast("string"), "_row", "spans").mapInArrow(cut, text_type)
-    partial = rows.drop("text").join(texts, "_row").withColumn("n_chars", F.char_length("text").cast("long")).select(*columns) if "n_chars" in columns else rows.drop("text").join(texts, "_row").select(*columns)
-    return whole.unionByName(partial)
+            docs, at, texts, partial, n = x.column(0), [], [], [], 0
+            for i, (t, passes, spans) in enumerate(zip(docs.field("text").to_pylist(), x.column(1).to_pylist(), x.column(2).to_pylist(), strict=True)):
+                at += [i] * passes
+                texts += [t] * passes
+                partial += [False] * passes
+                if spans:
+                    words = [m.span() for m in word.finditer(t)]
+                    at.append(i)
+                    texts.append("\n".join(t[words[s["start"]][0] : words[s["end"] - 1][1]] for s in spans))
+                    partial.append(True)
+                n += len(t) * (passes + 1)
+                if n > 1 << 24:  # a few million letters at a time
+                    yield taken(docs, at, texts, partial)
+                    at, texts, partial, n = [], [], [], 0
+            yield taken(docs, at, texts, partial)
+
+    return rows.join(chosen.hint("merge"), "_row").select("_doc", "passes", "spans").mapInArrow(cut, schema)
