@@ -269,6 +269,9 @@ def test_passages(spark, prose):
     assert text[1] == rows[0][1] and text[3] == q and text[7] is None and p not in text[2] and len(text[2].split()) == 30
     assert (None, q) in left and (5, rows[4][1]) in left and (5, "") in left
     assert passages.find(df.limit(0)).collect() == []
+    again = df.unionByName(df.withColumns({"doc_id": F.col("doc_id") + 100, "text": F.concat_ws(" ", "text", "text")}))
+    runs = [sorted(map(tuple, passages.find(again.repartition(n, F.xxhash64("text", F.lit(n)))).collect())) for n in (1, 7)]
+    assert runs[0] == runs[1] and len(runs[0]) > 4
 
 
 def test_chains_match_brute_force():

@@ -180,7 +180,8 @@ def find(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST,
         for x in batches:
             out = []
             for d, f, at in zip(*(x.column(i).to_pylist() for i in range(3)), strict=True):
-                pos, other = [m["pos"] for m in at], [m["other"] for m in at]
+                at = sorted((m["pos"], m["other"]) for m in at)  # ties fall alike in every run
+                pos, other = [p for p, _ in at], [o for _, o in at]
                 out += [(d, f, [pos[i] for i in c], [other[i] for i in c]) for c in chains(pos, other, k)]
             ints = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), ints, ints))], names=["doc", "first", "pos", "other"])
