@@ -5,7 +5,7 @@
 2. Each seed that more than one document has is tied to its first holder (least doc_id), never to all others: rows
    stay as many as seeds, whatever the number of holders.
 3. Of each pair (document, first holder) the seed matches are chained in order with costs for gaps, by a Fenwick tree of prefix maxima.
-4. Chains are aligned: exactly between seeds, by X-drop beyond the ends. A passage has ``least`` words or more and a likeness of ``like`` or more.
+4. Chains are aligned: exactly between seeds, by X-drop beyond the ends; one that is not like enough is cut at its worst gaps. A passage has ``least`` words or more and a likeness of ``like`` or more.
 Only codes of words (32 bits) of documents that have a chain move, not their texts. Joins sort and merge at every size, as no side has a bound.
 """
 
@@ -127,22 +127,32 @@ def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return k, int(equal[:k].sum())
 
 
-def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], k: int = K) -> tuple[int, int, int, int, float]:
-    """(start, end, other start, other end, likeness) of a chain of matches in the word codes a and b."""
-    same = 0
-    for i in range(len(pos)):
-        if i + 1 == len(pos):
-            same += k
-        elif pos[i + 1] - pos[i] == other[i + 1] - other[i] and pos[i + 1] - pos[i] <= k:
-            same += pos[i + 1] - pos[i]
-        else:
-            step = min(k, pos[i + 1] - pos[i], other[i + 1] - other[i])
-            same += step + _matches(a[pos[i] + step : pos[i + 1]], b[other[i] + step : other[i + 1]])
-    s, t, e, f = pos[0], other[0], pos[-1] + k, other[-1] + k
-    left, m = _extend(a[:s][::-1], b[:t][::-1])
-    right, n = _extend(a[e:], b[f:])
-    s, t, e, f, same = s - left, t - left, e + right, f + right, same + m + n
-    return s, e, t, f, same / max(e - s, f - t)
+def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], least: int = LEAST, like: float = LIKE, k: int = K) -> list[tuple[int, int, int, int, float]]:
+    """(start, end, other start, other end, likeness) of the passages that a chain of matches holds in the word codes a and b.
+
+    A chain that is not like enough as a whole, with or without its extended ends, is cut at the link that leaves most words
+    unmatched; both parts are judged in the same way. A part has two matches or more and extends no further than its neighbours.
+    """
+    same = []
+    for i in range(len(pos) - 1):
+        d, o = pos[i + 1] - pos[i], other[i + 1] - other[i]
+        step = min(k, d, o)
+        same.append(d if d == o and d <= k else step + _matches(a[pos[i] + step : pos[i + 1]], b[other[i] + step : other[i + 1]]))
+    lost = np.maximum(np.diff(pos), np.diff(other)) - np.array(same, np.int64)
+    before, out, parts = np.concatenate([[0], np.cumsum(same)]), [], [(0, len(pos) - 1)]
+    while parts:
+        i, j = parts.pop()
+        s, t, e, f, m = pos[i], other[i], pos[j] + k, other[j] + k, int(before[j] - before[i]) + k
+        left, ml = _extend(a[pos[i - 1] + k if i else 0 : s][::-1], b[other[i - 1] + k if i else 0 : t][::-1])
+        right, mr = _extend(a[e : pos[j + 1] if j + 1 < len(pos) else None], b[f : other[j + 1] if j + 1 < len(pos) else None])
+        tries = ((s - left, e + right, t - left, f + right, m + ml + mr), (s, e, t, f, m))
+        good = [(*x[:4], x[4] / max(x[1] - x[0], x[3] - x[2])) for x in tries if x[4] >= like * max(x[1] - x[0], x[3] - x[2])]
+        if good:
+            out += [x for x in good if x[1] - x[0] >= least][:1]
+        elif j - i > 1 and lost[i:j].max() > 0:
+            cut = i + int(lost[i:j].argmax())
+            parts += [p for p in ((cut + 1, j), (i, cut)) if p[1] > p[0]]
+    return out
 
 
 def find(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST, like: float = LIKE) -> DataFrame:
@@ -214,9 +224,7 @@ def find(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST,
                 a, b = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
                 if pos[-1] + k - base > len(a) or other[-1] + k > len(b):
                     continue  # the match is of another row with this doc_id
-                s, e, t, u, likeness = align(a, b, [p - base for p in pos], other, k)
-                if e - s >= least and likeness >= like:
-                    out.append((d, key, s + base, e + base, f, t, u, likeness))
+                out += [(d, key, s + base, e + base, f, t, u, likeness) for s, e, t, u, likeness in align(a, b, [p - base for p in pos], other, least, like, k)]
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["doc_id", "text_key", "start", "end", "other_id", "other_start", "other_end", "likeness"])
 
