@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from tidegrid.llm import passages
@@ -28,3 +29,16 @@ def test_a_chain_is_cut_at_its_gaps(spark, prose):
         texts = [f"{head} {prose(gap)} {foot}", f"{prose(20)} {head} {prose(gap)} {foot} {prose(20)}"]
         rows = found(spark, texts)
         assert covered(rows, 2) == {*range(20, 80), *range(80 + gap, 140 + gap)}
+
+
+def test_halves_with_different_first_holders(spark, prose):
+    p = prose(60).split()
+    texts = [" ".join(p[:30]) + " " + prose(40), prose(40) + " " + " ".join(p[30:]), prose(10) + " " + " ".join(p), prose(25) + " " + " ".join(p) + " " + prose(25)]
+    assert covered(found(spark, texts), 4) == set(range(25, 85))
+
+
+def test_windows_hash_alike_wherever_they_are():
+    c = np.random.default_rng(0).integers(0, 2**32, 300).astype(np.uint32)
+    x, m, at = passages.halves_of(c, 50)
+    assert (passages.runs_of(c[100:], 50) == passages.runs_of(c, 50)[100:]).all()
+    assert (m == np.lib.stride_tricks.sliding_window_view(x, 26).min(axis=1)).all() and set(m) == set(x[at])

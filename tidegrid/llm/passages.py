@@ -6,11 +6,15 @@
    stay as many as seeds, whatever the number of holders.
 3. Of each pair (document, first holder) the seed matches are chained in order with costs for gaps, by a Fenwick tree of prefix maxima.
 4. Chains are aligned: exactly between seeds, by X-drop beyond the ends; one that is not like enough is cut at its worst gaps. A passage has ``least`` words or more and a likeness of ``like`` or more.
+5. Exact runs of ``least`` words don't depend on any of that. Halves (``least`` // 2 words) are seeds too, each window's least
+   one; each window whose least half another document has is hashed whole and tied to its own first holder. So a passage
+   whose parts have different holders is found in parts that overlap. What passages of step 4 cover is not repeated.
 Only codes of words (32 bits) of documents that have a chain move, not their texts. Joins sort and merge at every size, as no side has a bound.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,6 +28,8 @@ from tidegrid.llm.common import discard, prepare, shared_dir, table, words_of, w
 K, WINDOW, LEAST, LIKE = 5, 10, 50, 0.8
 GAP, MARGIN, DROP, PENALTY = 0.1, 64, 12, 3
 FILTER_BITS, REMEMBERED = 23, 500_000
+_BASE = 0x9E3779B97F4A7C15
+PASSAGE = "doc_id long, text_key long, start int, end int, other_id long, other_start int, other_end int, likeness double"
 _MIX = [np.uint64(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64) | 1) for j in range(64)]
 
 
@@ -62,6 +68,43 @@ def seeds(h: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarray,
     return x + nth * _MIX[-1], at
 
 
+def _powers(base: int, n: int, known: dict = {}) -> np.ndarray:  # noqa: B006
+    """base ** 0, 1, ... n - 1 in 64 bits."""
+    if len(known.get(base, ())) < n:
+        known[base] = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(max(n, 4096) * 2, base, np.uint64)]))
+    return known[base][:n]
+
+
+def runs_of(codes32: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of each n codes in a row, at a cost that does not grow with n."""
+    if len(codes32) < n:
+        return np.empty(0, np.uint64)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes32.astype(np.uint64) * _powers(_BASE, len(codes32)), dtype=np.uint64)])
+    x = (total[n:] - total[:-n]) * _powers(pow(_BASE, -1, 1 << 64), len(codes32) - n + 1)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def _slide(x: np.ndarray, n: int, least: np.ufunc) -> np.ndarray:
+    """np.minimum or np.maximum of each n values in a row."""
+    wide = 1
+    while wide * 2 <= n:
+        x, wide = least(x[:-wide], x[wide:]), wide * 2
+    return least(x[: len(x) - (n - wide)], x[n - wide :]) if n > wide else x
+
+
+def halves_of(codes32: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of the halves, the least of each window of ``least`` words, positions of halves that are the least of a window)."""
+    half = least // 2
+    x, n = runs_of(codes32, half), least - half + 1
+    if len(x) < n:
+        return x, np.empty(0, np.uint64), np.empty(0, np.int64)
+    m = _slide(x, n, np.minimum)
+    edge = np.zeros(n - 1, np.uint64)
+    return x, m, np.flatnonzero(_slide(np.concatenate([edge, m, edge]), n, np.maximum) == x)
+
+
 def chains(pos: list[int], other: list[int], weight: float = K, gap: float = GAP) -> list[list[int]]:
     """Indexes of matches (pos, other) in chains of two or more, both rising; each match is in one chain at most, the best chains first.
 
@@ -172,18 +215,22 @@ def find(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST,
             for d, t in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True):
                 w = words_of(t.lower())
                 if len(w) >= least * like:
-                    h, at = seeds(codes(w, known), k, window)
+                    c = codes(w, known)
+                    h, at = seeds(c, k, window)
                     parts.append((h, np.full(len(h), d, np.int64), at))
+                    x, _, at = halves_of(c.astype(np.uint32), least)
+                    parts.append((x[at], np.full(len(at), d, np.int64), -1 - at))
             h, d, at = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0, np.uint64) for i in range(3))
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(d.astype(np.int64)), pa.array(at.astype(np.int32))], names=["seed", "doc", "pos"])
 
-    sown = rows.mapInArrow(sow, "seed long, doc long, pos int")
+    sown = rows.mapInArrow(sow, "seed long, doc long, pos int")  # below 0: -1 less the position of a half
     shared = sown.groupBy("seed").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last")
     passing = shared_dir(spark)
     shared = written(shared.select("seed", "first"), f"{passing}/shared")
     held = written(sown.join(shared.hint("merge"), "seed"), f"{passing}/held")
-    firsts = written(held.where("doc = first").groupBy("seed").agg(F.min("pos").alias("other")), f"{passing}/firsts")
-    matches = held.where("doc <> first").join(firsts.hint("merge"), "seed").select("doc", "first", "pos", "other")
+    firsts = written(held.where("doc = first AND pos >= 0").groupBy("seed").agg(F.min("pos").alias("other")), f"{passing}/firsts")
+    halves = written(held.where("pos < 0").groupBy("doc").agg(F.collect_set("seed").alias("halves")))
+    matches = held.where("doc <> first AND pos >= 0").join(firsts.hint("merge"), "seed").select("doc", "first", "pos", "other")
     pairs = matches.groupBy("doc", "first").agg(F.collect_list(F.struct("pos", "other")).alias("at")).where(F.size("at") > 1)
 
     def chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +245,7 @@ def find(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST,
 
     found = written(pairs.mapInArrow(chain, "doc long, first long, pos array<int>, other array<int>"))
     discard(spark, passing)
-    needed = found.select(F.explode(F.array("doc", "first")).alias("d")).select(F.shiftrightunsigned(F.xxhash64("d"), 64 - FILTER_BITS).alias("bit"))
+    needed = found.select(F.explode(F.array("doc", "first")).alias("d")).union(halves.select("doc")).select(F.shiftrightunsigned(F.xxhash64("d"), 64 - FILTER_BITS).alias("bit"))
     words = needed.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toArrow()  # a filter of fixed size
     filter_ = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     filter_[np.asarray(words.column(0).combine_chunks(), np.int64)] = np.asarray(words.column(1).combine_chunks(), np.int64)
@@ -228,7 +275,51 @@ def find(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST,
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["doc_id", "text_key", "start", "end", "other_id", "other_start", "other_end", "likeness"])
 
-    return both.mapInArrow(compare, "doc_id long, text_key long, start int, end int, other_id long, other_start int, other_end int, likeness double")
+    chained = written(both.mapInArrow(compare, PASSAGE))
+    return chained.unionByName(exact(coded.join(halves.hint("merge"), F.col("id") == F.col("doc")), chained, least))
+
+
+def exact(shared: DataFrame, chained: DataFrame, least: int) -> DataFrame:
+    """Runs of ``least`` words or more that an earlier document has word for word, less those within the passages ``chained``; shared(id, key, codes, halves) has the hashes of halves that other documents have too."""
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            for d, key, c, h in zip(*(x.column(n).to_pylist() for n in ("id", "key", "codes", "halves")), strict=True):
+                c = np.frombuffer(c, np.uint32)
+                at = np.flatnonzero(np.isin(halves_of(c, least)[1].view(np.int64), np.array(h, np.int64)))
+                run = runs_of(c, least)[at] if len(at) else np.empty(0, np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(run.view(np.int64)), pa.array(np.full(len(at), d, np.int64)), pa.array(np.full(len(at), key, np.int64)), pa.array(at.astype(np.int32))], names=["run", "doc", "key", "pos"])
+
+    windows = written(shared.mapInArrow(cut, "run long, doc long, key long, pos int"))
+    held = windows.groupBy("run").agg(F.min(F.struct("doc", "pos")).alias("first"), F.max("doc").alias("last")).where("first.doc <> last")
+    later = windows.join(held.hint("merge"), "run").where("doc <> first.doc")
+    later = later.groupBy("doc", "key").agg(F.collect_set(F.struct("pos", F.col("first.doc").alias("first"), F.col("first.pos").alias("other"))).alias("at"))
+    spans = chained.groupBy(F.col("doc_id").alias("doc"), F.col("text_key").alias("key")).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+
+    def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            out = []
+            for d, key, at, spans in zip(*(x.column(n).to_pylist() for n in ("doc", "key", "at", "spans")), strict=True):
+                covered: list[list[int]] = []
+                for s, e in sorted((v["start"], v["end"]) for v in spans or ()):
+                    if covered and s <= covered[-1][1]:
+                        covered[-1][1] = max(e, covered[-1][1])
+                    else:
+                        covered.append([s, e])
+                starts, joined = [s for s, _ in covered], []
+                for pos, first, other in sorted((v["pos"], v["first"], v["other"]) for v in at):
+                    if joined and joined[-1][1:] == [pos - 1 + least, first, other - 1 + least]:
+                        joined[-1][1], joined[-1][3] = pos + least, other + least
+                    else:
+                        joined.append([pos, pos + least, first, other + least])
+                for s, e, first, f in joined:
+                    i = bisect_right(starts, s) - 1
+                    if i < 0 or covered[i][1] < e:
+                        out.append((d, key, s, e, first, f - (e - s), f, 1.0))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["doc_id", "text_key", "start", "end", "other_id", "other_start", "other_end", "likeness"])
+
+    return later.join(spans.hint("merge"), ["doc", "key"], "left").mapInArrow(merge, PASSAGE)
 
 
 def remove(docs: DataFrame, **options) -> DataFrame:
