@@ -42,3 +42,13 @@ def test_windows_hash_alike_wherever_they_are():
     x, m, at = passages.halves_of(c, 50)
     assert (passages.runs_of(c[100:], 50) == passages.runs_of(c, 50)[100:]).all()
     assert (m == np.lib.stride_tricks.sliding_window_view(x, 26).min(axis=1)).all() and set(m) == set(x[at])
+
+
+def test_every_copy_of_a_passage_is_found(spark, prose):
+    w = prose(120).split()
+    other = w.copy()
+    for k in range(20, 120, 20):
+        other[k] = "edited"  # no 50 words in a row agree
+    texts = [prose(30) + " " + " ".join(w), " ".join([prose(40), *other, prose(40), *other, prose(40), *other, prose(40)])]
+    want = {*range(40, 160), *range(200, 320), *range(360, 480)}
+    assert covered(found(spark, texts), 2) == want

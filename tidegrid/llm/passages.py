@@ -3,7 +3,8 @@
 1. Seeds: hashes of k words; of each ``window`` consecutive ones the least (minimizers), so that any run of
    k + window - 1 equal words shares one.
 2. Each seed that more than one document has is tied to its first holder (least doc_id), never to all others: rows
-   stay as many as seeds, whatever the number of holders.
+   stay as many as seeds, whatever the number of holders. The n-th copy in a document is tied to the n-th that the
+   holder has, counted from the front and from the back, or to its last or first one where it has fewer.
 3. Of each pair (document, first holder) the seed matches are chained in order with costs for gaps, by a Fenwick tree of prefix maxima.
 4. Chains are aligned: exactly between seeds, by X-drop beyond the ends; one that is not like enough is cut at its worst gaps. A passage has ``least`` words or more and a likeness of ``like`` or more.
 5. Exact runs of ``least`` words don't depend on any of that. Halves (``least`` // 2 words) are seeds too, each window's least
@@ -28,6 +29,7 @@ from tidegrid.llm.common import discard, prepare, shared_dir, table, words_of, w
 K, WINDOW, LEAST, LIKE = 5, 10, 50, 0.8
 GAP, MARGIN, DROP, PENALTY = 0.1, 64, 12, 3
 FILTER_BITS, REMEMBERED = 23, 500_000
+COPIES = (1 << 15) - 1  # copies of a seed in one document that are told apart
 _BASE = 0x9E3779B97F4A7C15
 PASSAGE = "doc_id long, text_key long, start int, end int, other_id long, other_start int, other_end int, likeness double"
 _MIX = [np.uint64(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64) | 1) for j in range(64)]
@@ -46,7 +48,7 @@ def codes(words: list[bytes], known: dict) -> np.ndarray:
 
 
 def seeds(h: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, position) of the minimizers among the k-word hashes of word hashes h; the n-th of equal hashes counts as a hash of its own, so that repeated lines match in order."""
+    """(hash, place) of the minimizers among the k-word hashes of word hashes h; a place packs the position, the number of equal seeds before it and that after it (see ``unpack``)."""
     n = len(h) - k + 1
     if n < 1:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -60,12 +62,24 @@ def seeds(h: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarray,
         at = np.array([int(x.argmin())])
     else:
         at = np.unique(np.lib.stride_tricks.sliding_window_view(x, window).argmin(axis=1) + np.arange(n - window + 1))
-    x = x[at]
-    order = np.argsort(x, kind="stable")
-    fresh = np.concatenate([[True], x[order][1:] != x[order][:-1]])
-    nth = np.empty(len(x), np.uint64)
-    nth[order] = np.arange(len(x)) - np.maximum.accumulate(np.where(fresh, np.arange(len(x)), 0))
-    return x + nth * _MIX[-1], at
+    return x[at], placed(x[at], at)
+
+
+def placed(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The places of seeds x at positions ``at``."""
+    order, n = np.argsort(x, kind="stable"), np.arange(len(x))
+    fresh = np.concatenate([[True], x[order][1:] != x[order][:-1]])[: len(x)]
+    first = np.maximum.accumulate(np.where(fresh, n, 0))
+    size = np.diff(np.append(np.flatnonzero(fresh), len(x)))[np.cumsum(fresh) - 1]
+    before, after = np.empty(len(x), np.int64), np.empty(len(x), np.int64)
+    before[order], after[order] = n - first, first + size - 1 - n
+    return at | np.minimum(before, COPIES) << 32 | np.minimum(after, COPIES) << 47
+
+
+def unpack(place: str) -> tuple[F.Column, F.Column, F.Column]:
+    """(position, equal seeds before, equal seeds after) of a place."""
+    x = F.col(place)
+    return x.bitwiseAND(F.lit((1 << 32) - 1)).cast("int"), F.shiftright(x, 32).bitwiseAND(F.lit(COPIES)).cast("int"), F.shiftright(x, 47).cast("int")
 
 
 def _powers(base: int, n: int, known: dict = {}) -> np.ndarray:  # noqa: B006
@@ -221,16 +235,20 @@ def find(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST,
                     x, _, at = halves_of(c.astype(np.uint32), least)
                     parts.append((x[at], np.full(len(at), d, np.int64), -1 - at))
             h, d, at = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0, np.uint64) for i in range(3))
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(d.astype(np.int64)), pa.array(at.astype(np.int32))], names=["seed", "doc", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(d.astype(np.int64)), pa.array(at.astype(np.int64))], names=["seed", "doc", "at"])
 
-    sown = rows.mapInArrow(sow, "seed long, doc long, pos int")  # below 0: -1 less the position of a half
+    sown = rows.mapInArrow(sow, "seed long, doc long, at long")  # at: a seed's place, or -1 less the position of a half
     shared = sown.groupBy("seed").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last")
     passing = shared_dir(spark)
     shared = written(shared.select("seed", "first"), f"{passing}/shared")
     held = written(sown.join(shared.hint("merge"), "seed"), f"{passing}/held")
-    firsts = written(held.where("doc = first AND pos >= 0").groupBy("seed").agg(F.min("pos").alias("other")), f"{passing}/firsts")
-    halves = written(held.where("pos < 0").groupBy("doc").agg(F.collect_set("seed").alias("halves")))
-    matches = held.where("doc <> first AND pos >= 0").join(firsts.hint("merge"), "seed").select("doc", "first", "pos", "other")
+    pos, before, after = unpack("at")
+    firsts = written(held.where("doc = first AND at >= 0").groupBy("seed").agg(F.sort_array(F.collect_list(pos)).alias("others")), f"{passing}/firsts")
+    halves = written(held.where("at < 0").groupBy("doc").agg(F.collect_set("seed").alias("halves")))
+    matches = held.where("doc <> first AND at >= 0").join(firsts.hint("merge"), "seed")
+    last = F.size("others") - 1
+    ends = F.array_distinct(F.array(F.get("others", F.least(before, last)), F.get("others", F.greatest(last - after, F.lit(0)))))
+    matches = matches.select("doc", "first", pos.alias("pos"), F.explode(ends).alias("other"))
     pairs = matches.groupBy("doc", "first").agg(F.collect_list(F.struct("pos", "other")).alias("at")).where(F.size("at") > 1)
 
     def chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
