@@ -52,3 +52,24 @@ def test_every_copy_of_a_passage_is_found(spark, prose):
     texts = [prose(30) + " " + " ".join(w), " ".join([prose(40), *other, prose(40), *other, prose(40), *other, prose(40)])]
     want = {*range(40, 160), *range(200, 320), *range(360, 480)}
     assert covered(found(spark, texts), 2) == want
+
+
+def test_extends_over_added_and_lost_words():
+    a = np.arange(100, 160, dtype=np.uint32)
+    b = np.delete(np.insert(a, [8, 30], [1, 2]), 50)
+    assert passages._extend(a, b) == (60, 61, 59) and passages._extend(b, a) == (61, 60, 59)
+    assert passages._extend(a, a + np.uint32(500)) == (0, 0, 0) and passages._extend(a, a) == (60, 60, 60)
+
+
+def test_fuzzy_passages_are_found(spark, prose):
+    texts, n = [], 40
+    for k in range(n):
+        w = prose(60).split()
+        texts.append(" ".join(w))
+        for i in range(48, 0, -8) if k % 2 else ():
+            w.insert(i, f"new{i}")
+        for i in range(6, 60, 7) if k % 2 == 0 else ():
+            w[i] = "edited"
+        texts.append(prose(30) + " " + " ".join(w) + " " + prose(30))
+    rows = found(spark, texts)
+    assert sum(len(covered(rows, 2 * k + 2)) >= 50 for k in range(n)) >= 0.95 * n

@@ -1,12 +1,12 @@
 """Substring dedup by collinear chaining: fuzzy passages that repeat across documents.
 
-1. Seeds: hashes of k words; of each ``window`` consecutive ones the least (minimizers), so that any run of
-   k + window - 1 equal words shares one.
+1. Seeds: hashes of k words, those that ``every`` divides: what is chosen does not depend on the words around, so that
+   equal words have equal seeds right up to an edit.
 2. Each seed that more than one document has is tied to its first holder (least doc_id), never to all others: rows
    stay as many as seeds, whatever the number of holders. The n-th copy in a document is tied to the n-th that the
    holder has, counted from the front and from the back, or to its last or first one where it has fewer.
 3. Of each pair (document, first holder) the seed matches are chained in order with costs for gaps, by a Fenwick tree of prefix maxima.
-4. Chains are aligned: exactly between seeds, by X-drop beyond the ends; one that is not like enough is cut at its worst gaps. A passage has ``least`` words or more and a likeness of ``like`` or more.
+4. Chains are aligned: exactly between seeds, by X-drop with gaps beyond the ends; one that is not like enough is cut at its worst gaps. A passage has ``least`` words or more and a likeness of ``like`` or more.
 5. Exact runs of ``least`` words don't depend on any of that. Halves (``least`` // 2 words) are seeds too, each window's least
    one; each window whose least half another document has is hashed whole and tied to its own first holder. So a passage
    whose parts have different holders is found in parts that overlap. What passages of step 4 cover is not repeated.
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +27,9 @@ from xxhash import xxh64_intdigest
 
 from tidegrid.llm.common import discard, prepare, shared_dir, table, words_of, written
 
-K, WINDOW, LEAST, LIKE = 5, 10, 50, 0.8
-GAP, MARGIN, DROP, PENALTY = 0.1, 64, 12, 3
-FILTER_BITS, REMEMBERED = 23, 500_000
+K, EVERY, LEAST, LIKE = 5, 2, 50, 0.8
+GAP, MARGIN, DROP, PENALTY, BAND = 0.1, 64, 12, 3, 8
+SEED_BITS, FILTER_BITS, REMEMBERED = 26, 23, 500_000
 COPIES = (1 << 15) - 1  # copies of a seed in one document that are told apart
 _BASE = 0x9E3779B97F4A7C15
 PASSAGE = "doc_id long, text_key long, start int, end int, other_id long, other_start int, other_end int, likeness double"
@@ -47,8 +48,8 @@ def codes(words: list[bytes], known: dict) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
-def seeds(h: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place) of the minimizers among the k-word hashes of word hashes h; a place packs the position, the number of equal seeds before it and that after it (see ``unpack``)."""
+def seeds(h: np.ndarray, k: int = K, every: int = EVERY) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, place) of those k-word hashes of word hashes h that ``every`` divides; a place packs the position, the number of equal seeds before it and that after it (see ``unpack``)."""
     n = len(h) - k + 1
     if n < 1:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -58,10 +59,7 @@ def seeds(h: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarray,
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     x ^= x >> np.uint64(32)
-    if n <= window:
-        at = np.array([int(x.argmin())])
-    else:
-        at = np.unique(np.lib.stride_tricks.sliding_window_view(x, window).argmin(axis=1) + np.arange(n - window + 1))
+    at = np.flatnonzero(x % np.uint64(every) == 0)
     return x[at], placed(x[at], at)
 
 
@@ -168,20 +166,33 @@ def _matches(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
-def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
-    """(length, matches) of the best common start of a and b without gaps, until the score drops by DROP."""
+def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
+    """(words of a, words of b, matches) of the best common start of a and b: +1 a match, -PENALTY a word changed, added or left out, at most BAND words apart, until the score drops by DROP."""
     n = min(len(a), len(b))
-    if not n:
-        return 0, 0
-    equal = a[:n] == b[:n]
-    total = np.cumsum(np.where(equal, 1, -PENALTY))
-    top = np.maximum.accumulate(np.maximum(total, 0))
-    stop = np.flatnonzero(top - total > DROP)
-    total = total[: stop[0]] if len(stop) else total
-    if not len(total) or total.max() <= 0:
-        return 0, 0
-    k = int(total.argmax()) + 1
-    return k, int(equal[:k].sum())
+    differ = np.flatnonzero(a[:n] != b[:n])
+    k = int(differ[0]) if len(differ) else n
+    a, b = a[k:], b[k:]
+    if not len(a) or not len(b):
+        return k, k, k
+    one = 1 << 32  # scores in the high half, matches in the low one
+    fall = PENALTY * one * np.arange(2 * BAND + 1)
+    line = np.where(np.arange(2 * BAND + 1) >= BAND, PENALTY * -one * (np.arange(2 * BAND + 1) - BAND), -(one << 28))
+    wide = np.concatenate([b[: len(a) + BAND].astype(np.int64), np.full(len(a) + 2 * BAND + 1, -1)])
+    wide = np.concatenate([np.full(BAND, -2), wide])
+    best, at = 0, (0, 0)
+    for i, x in enumerate(a.tolist()):
+        near = wide[i : i + 2 * BAND + 1]
+        new = line + np.where(near == x, one + 1, -PENALTY * one)
+        new[:-1] = np.maximum(new[:-1], line[1:] - PENALTY * one)
+        new[near == -1] = -(one << 28)  # past the end of b
+        line = np.maximum.accumulate(new + fall) - fall
+        j = int(line.argmax())
+        top = int(line[j])
+        if top >> 32 > best >> 32:
+            best, at = top, (i + 1, i + 1 + j - BAND)
+        elif (best >> 32) - (top >> 32) > DROP:
+            break
+    return k + at[0], k + at[1], k + (best & (one - 1))
 
 
 def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], least: int = LEAST, like: float = LIKE, k: int = K) -> list[tuple[int, int, int, int, float]]:
@@ -200,9 +211,9 @@ def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], least:
     while parts:
         i, j = parts.pop()
         s, t, e, f, m = pos[i], other[i], pos[j] + k, other[j] + k, int(before[j] - before[i]) + k
-        left, ml = _extend(a[pos[i - 1] + k if i else 0 : s][::-1], b[other[i - 1] + k if i else 0 : t][::-1])
-        right, mr = _extend(a[e : pos[j + 1] if j + 1 < len(pos) else None], b[f : other[j + 1] if j + 1 < len(pos) else None])
-        tries = ((s - left, e + right, t - left, f + right, m + ml + mr), (s, e, t, f, m))
+        left, back, ml = _extend(a[pos[i - 1] + k if i else 0 : s][::-1], b[other[i - 1] + k if i else 0 : t][::-1])
+        right, ahead, mr = _extend(a[e : pos[j + 1] if j + 1 < len(pos) else None], b[f : other[j + 1] if j + 1 < len(pos) else None])
+        tries = ((s - left, e + right, t - back, f + ahead, m + ml + mr), (s, e, t, f, m))
         good = [(*x[:4], x[4] / max(x[1] - x[0], x[3] - x[2])) for x in tries if x[4] >= like * max(x[1] - x[0], x[3] - x[2])]
         if good:
             out += [x for x in good if x[1] - x[0] >= least][:1]
@@ -212,7 +223,20 @@ def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], least:
     return out
 
 
-def find(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST, like: float = LIKE) -> DataFrame:
+def _sieve(bits: DataFrame, size: int):
+    """Broadcast filter of 2 ** size bits, those of the column ``bit`` set: fixed in size, whatever the data."""
+    words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(1 << (size - 6), np.int64)
+    out[np.asarray(words.column(0).combine_chunks(), np.int64)] = np.asarray(words.column(1).combine_chunks(), np.int64)
+    return bits.sparkSession.sparkContext.broadcast(out)
+
+
+def _passes(sieve: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    bit = bit.astype(np.int64)
+    return (sieve[bit >> 6] >> (bit & 63)) & 1 == 1
+
+
+def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, like: float = LIKE) -> DataFrame:
     """(doc_id, text_key, start, end, other_id, other_start, other_end, likeness): passages, in words, that doc_id shares with an earlier document.
 
     Words are lower-cased. Null and shorter texts and null ids hold no passages. Rows with an equal doc_id are never compared with
@@ -222,7 +246,7 @@ def find(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST,
     prepare(spark)
     rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-    def sow(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sow(sieve, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Hashes()
         for x in batches:
             parts = []
@@ -230,17 +254,22 @@ def find(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST,
                 w = words_of(t.lower())
                 if len(w) >= least * like:
                     c = codes(w, known)
-                    h, at = seeds(c, k, window)
+                    h, at = seeds(c, k, every)
                     parts.append((h, np.full(len(h), d, np.int64), at))
                     x, _, at = halves_of(c.astype(np.uint32), least)
                     parts.append((x[at], np.full(len(at), d, np.int64), -1 - at))
             h, d, at = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0, np.uint64) for i in range(3))
+            if sieve is not None:
+                keep = _passes(sieve.value, h >> np.uint64(64 - SEED_BITS))
+                h, d, at = h[keep], d[keep], at[keep]
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(d.astype(np.int64)), pa.array(at.astype(np.int64))], names=["seed", "doc", "at"])
 
-    sown = rows.mapInArrow(sow, "seed long, doc long, at long")  # at: a seed's place, or -1 less the position of a half
+    sown = rows.mapInArrow(partial(sow, None), "seed long, doc long, at long")  # at: a seed's place, or -1 less the position of a half
     shared = sown.groupBy("seed").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last")
     passing = shared_dir(spark)
     shared = written(shared.select("seed", "first"), f"{passing}/shared")
+    sieve = _sieve(shared.select(F.shiftrightunsigned("seed", 64 - SEED_BITS).alias("bit")), SEED_BITS)
+    sown = rows.mapInArrow(partial(sow, sieve), sown.schema)
     held = written(sown.join(shared.hint("merge"), "seed"), f"{passing}/held")
     pos, before, after = unpack("at")
     firsts = written(held.where("doc = first AND at >= 0").groupBy("seed").agg(F.sort_array(F.collect_list(pos)).alias("others")), f"{passing}/firsts")
@@ -264,15 +293,12 @@ def find(docs: DataFrame, k: int = K, window: int = WINDOW, least: int = LEAST,
     found = written(pairs.mapInArrow(chain, "doc long, first long, pos array<int>, other array<int>"))
     discard(spark, passing)
     needed = found.select(F.explode(F.array("doc", "first")).alias("d")).union(halves.select("doc")).select(F.shiftrightunsigned(F.xxhash64("d"), 64 - FILTER_BITS).alias("bit"))
-    words = needed.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toArrow()  # a filter of fixed size
-    filter_ = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    filter_[np.asarray(words.column(0).combine_chunks(), np.int64)] = np.asarray(words.column(1).combine_chunks(), np.int64)
-    sieve = spark.sparkContext.broadcast(np.unpackbits(filter_.view(np.uint8), bitorder="little").astype(bool))
+    needed = _sieve(needed, FILTER_BITS)
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Hashes()
         for x in batches:
-            keep = np.flatnonzero(sieve.value[np.asarray(x.column(3), np.int64)]).tolist()
+            keep = np.flatnonzero(_passes(needed.value, np.asarray(x.column(3), np.int64))).tolist()
             out = [(x.column(0)[i].as_py(), x.column(1)[i].as_py(), codes(words_of(x.column(2)[i].as_py().lower()), known).astype(np.uint32).tobytes()) for i in keep]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["id", "key", "codes"])
 
