@@ -2,7 +2,9 @@
 
 A rule decides the urls that it fits. For the others the host decides: hosts are seeded with the share of their pages that
 rules allow (trust) and block (distrust); personalised PageRank carries trust along links between
-hosts and distrust against them. A host keeps its own seed at least; one whose distrust exceeds its trust by more than ``threshold`` is blocked.
+hosts and distrust against them. Scores are shares: what links bring a host of what they would bring if every
+host were seeded with 1. So they do not shrink with the number of links. A host keeps its own seed at least; one whose
+distrust exceeds its trust by more than ``threshold`` is blocked.
 """
 
 from __future__ import annotations
@@ -65,6 +67,16 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tole
     return score
 
 
+def shares(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING) -> DataFrame:
+    """(host, score), 0 to 1: ``damping`` times what links bring a host, as a share of what they would bring if every host were seeded with 1."""
+    score = propagate(seeds, edges, damping)
+    most = propagate(score.select("host", F.lit(1.0).alias("seed")), edges, damping)
+    both = score.join(most.withColumnRenamed("score", "most"), "host")
+    out = edges.groupBy("src").agg(F.sum("w").alias("out"))
+    come = edges.join(out, "src").join(both, F.col("src") == F.col("host")).groupBy("dst").agg((F.sum(F.expr("score * w / out")) / F.sum(F.expr("most * w / out"))).alias("share"))
+    return score.join(come, F.col("host") == F.col("dst"), "left").select("host", (damping * F.least(F.coalesce("share", F.lit(0.0)), F.lit(1.0))).alias("score"))
+
+
 def judge(pages: DataFrame, rules: tuple = RULES, threshold: float = THRESHOLD, damping: float = DAMPING) -> DataFrame:
     """pages(page_id, url, html) with host, path, rule, verdict, trust and distrust of the host.
 
@@ -77,8 +89,8 @@ def judge(pages: DataFrame, rules: tuple = RULES, threshold: float = THRESHOLD,
     share = lambda v: (F.count(F.when(F.col("rule_verdict") == v, 1)) / F.count("*")).alias(v)
     hosts = written(rows.where("host <> ''").groupBy("host").agg(share("allow"), share("block")))
     edges = written(host_edges(rows))
-    trust = propagate(hosts.select("host", F.col("allow").alias("seed")), edges, damping)
-    distrust = propagate(hosts.select("host", F.col("block").alias("seed")), edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w"), damping)
+    trust = shares(hosts.select("host", F.col("allow").alias("seed")), edges, damping)
+    distrust = shares(hosts.select("host", F.col("block").alias("seed")), edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w"), damping)
     scores = trust.withColumnRenamed("score", "trust").join(distrust.withColumnRenamed("score", "distrust"), "host").join(hosts, "host", "left")
     scores = written(scores.select(F.col("host").alias("_host"), F.greatest("trust", "allow").alias("trust"), F.greatest("distrust", "block").alias("distrust")))
     judged = rows.drop("html").join(scores, F.col("host") == F.col("_host"), "left").drop("_host")
