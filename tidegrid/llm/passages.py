@@ -315,6 +315,8 @@ def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, li
                 a, b = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
                 if pos[-1] + k - base > len(a) or other[-1] + k > len(b):
                     continue  # the match is of another row with this doc_id
+                if (a[np.add.outer(np.array(pos) - base, np.arange(k))] != b[np.add.outer(np.array(other), np.arange(k))]).any():
+                    continue  # so is this one
                 out += [(d, key, s + base, e + base, f, t, u, likeness) for s, e, t, u, likeness in align(a, b, [p - base for p in pos], other, least, like, k)]
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["doc_id", "text_key", "start", "end", "other_id", "other_start", "other_end", "likeness"])
