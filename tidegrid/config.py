@@ -25,10 +25,21 @@ class Profile:
     clip: dict[str, tuple[float, float]] = field(default_factory=lambda: {"value": (0.0, 500.0), "k": (0.0, 100.0)})
     jump: dict[str, float] = field(default_factory=lambda: {"value": 40.0, "k": 30.0})
     least_training_rows: int = 100
+    rain: tuple[str, ...] = ()
+    #: Neighbours' variables that models read; nearest neighbours first.
+    neighbour_features: tuple[str, ...] = ("value",)
+    ranks: int = 3
+    #: Model of each variable where no tournament is held; others take ``default_model``.
+    fixed_models: dict[str, str] = field(default_factory=lambda: {"value": "xgb", "k": "rf"})
+    default_model: str = "xgb"
+    tournament: bool = False
+    originals_only: bool = True
+    one_unit: bool = True
+    fallback_minutes: float = 5.0
 
 
 PRODUCTION = Profile()
-RESEARCH = replace(PRODUCTION, name="research", interval_minutes=5.0, quality=("value", "k"), models=("xgb", "lgbm", "rf", "knn"), folds=5, least_distance=0.001, zero_weight_is_floor=False, rain_needs_evidence=False)
+RESEARCH = replace(PRODUCTION, name="research", interval_minutes=5.0, quality=("value", "k"), models=("xgb", "lgbm", "rf", "knn"), folds=5, least_distance=0.001, zero_weight_is_floor=False, rain_needs_evidence=False, tournament=True, originals_only=False, one_unit=False)
 
 TRUE_WORDS = frozenset({"1", "true", "yes", "y", "on"})
 

@@ -15,19 +15,28 @@ def number(c: Column) -> Column:
     return F.when(F.isnan(d), None).otherwise(d)
 
 
-def slot(ts: Column, minutes: float) -> Column:
-    """Index of the interval that a timestamp rounds to, half to even."""
-    return F.bround(F.unix_micros(ts.cast("timestamp")) / F.lit(float(minutes * 60_000_000)), 0).cast("long")
+def _micros(minutes: float | Column) -> Column:
+    return F.round(minutes * 60_000_000, 0).cast("long") if isinstance(minutes, Column) else F.lit(round(minutes * 60_000_000))
 
 
-def slot_time(s: Column, minutes: float) -> Column:
-    return F.timestamp_micros(s * F.lit(int(minutes * 60_000_000)))
+def slot(ts: Column, minutes: float | Column) -> Column:
+    """Index of the interval (a number or a column) that a timestamp rounds to, half to even."""
+    return F.bround(F.unix_micros(ts.cast("timestamp")) / _micros(minutes).cast("double"), 0).cast("long")
+
+
+def slot_time(s: Column, minutes: float | Column) -> Column:
+    return F.timestamp_micros(s * _micros(minutes))
 
 
 def parse_two_ways(c: Column) -> tuple[Column, Column]:
-    """(default, day-first) timestamps of a string; null where it does not fit."""
-    iso = F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss"))
-    return F.coalesce(iso, F.try_to_timestamp(c, F.lit("MM-dd-yyyy HH:mm:ss"))), F.coalesce(iso, F.try_to_timestamp(c, F.lit("dd-MM-yyyy HH:mm:ss")))
+    """(default, day-first) timestamps of a string; null where it does not fit.
+
+    Year first reads alike both ways. The time may be absent or lack seconds, may follow a T, may end in a fraction and a Z; / may stand for -.
+    """
+    text = F.translate(F.regexp_replace(F.trim(c), r"(?i)^([0-9/-]+)T|Z$", "$1 "), "/", "-")
+    text, time = F.trim(text), "[ HH:mm[:ss[.SSSSSSSSS]]]"
+    iso = F.try_to_timestamp(text, F.lit(f"yyyy-MM-dd{time}"))
+    return tuple(F.coalesce(iso, F.try_to_timestamp(text, F.lit(f"{date}{time}"))) for date in ("MM-dd-yyyy", "dd-MM-yyyy"))
 
 
 def key_parts(c: Column) -> tuple[Column, Column]:

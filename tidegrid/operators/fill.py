@@ -12,15 +12,19 @@ from tidegrid.operators.grid import by, gaps
 
 
 def interpolate_isolated(tracked: DataFrame, ref: str, variables: list[str]) -> DataFrame:
-    """In isolated gaps: each variable that is null after a value and before some later one, on the line to the next value. Rows whose reference is there now are tagged."""
-    out = tracked
-    for v in variables:
-        x = F.nullif(F.col(v), F.lit(-99999.0))
-        last, ahead = F.lag(x).over(by()), F.first(x, ignorenulls=True).over(by().rowsBetween(1, W.unboundedFollowing))
-        at = F.first(F.when(x.isNotNull(), F.col("slot")), ignorenulls=True).over(by().rowsBetween(1, W.unboundedFollowing))
-        value = last + (ahead - last) / (at - F.col("slot") + 1)
-        out = out.withColumn(f"_{v}", F.when((F.col("gap_type") == "isolated") & x.isNull(), value).otherwise(F.col(v)))
-    out = out.drop(*variables).withColumnsRenamed({f"_{v}": v for v in variables})
+    """In isolated gaps: each variable that is null after a value and before some later one, on the line to the next value. Rows whose reference is there now are tagged.
+
+    The next value is the last one seen from the end, so that the frame runs and each row is read once.
+    """
+    later = W.partitionBy("sensor_id").orderBy(F.desc("slot")).rowsBetween(W.unboundedPreceding, -1)
+    known = {v: F.nullif(F.col(v), F.lit(-99999.0)) for v in variables}
+    out = tracked.withColumns({f"_next_{v}": F.last(F.when(x.isNotNull(), F.struct("slot", x.alias("v"))), ignorenulls=True).over(later) for v, x in known.items()})
+    out = out.withColumns({f"_last_{v}": F.lag(x).over(by()) for v, x in known.items()})
+    for v, x in known.items():
+        last, ahead = F.col(f"_last_{v}"), F.col(f"_next_{v}")
+        value = last + (ahead["v"] - last) / (ahead["slot"] - F.col("slot") + 1)
+        out = out.withColumn(v, F.when((F.col("gap_type") == "isolated") & x.isNull(), value).otherwise(F.col(v)))
+    out = out.drop(*(f"_{k}_{v}" for k in ("next", "last") for v in variables))
     return tag(out, (F.col("gap_type") == "isolated") & F.col(ref).isNotNull(), "interpolation", F.lit("High"))
 
 
@@ -44,19 +48,19 @@ def long_gap_values(tracked: DataFrame, around: DataFrame, reliability: DataFram
     wide = wide.withColumn("_p", F.col("start") - 1).withColumn("_n", F.col("end") + 1)
     wide = wide.join(edge("_p", "p"), ["sensor_id", "_p", "var"], "left").join(edge("_n", "n"), ["sensor_id", "_n", "var"], "left")
     near = around.select("sensor_id", "rank", "dist_km").distinct()
-    rows = wide.join(F.broadcast(near), "sensor_id").select("*", F.explode(F.sequence("_p", "_n")).alias("slot"))  # a few neighbours a sensor
+    rows = wide.join(near, "sensor_id").select("*", F.explode(F.sequence("_p", "_n")).alias("slot"))
     seen = around.selectExpr("sensor_id", "rank", "slot", stack).withColumnRenamed("v", "raw")
     rows = rows.join(seen, ["sensor_id", "rank", "slot", "var"], "left").withColumn("pos", F.col("slot") - F.col("_p"))
     part = W.partitionBy("sensor_id", "gap_id", "var", "rank")
-    line = part.orderBy("pos")
     inside = F.when(F.col("pos").between(1, F.col("size")), F.col("raw"))
     rows = rows.withColumn("cov", F.count(inside).over(part))
     known = F.coalesce(F.col("raw"), F.when(F.col("pos") == 0, F.min_by(inside, F.when(inside.isNotNull(), F.col("pos"))).over(part)), F.when(F.col("pos") == F.col("size") + 1, F.max_by(inside, F.when(inside.isNotNull(), F.col("pos"))).over(part)))
-    rows = rows.withColumn("known", known).withColumn("kpos", F.when(known.isNotNull(), F.col("pos"))).where("cov > 0")
-    back, ahead = line.rowsBetween(W.unboundedPreceding, 0), line.rowsBetween(0, W.unboundedFollowing)
-    last = lambda c: F.last(c, ignorenulls=True).over(back)
-    nxt = lambda c: F.first(c, ignorenulls=True).over(ahead)
-    rows = rows.withColumn("t", F.when(F.col("known").isNotNull(), F.col("known")).otherwise(last("known") + (nxt("known") - last("known")) * (F.col("pos") - last("kpos")) / (nxt("kpos") - last("kpos"))))
+    rows = rows.withColumn("known", known).where("cov > 0")
+    point = F.when(F.col("known").isNotNull(), F.struct("pos", "known"))
+    rows = rows.withColumn("last", F.last(point, ignorenulls=True).over(part.orderBy("pos").rowsBetween(W.unboundedPreceding, 0)))
+    rows = rows.withColumn("next", F.last(point, ignorenulls=True).over(part.orderBy(F.desc("pos")).rowsBetween(W.unboundedPreceding, 0)))  # from the end: a running frame
+    line = F.expr("last.known + (next.known - last.known) * (pos - last.pos) / (next.pos - last.pos)")
+    rows = rows.withColumn("t", F.when(F.col("known").isNotNull(), F.col("known")).otherwise(line))
     rows = rows.withColumn("mn", F.min("t").over(part)).withColumn("mx", F.max("t").over(part))
     frac = F.when(F.col("mx") - F.col("mn") < 0.3, F.col("pos") / (F.col("size") + 1)).otherwise((F.col("t") - F.col("mn")) / F.nullif(F.col("mx") - F.col("mn"), F.lit(0.0)))
     rec = F.when(F.col("p").isNotNull() & F.col("n").isNotNull(), F.col("p") + frac * (F.col("n") - F.col("p"))).otherwise(F.col("t"))
@@ -113,12 +117,20 @@ def jump_flags(df: DataFrame, variables: dict[str, float]) -> DataFrame:
     return out
 
 
-def correct_jumps(flagged: DataFrame, variable: str) -> DataFrame:
-    """Flagged rows in time order: 0.6 x + 0.4 mean(row before, already corrected, and row after, not yet). Runs of flagged rows are folded; a run needs only its own rows and one on either side."""
-    jump = F.col(f"jump_{variable}")
-    x = flagged.withColumn("_b", F.lag(variable).over(by())).withColumn("_a", F.lead(variable).over(by()))
-    x = x.withColumn("_run", F.sum(F.coalesce((~(jump.eqNullSafe(F.lag(jump).over(by())))).cast("int"), F.lit(1))).over(by()))
-    hot = x.where(jump).groupBy("sensor_id", "_run").agg(F.array_sort(F.collect_list(F.struct("slot", F.col(variable).alias("x"), F.col("_b").alias("b"), F.col("_a").alias("a")))).alias("r"))
+def correct_jumps(flagged: DataFrame, variables: list[str]) -> DataFrame:
+    """Flagged rows (jump_{v}) in time order: 0.6 x + 0.4 mean(row before, already corrected, and row after, not yet).
+
+    Runs of flagged rows are folded; a run needs only its own rows and one on either side. All variables go in one pass.
+    """
+    x = flagged.select("sensor_id", "slot", *variables, *(f"jump_{v}" for v in variables))
+    around = []
+    for v in variables:
+        jump = F.col(f"jump_{v}")
+        fresh = F.coalesce((~(jump.eqNullSafe(F.lag(jump).over(by())))).cast("int"), F.lit(1))
+        x = x.withColumns({f"_b_{v}": F.lag(v).over(by()), f"_a_{v}": F.lead(v).over(by()), f"_n_{v}": fresh})
+        around.append(F.struct(F.lit(v).alias("var"), jump.alias("jump"), F.col(f"_run_{v}").alias("run"), F.struct("slot", F.col(v).alias("x"), F.col(f"_b_{v}").alias("b"), F.col(f"_a_{v}").alias("a")).alias("row")))
+    x = x.withColumns({f"_run_{v}": F.sum(f"_n_{v}").over(by()) for v in variables})
+    hot = x.select("sensor_id", F.inline(F.array(*around))).where("jump").groupBy("sensor_id", "var", "run").agg(F.array_sort(F.collect_list("row")).alias("r"))
 
     def step(acc: Column, e: Column) -> Column:
         before = F.when(F.size(acc["out"]) == 0, e["b"]).otherwise(acc["prev"])
@@ -127,6 +139,7 @@ def correct_jumps(flagged: DataFrame, variable: str) -> DataFrame:
         return F.struct(F.concat(acc["out"], F.array(F.struct(e["slot"].alias("slot"), new.alias("v")))).alias("out"), new.alias("prev"))
 
     start = F.struct(F.expr("cast(array() as array<struct<slot:bigint,v:double>>)").alias("out"), F.lit(None).cast("double").alias("prev"))
-    new = hot.select("sensor_id", F.explode(F.aggregate("r", start, step, lambda acc: acc["out"])).alias("e")).select("sensor_id", "e.slot", F.col("e.v").alias("_new"))
-    out = x.drop("_b", "_a", "_run").join(new, ["sensor_id", "slot"], "left")
-    return out.withColumn(variable, F.when(jump, F.col("_new")).otherwise(F.col(variable))).drop("_new")
+    new = hot.select("sensor_id", "var", F.explode(F.aggregate("r", start, step, lambda acc: acc["out"])).alias("e"))
+    new = new.groupBy("sensor_id", F.col("e.slot").alias("slot")).agg(*[F.max(F.when(F.col("var") == v, F.col("e.v"))).alias(f"_new_{v}") for v in variables])
+    out = flagged.join(new, ["sensor_id", "slot"], "left")
+    return out.withColumns({v: F.when(F.col(f"jump_{v}"), F.col(f"_new_{v}")).otherwise(F.col(v)) for v in variables}).drop(*(f"_new_{v}" for v in variables))

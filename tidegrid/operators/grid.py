@@ -30,10 +30,11 @@ def detect_interval(obs: DataFrame, fallback: float = 5.0) -> DataFrame:
     return x.withColumn("freq", F.when(whole, F.concat(F.col("interval_min").cast("long").cast("string"), F.lit("min"))).otherwise(F.concat(F.bround(F.col("interval_min") * 60, 0).cast("long").cast("string"), F.lit("s"))))
 
 
-def grid(slots: DataFrame, variables: list[str]) -> DataFrame:
-    """All slots between the first and last of each sensor, with the variables observed there."""
+def grid(slots: DataFrame, variables: list[str], stretch: int = 4096) -> DataFrame:
+    """All slots between the first and last of each sensor, with the variables observed there. Slots are made stretch by stretch, so that no row holds a whole timeline."""
     ends = slots.groupBy("sensor_id").agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"))
-    line = ends.select("sensor_id", F.explode(F.sequence("lo", "hi")).alias("slot"))
+    line = ends.select("sensor_id", "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") / stretch), F.floor(F.col("hi") / stretch))).alias("part"))
+    line = line.select("sensor_id", F.explode(F.sequence(F.greatest("lo", F.col("part") * stretch), F.least("hi", F.col("part") * stretch + (stretch - 1)))).alias("slot"))
     return line.join(slots.select("sensor_id", "slot", *variables), ["sensor_id", "slot"], "left")
 
 
@@ -69,9 +70,9 @@ def gap_counts(classified: DataFrame) -> DataFrame:
 
 
 def work_check(main: DataFrame, ref: str, rain: list[str]) -> DataFrame:
-    """Per sensor: has the reference a gap, has a rain column one, is there work."""
+    """Per sensor: has the reference a gap, has a rain column one, is there work. A sensor without any value has work, and null flags."""
     g = main.groupBy("sensor_id").agg(F.bool_or(F.col(ref).isNull()).alias("ref_gap"), F.coalesce(*[F.bool_or(F.col(c).isNull()) for c in rain], F.lit(False)).alias("rain_gap") if rain else F.lit(False).alias("rain_gap"))
-    return g.withColumn("has_work", F.col("ref_gap") | F.col("rain_gap"))
+    return g.withColumn("has_work", F.coalesce(F.col("ref_gap") | F.col("rain_gap"), F.lit(True)))
 
 
 def track(classified: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -14,7 +14,7 @@ def autodetect_times(raw: DataFrame, column: str = "ts_text") -> DataFrame:
     a, b = parse_two_ways(F.col(column))
     x = raw.withColumn("_a", a).withColumn("_b", b)
     fails = x.groupBy("sensor_id").agg(F.count_if(F.col("_a").isNull()).alias("_fa"), F.count_if(F.col("_b").isNull()).alias("_fb"))
-    x = x.join(F.broadcast(fails), "sensor_id")  # a row for each sensor
+    x = x.join(fails, "sensor_id")
     return x.withColumn("day_first", F.col("_fb") < F.col("_fa")).withColumn("ts", F.when(F.col("day_first"), F.col("_b")).otherwise(F.col("_a"))).drop("_a", "_b", "_fa", "_fb")
 
 
@@ -27,8 +27,10 @@ def originals(obs: DataFrame) -> DataFrame:
     return obs.where(is_original(F.col("imputation_method"), F.col("filled_flag")))
 
 
-def pick_unit(obs: DataFrame, ref: str, unit: str = "unit") -> DataFrame:
-    """Per sensor the rows of the unit with the most numeric reference values (ties: least unit); sensors without any keep all rows."""
+def pick_unit(obs: DataFrame, ref: str, unit: str = "unit", only: str | int | None = None) -> DataFrame:
+    """Per sensor the rows of the unit with the most numeric reference values (ties: least unit), or those of the unit ``only``; sensors without any keep all rows."""
+    if only is not None:
+        return obs.where(F.col(unit) == F.lit(only))
     counts = obs.where(F.col(ref).isNotNull() & F.col(unit).isNotNull()).groupBy("sensor_id", unit).agg(F.count("*").alias("n"))
     best = counts.groupBy("sensor_id").agg(F.min_by(unit, F.struct(-F.col("n"), F.col(unit))).alias("_unit"))
     return obs.join(best, "sensor_id", "left").where(F.col("_unit").isNull() | (F.col(unit) == F.col("_unit"))).drop("_unit")
@@ -41,7 +43,7 @@ def read_window(obs: DataFrame, start=None, lookback_days: int | None = None, no
     return obs if lookback_days is None else obs.where(F.col("ts") >= F.lit(now) - F.expr(f"interval {lookback_days} days"))
 
 
-def round_dedup(obs: DataFrame, minutes: float, by_time: bool = True) -> DataFrame:
+def round_dedup(obs: DataFrame, minutes: float | Column, by_time: bool = True) -> DataFrame:
     """A row for each sensor and slot: the first by (ts, arrival), or by arrival alone. A minimum over structs, which combines before the shuffle."""
     rest = [c for c in obs.columns if c not in ("sensor_id", "ts", "arrival")]
     order = ["ts", "arrival"] if by_time else ["arrival", "ts"]

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidegrid.config import Profile
+from tidegrid.functions.scalars import slot
 from tidegrid.operators.grid import classify, gap_counts
 
 EARTH_KM = 6371.0
@@ -49,15 +50,24 @@ def nearest(points: DataFrame, k: int = 2, most_km: float = 30.0) -> DataFrame:
 
 def around(main: DataFrame, topology: DataFrame, slots: DataFrame, variables: list[str]) -> DataFrame:
     """(sensor_id, rank, neighbor_id, dist_km, slot, variables) of the neighbours on every slot of the target's grid; one scan of the observations serves all targets."""
-    line = main.select("sensor_id", "slot").join(F.broadcast(topology), F.col("sensor_id") == F.col("target_id")).drop("target_id")  # up to three rows a sensor
+    line = main.select("sensor_id", "slot").join(topology.withColumnRenamed("target_id", "sensor_id"), "sensor_id")
     seen = slots.select(F.col("sensor_id").alias("neighbor_id"), "slot", *variables)
     return line.join(seen, ["neighbor_id", "slot"], "left")
 
 
-def attach(main: DataFrame, near: DataFrame, names: dict[str, str]) -> DataFrame:
+def around_rounded(main: DataFrame, topology: DataFrame, obs: DataFrame, intervals: DataFrame, variables: list[str]) -> DataFrame:
+    """As around(), where sensors have intervals of their own: a neighbour's readings obs are rounded to the target's interval; intervals(sensor_id, minutes)."""
+    pairs = topology.join(intervals.withColumnRenamed("sensor_id", "target_id"), "target_id").select("target_id", "neighbor_id", "minutes")
+    seen = obs.select(F.col("sensor_id").alias("neighbor_id"), "ts", "arrival", *variables).join(pairs, "neighbor_id").withColumn("slot", slot(F.col("ts"), F.col("minutes")))
+    best = seen.groupBy("target_id", "neighbor_id", "slot").agg(F.min(F.struct("ts", "arrival", *variables)).alias("r")).select(F.col("target_id").alias("sensor_id"), "neighbor_id", "slot", *[F.col(f"r.{v}").alias(v) for v in variables])
+    line = main.select("sensor_id", "slot").join(topology.withColumnRenamed("target_id", "sensor_id"), "sensor_id")
+    return line.join(best, ["sensor_id", "neighbor_id", "slot"], "left")
+
+
+def attach(main: DataFrame, near: DataFrame, names: dict[str, str], ranks: int = 3) -> DataFrame:
     """main with the neighbours' variables as {name}_n{rank}."""
-    each = [F.max(F.when(F.col("rank") == r, F.col(v))).alias(f"{n}_n{r}") for v, n in names.items() for r in (1, 2, 3)]
-    return main.join(near.groupBy("sensor_id", "slot").agg(*each), ["sensor_id", "slot"], "left")
+    each = [F.max(F.when(F.col("rank") == r, F.col(v))).alias(f"{n}_n{r}") for v, n in names.items() for r in range(1, ranks + 1)]
+    return main if not each else main.join(near.groupBy("sensor_id", "slot").agg(*each), ["sensor_id", "slot"], "left")
 
 
 def quality(near: DataFrame, profile: Profile) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegrid.functions.stage import written
+
 TRACKING = ("gap_type", "gap_id", "gap_size", "imputation_method", "confidence_level", "filled_flag")
 METHODS = ("original", "interpolation", "model", "neighbor")
 
@@ -15,6 +17,11 @@ def finalise(df: DataFrame) -> DataFrame:
     return df.select(*keep, *[c for c in TRACKING if c in df.columns])
 
 
+def sync_flags(df: DataFrame) -> DataFrame:
+    """filled_flag is 1 where the method is not original."""
+    return df.withColumn("filled_flag", (F.col("imputation_method") != "original").cast("int"))
+
+
 def method_histogram(df: DataFrame) -> DataFrame:
     return df.groupBy("sensor_id", "imputation_method", "confidence_level").agg(F.count("*").alias("n"))
 
@@ -44,19 +51,21 @@ def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> tuple[DataFr
     return existing.join(write, keys, "left_anti").unionByName(write), met.select(*keys, "outcome")
 
 
-def swap_in(df: DataFrame, path: str) -> None:
-    """Writes df beside path and puts it in its place by renames through Spark's file system."""
-    spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{path}.new")
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old = jvm.org.apache.hadoop.fs.Path(f"{path}.old")
-    fs.delete(old, True)
-    if fs.exists(at):
-        fs.rename(at, old)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(f"{path}.new"), at)
-    fs.delete(old, True)
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def upsert_into(path: str, new: DataFrame, keys: list[str], shards: int = 64) -> DataFrame:
+    """Upserts ``new`` into the Parquet table at path, which is cut into ``shards`` by the hash of sensor_id; only the shards that new rows fall in are read and replaced. Returns the outcome per key."""
+    spark = new.sparkSession
+    new = new.withColumn("shard", F.pmod(F.xxhash64("sensor_id"), F.lit(shards)).cast("int"))
+    touched = [r[0] for r in new.select("shard").distinct().collect()]  # at most ``shards``
+    old = spark.read.parquet(path).where(F.col("shard").isin(touched)).select(*new.columns) if exists(spark, path) else new.limit(0)
+    table, outcome = upsert(old, new, [*keys, "shard"])
+    table, outcome = written(table), written(outcome.drop("shard"))
+    table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+    return outcome
 
 
 def new_data(latest: DataFrame, watermarks: DataFrame) -> DataFrame:
@@ -72,10 +81,10 @@ def statuses(latest: DataFrame, watermarks: DataFrame, work: DataFrame) -> DataF
 
 
 def merge_watermarks(old: DataFrame, new: DataFrame) -> DataFrame:
-    """The later row of each sensor."""
-    both = old.unionByName(new)
-    rest = [c for c in both.columns if c != "sensor_id"]
-    return both.groupBy("sensor_id").agg(F.max_by(F.struct(*rest), F.col("last_ts")).alias("r")).select("sensor_id", "r.*")
+    """The later row of each sensor; on a tie the new one."""
+    both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    rest = [c for c in old.columns if c != "sensor_id"]
+    return both.groupBy("sensor_id").agg(F.max_by(F.struct(*rest), F.struct("last_ts", "_new")).alias("r")).select("sensor_id", "r.*")
 
 
 def retrain(registry: DataFrame, now: str, factor: float = 1.2) -> DataFrame:

@@ -7,14 +7,17 @@ event_id the order of arrival. Each sensor's neighbours are the next three in or
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegrid.config import PRODUCTION, RESEARCH, Profile
 from tidegrid.functions import scalars
+from tidegrid.functions.stage import shared_folder, written
 from tidegrid.operators import evaluate, fill, grid, ingest, models, neighbors, state
-from tidegrid.plans import pipeline
+from tidegrid.plans import batch, pipeline
+from tidegrid.sources import readers
 
 #: Grid by scale of the data, in minutes; SQL states the one for sf0.01.
 MINUTES = {"sf0.001": 60, "sf0.01": 15, "sf0.1": 2}
@@ -333,9 +336,10 @@ def eval_metrics_knn(spark, sf_dir):
     return evaluate.metrics(models.knn_errors(_folds(spark, sf_dir)), ["sensor_id", "fold"])
 
 
-@query("SELECT variable, CASE variable WHEN 'k' THEN 'rf' ELSE 'xgb' END AS model FROM (VALUES ('value'), ('k'), ('other')) v(variable)", base=False)
+@query("SELECT sensor_id, v.var, CASE v.var WHEN 'k' THEN 'rf' ELSE 'xgb' END AS kind FROM (SELECT sensor_id, count(*) FILTER (value IS NULL) AS value, count(*) FILTER (k IS NULL) AS k FROM classed WHERE gap_type = 'medium' GROUP BY 1) c, (VALUES ('value'), ('k')) v(var) WHERE CASE v.var WHEN 'k' THEN c.k ELSE c.value END > 0")
 def fixed_model_map(spark, sf_dir):
-    return spark.createDataFrame([(v, models.FIXED_MODELS.get(v, "xgb")) for v in ("value", "k", "other")], "variable string, model string")
+    tracked = prepared(spark, sf_dir)[1]
+    return models.wanted(tracked, NAMES).join(models.chosen(NAMES, PRODUCTION, spark), "var").select("sensor_id", "var", "kind")
 
 
 def _blend(profile):
@@ -406,7 +410,7 @@ def continuity_flags(spark, sf_dir):
   SELECT f.sensor_id, f.slot, f.i, CASE WHEN f.jump THEN coalesce(0.6 * f.value + 0.4 * CASE WHEN x.v IS NOT NULL AND f.nx IS NOT NULL THEN (x.v + f.nx) / 2 ELSE coalesce(x.v, f.nx) END, f.value) ELSE f.value END FROM fix x JOIN fl f ON f.sensor_id = x.sensor_id AND f.i = x.i + 1)
   SELECT sensor_id, slot, round_even(v, 6)::DOUBLE AS value FROM fix""")
 def continuity_correct(spark, sf_dir):
-    return rounded(fill.correct_jumps(_jumps(spark, sf_dir), "value").select("sensor_id", "slot", "value"), "value")
+    return rounded(fill.correct_jumps(_jumps(spark, sf_dir), ["value"]).select("sensor_id", "slot", "value"), "value")
 
 
 def _interpolated(spark, sf_dir):
@@ -487,16 +491,147 @@ def cost_attribution(spark, sf_dir):
     return state.costs(o.select(F.col("o_orderpriority").alias("project_tag"), F.col("o_orderdate").cast("date").alias("run_date"), F.col("o_totalprice").cast("double").alias("usd")))
 
 
+@query(HISTORY + ", c AS (SELECT sensor_id, unit, count(value) AS n FROM o GROUP BY ALL), u AS (SELECT sensor_id, unit FROM (SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY n DESC, unit) AS r FROM c) WHERE r = 1) SELECT o.sensor_id, ts, arrival, value, k FROM o JOIN u ON u.sensor_id = o.sensor_id AND u.unit = o.unit")
+def load_series(spark, sf_dir):
+    return pipeline.load_series(with_history(spark, sf_dir), PRODUCTION, "unit")
+
+
+DEVICE = "CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'd' || c_nationkey ELSE 'd' || c_custkey || '#WS/' || c_nationkey END"
+
+
+@query(f"SELECT key, CASE WHEN contains(key, '#') THEN split_part(key, '#', 1) ELSE key END AS sensor_id, CASE WHEN contains(key, '#') THEN substr(key, instr(key, '#') + 1) ELSE '' END AS topic FROM (SELECT DISTINCT {DEVICE} AS key FROM customer) WHERE key IS NOT NULL", base=False)
+def sensor_discovery(spark, sf_dir):
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.expr(DEVICE).alias("deviceId_topic"))
+    return batch.discover(c).select("key", "sensor_id", "topic")
+
+
+@query("""SELECT 's' || s_suppkey AS device_id, 'value' AS ref_col, CASE WHEN s_suppkey % 2 = 0 THEN 'ACTIVE' ELSE 'OFF' END AS status, r::INTEGER AS rank, 's' || (s_suppkey + r) AS neighbor_id, (r * 1.5)::DOUBLE AS distance_km
+  FROM supplier, (VALUES (1), (2)) v(r) WHERE s_suppkey = 7""", base=False)
+def metadata_lookup(spark, sf_dir):
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    near = F.array(*[F.struct(F.concat(F.lit("s"), (F.col("s_suppkey") + r).cast("string")).alias("id"), F.lit(r * 1.5).alias("distance_km")) for r in (1, 2)])
+    meta = s.select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("device_id"), F.lit("value").alias("ref_col"), F.when(F.col("s_suppkey") % 2 == 0, "ACTIVE").otherwise("OFF").alias("status"), near.alias("neighbors"))
+    return batch.metadata(meta, "s7")
+
+
+@query("SELECT s_suppkey AS device_id FROM supplier WHERE s_suppkey % 3 = 0", base=False)
+def active_sensors(spark, sf_dir):
+    s = spark.read.parquet(f"{sf_dir}/supplier.parquet")
+    return readers.active_sensors(s.select(F.col("s_suppkey").alias("device_id"), F.when(F.col("s_suppkey") % 3 == 0, "ACTIVE").otherwise("OFF").alias("status")))
+
+
+@query("SELECT sensor_id, arrival, value FROM obs WHERE ts >= (SELECT max(ts) FROM obs) - INTERVAL 10 DAY")
+def read_window(spark, sf_dir):
+    o = observations(spark, sf_dir)
+    now = o.agg(F.max("ts")).first()[0]
+    return ingest.read_window(o, lookback_days=10, now=now).select("sensor_id", "arrival", "value")
+
+
+@query("SELECT event_type AS sensor_id, event_id AS arrival, value FROM events WHERE event_type IN ('click', 'view') AND ts >= (SELECT min(ts) FROM events) + INTERVAL 5 DAY", base=False)
+def key_range(spark, sf_dir):
+    path = f"{sf_dir}/events.parquet"
+    start = spark.read.parquet(path).agg(F.expr("min(ts) + interval 5 days")).first()[0]
+    return readers.key_range(spark, path, ["click", "view"], start, "event_type").select(F.col("event_type").alias("sensor_id"), F.col("event_id").alias("arrival"), "value")
+
+
+@query("SELECT event_type AS sensor_id, ts, value, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events", base=False)
+def csv_scan(spark, sf_dir):
+    """Events written as CSV and read back, times by detection."""
+    path = shared_folder(spark)
+    e = observations(spark, sf_dir).select("sensor_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("TimeStamp"), "value", "k")
+    e.write.option("header", True).csv(path)
+    return readers.observations_csv(spark, path, NAMES, sensor="sensor_id").select("sensor_id", "ts", *NAMES)
+
+
+KEYS = "VALUES (0, 'click#a'), (1, 'view#b'), (2, 'purchase#c'), (3, 'unheard#d')"
+
+
+@query(f""", keys AS (SELECT pos, key, split_part(key, '#', 1) AS sensor_id FROM ({KEYS}) v(pos, key)), l AS (SELECT sensor_id, max(ts) AS latest_ts FROM obs GROUP BY 1),
+  g AS (SELECT sensor_id, bool_or(value IS NULL) AS has_work FROM main GROUP BY 1)
+  SELECT key, keys.sensor_id, CASE WHEN latest_ts IS NULL THEN 'no_data' WHEN keys.sensor_id = 'view' THEN 'skipped_no_new_data' WHEN NOT has_work THEN 'skipped_no_gaps' ELSE 'ok' END AS status FROM keys LEFT JOIN l ON l.sensor_id = keys.sensor_id LEFT JOIN g ON g.sensor_id = keys.sensor_id""")
+def batch_statuses(spark, sf_dir):
+    o = observations(spark, sf_dir).drop("unit")
+    keys = batch.discover(o, keys=["click#a", "view#b", "purchase#c", "unheard#d", "view#b"])
+    marks = o.where("sensor_id = 'view'").groupBy("sensor_id").agg(F.max("ts").alias("last_ts"))
+    return batch.plan(keys, o, marks, PRODUCTION, minutes_of(sf_dir)).select("key", "sensor_id", "status")
+
+
+@query(INTERP + " SELECT *, sum(n) OVER (PARTITION BY sensor_id)::BIGINT AS rows_total FROM (SELECT sensor_id, imputation_method, count(*) AS n FROM interp GROUP BY ALL)")
+def execution_summary(spark, sf_dir):
+    x = batch.execution_summary(_interpolated(spark, sf_dir))
+    return x.select("sensor_id", F.explode("method_counts").alias("imputation_method", "n"), "rows_total")
+
+
+@query(INTERP + " SELECT sensor_id, to_json({'namespace': 'GapReconstruction', 'timestamp': 1700000000, 'sensor_id': sensor_id, " + ", ".join(f"'{m}': count(*) FILTER (imputation_method = '{m}')" for m in (*state.METHODS, "unresolved")) + ", 'rows_total': count(*)})::VARCHAR AS line FROM interp GROUP BY 1")
+def metric_lines(spark, sf_dir):
+    return batch.metric_lines(_interpolated(spark, sf_dir), 1700000000)
+
+
+@query("SELECT c_custkey AS sensor_id, (c_custkey % 300)::DOUBLE AS seconds, round_even((c_custkey % 300)::DOUBLE / 3600.0 * (1 * 0.02 + 2 * 0.003), 6)::DOUBLE AS usd FROM customer", base=False)
+def cost_projection(spark, sf_dir):
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    return batch.cost(c.select(F.col("c_custkey").alias("sensor_id"), (F.col("c_custkey") % 300).cast("double").alias("seconds")), 1, 2, 0.02, 0.003)
+
+
+@query("SELECT (i // 7)::BIGINT AS batch_id, string_agg(c_custkey::VARCHAR, ',' ORDER BY i) AS ids, count(*)::INTEGER AS size FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS i FROM customer) GROUP BY 1", base=False)
+def batch_pack(spark, sf_dir):
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("pos"), F.col("c_custkey").cast("string").alias("sensor_id"))
+    return batch.pack_batches(c, 7).select("batch_id", F.array_join("device_ids", ",").alias("ids"), "size")
+
+
+@query(", a AS (SELECT sensor_id, max(ts) AS last_ts, count(*) AS filled FROM obs WHERE arrival % 2 = 0 GROUP BY 1), b AS (SELECT sensor_id, max(ts) AS last_ts, count(*) AS filled FROM obs WHERE arrival % 3 = 0 GROUP BY 1) SELECT a.sensor_id, greatest(a.last_ts, b.last_ts) AS last_ts, CASE WHEN b.last_ts >= a.last_ts THEN b.filled ELSE a.filled END AS filled FROM a JOIN b ON a.sensor_id = b.sensor_id")
+def watermark_merge(spark, sf_dir):
+    o = observations(spark, sf_dir)
+    mark = lambda n: o.where(F.col("arrival") % n == 0).groupBy("sensor_id").agg(F.max("ts").alias("last_ts"), F.count("*").alias("filled"))
+    return state.merge_watermarks(mark(2), mark(3))
+
+
+@query("SELECT * FROM (SELECT o_orderkey AS run_id, epoch(o_orderdate::TIMESTAMP)::BIGINT + 180 * 86400 AS ttl FROM orders) WHERE ttl > epoch(TIMESTAMP '1996-01-01')", base=False)
+def run_results_live(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    began = F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
+    return readers.live_results(o.select(F.col("o_orderkey").alias("run_id"), (began + 180 * 86400).alias("ttl")), 820454400)
+
+
+@query(FEATS + " SELECT sensor_id, 'value -> xgb' AS line FROM good GROUP BY 1")
+def model_store(spark, sf_dir):
+    """Models fitted, saved, loaded again; the mapping of the store."""
+    rows = models.all_features(prepared(spark, sf_dir)[1], ["value"], minutes_of(sf_dir))
+    path = shared_folder(spark)
+    models.save_models(models.fit_models(rows, models.chosen(["value"], PRODUCTION, spark), PRODUCTION), path)
+    return models.mapping_lines(models.load_models(spark, path))
+
+
+@query()
+def synthetic_evaluation(spark, sf_dir):
+    """Accuracy of the fixed models on gaps of 1 to 3 slots cut into the last fifth of each timeline."""
+    done = written(_interpolated(spark, sf_dir))
+    gaps = evaluate.blocks(done, (1, 2, 3))
+    pairs = evaluate.synthetic(done, gaps, models.chosen(NAMES, PRODUCTION, spark), minutes_of(sf_dir), PRODUCTION)
+    return evaluate.metrics(pairs, ["sensor_id", "var", "size"])
+
+
 @query()
 def tournament_report(spark, sf_dir):
-    return models.best_models(models.tournament(models.training_rows(_features(spark, sf_dir)), ("rf", "knn"), rounds=5), ("rf", "knn"))
+    """Every production model, with all its rounds, for each sensor and variable."""
+    rows = written(models.all_features(prepared(spark, sf_dir)[1], NAMES, minutes_of(sf_dir)))
+    return models.best_models(models.tournament(rows, PRODUCTION.models), PRODUCTION.models)
+
+
+def _medium(spark, sf_dir, kinds):
+    base, minutes = written(_interpolated(spark, sf_dir)), minutes_of(sf_dir)
+    fitted = written(models.fit_models(models.all_features(base, NAMES, minutes), kinds, PRODUCTION))
+    return models.fill_medium(base, fitted, minutes, PRODUCTION, NAMES)
 
 
 @query()
 def medium_fill(spark, sf_dir):
-    return models.fill_medium(_interpolated(spark, sf_dir), "value", minutes_of(sf_dir), PRODUCTION)
+    return _medium(spark, sf_dir, models.chosen(NAMES, PRODUCTION, spark))
 
 
 @query()
 def full_pipeline_production(spark, sf_dir):
-    return state.finalise(pipeline.reconstruct(observations(spark, sf_dir).drop("unit"), topology(spark, sf_dir), minutes_of(sf_dir)))
+    """Rain is k above 60. Models read the nearest neighbour only: rows where all three neighbours and all lags are there are too few in these sparse readings."""
+    wet = F.when(F.col("k") > 60, F.col("k")).when(F.col("k").isNotNull(), 0.0)
+    profile = replace(PRODUCTION, rain=("rain",), ranks=1)
+    return pipeline.reconstruct(observations(spark, sf_dir).withColumn("rain", wet), topology(spark, sf_dir), minutes_of(sf_dir), profile)

@@ -19,10 +19,10 @@ def observations_csv(spark: SparkSession, path: str, variables: list[str], time:
     return ingest.sane(x.withColumn("ts", F.col("ts").cast("timestamp_ntz")))
 
 
-def key_range(spark: SparkSession, path: str, sensors: list[str] | None = None, start=None) -> DataFrame:
+def key_range(spark: SparkSession, path: str, sensors: list[str] | None = None, start=None, key: str = "sensor_id") -> DataFrame:
     """Rows of sensors from start on; both filters reach the scan."""
     x = spark.read.parquet(path)
-    x = x if sensors is None else x.where(F.col("sensor_id").isin(sensors))
+    x = x if sensors is None else x.where(F.col(key).isin(sensors))
     return x if start is None else x.where(F.col("ts") >= F.lit(start))
 
 

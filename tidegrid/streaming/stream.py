@@ -21,17 +21,10 @@ def on_batch(history: Callable[[DataFrame], DataFrame], topology: DataFrame, tab
     """For foreachBatch: history(touched sensors) gives their readings; fills go to the Parquet table by conditional upsert, so a repeated batch changes nothing."""
 
     def run(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
         touched = batch.select("sensor_id").distinct()
         x = state.persist_masks(reconstruct(history(touched), topology, minutes, profile), profile.ref).where("persistable")
         new = x.select("sensor_id", "slot", *profile.continuous, "imputation_method", "confidence_level", "filled_flag")
-        try:
-            old = spark.read.parquet(table)
-        except Exception as e:  # the table does not exist yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = new.limit(0)
-        state.swap_in(state.upsert(old, new, ["sensor_id", "slot"])[0], table)
+        state.upsert_into(table, new, ["sensor_id", "slot"])
 
     return run
 
