@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from tidegrid.llm import passages
+from tidegrid.llm.passages import _matches
 
 
 @pytest.fixture
@@ -73,3 +74,92 @@ def test_fuzzy_passages_are_found(spark, prose):
         texts.append(prose(30) + " " + " ".join(w) + " " + prose(30))
     rows = found(spark, texts)
     assert sum(len(covered(rows, 2 * k + 2)) >= 50 for k in range(n)) >= 0.95 * n
+
+
+def test_parts_with_four_earlier_holders(spark, prose):
+    texts, want = [], []
+    for k in range(5):
+        p = prose(100).split()
+        for i in range(4):
+            texts.append(f"{prose(30)} {' '.join(p[25 * i : 25 * i + 25])} {prose(30)}")
+        texts.append(f"{prose(40)} {' '.join(p)} {prose(40)}")
+        texts.append(f"{prose(40)} {' '.join(p)} {prose(40)}")
+        want.append((len(texts), len(texts) - 1))
+    got = found(spark, texts)
+    for doc, other in want:
+        mine = [r for r in got if (r.doc_id, r.other_id) == (doc, other)]
+        assert {w for r in mine for w in range(r.start, r.end)} >= set(range(40, 140))
+
+
+def test_alignment_goes_beyond_the_margin(spark, prose):
+    """Only the first words of a passage have seeds of their own: all that follows stands in two earlier documents, piece by piece."""
+    p = prose(400).split()
+    pieces = [" ".join(p[i : i + 12]) for i in range(20, 400, 12)]
+    texts = [" ".join(f"{x} {prose(15)}" for x in pieces[k:] + pieces[:k]) for k in (0, 1)]
+    texts += [f"{prose(20)} {' '.join(p)}", f"{prose(35)} {' '.join(p)}"]
+    mine = [r for r in found(spark, texts) if (r.doc_id, r.other_id) == (4, 3)]
+    assert {w for r in mine for w in range(r.start, r.end)} >= set(range(35, 435))
+
+
+def lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(new[j], row[j + 1]))
+        row = new
+    return row[-1]
+
+
+def test_matches_are_the_longest_common_subsequence():
+    g = np.random.default_rng(5)
+    for n, m in ((0, 5), (5, 0), (1, 1), (30, 70), (200, 130)):
+        a, b = g.integers(0, 9, n).astype(np.uint32), g.integers(0, 9, m).astype(np.uint32)
+        assert _matches(a, b) == lcs(a.tolist(), b.tolist())
+    a = g.integers(0, 2**32, 20_000).astype(np.uint32)
+    assert _matches(a, np.delete(a, [5, 9_000])) == len(a) - 2
+
+
+def test_recall_against_all_pairs(spark, prose):
+    """Fuzzy passages in documents full of phrases that many share, against a comparison of every pair."""
+    r = random.Random(8)
+    phrases = [prose(7) for _ in range(60)]
+    filler = lambda n: " ".join(r.choice(phrases) if r.random() < 0.3 else prose(6) for _ in range(n))
+    texts = [filler(20) for _ in range(20)]
+    for _ in range(24):
+        p = []
+        while len(p) < 80:
+            p += (r.choice(phrases) if r.random() < 0.4 else prose(9)).split()
+        for _ in range(r.choice([2, 3])):
+            w = p.copy()
+            for i in range(r.randrange(9), len(w), r.choice([9, 12, 20])):
+                w[i] = f"edit{r.randrange(10**6)}"
+            texts.append(f"{filler(6)} {' '.join(w)} {filler(6)}")
+    known = passages._Hashes()
+    c = [passages.codes(passages.words_of(t), known).astype(np.uint32) for t in texts]
+    pairs = set()
+    for i in range(len(texts)):
+        for j in range(i):
+            at: dict = {}
+            for k in range(len(c[j]) - 4):
+                at.setdefault(c[j][k : k + 5].tobytes(), []).append(k)
+            hits = [(k, o) for k in range(len(c[i]) - 4) for o in at.get(c[i][k : k + 5].tobytes(), ())]
+            pos, other = [p for p, _ in hits], [o for _, o in hits]
+            for chain in passages.chains(pos, other) if hits else ():
+                if passages.align(c[i], c[j], [pos[x] for x in chain], [other[x] for x in chain]):
+                    pairs.add((i + 1, j + 1))
+    got = {(x.doc_id, x.other_id) for x in found(spark, texts)}
+    root = list(range(len(texts) + 1))
+    find = lambda x: x if root[x] == x else find(root[x])
+    for a, b in got:
+        root[find(a)] = find(b)
+    assert len(pairs) >= 40 and got <= pairs
+    assert sum(find(a) == find(b) for a, b in pairs) >= 0.95 * len(pairs)
+    assert sum(p in got for p in pairs) >= 0.8 * len(pairs)  # the rest are tied through their class's first holders
+
+
+def test_a_very_long_text(spark, prose):
+    p = prose(80)
+    texts = [f"{prose(60_000)} {p} {prose(60_000)}", f"{p} " * 3, prose(30)]
+    rows = found(spark, texts)
+    assert covered(rows, 2) == set(range(240))

@@ -53,6 +53,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(docs: DataFrame, name: str = "_doc") -> DataFrame:
+    """docs as one struct column, so that no column of theirs can clash with an operator's own."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(name))
+
+
 def words_of(text: str | None) -> list[bytes]:
     """The words of a text (see WORD) in UTF-8; bytes.split() cuts at the same six characters."""
     return (text or "").encode("utf-8", "surrogatepass").split()

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidegrid.llm.common import prepare, written
+from tidegrid.llm.common import packed, prepare, written
 
 LENGTH, END = 2048, 1
 
@@ -30,30 +30,31 @@ LENGTH, END = 2048, 1
 class Ids:
     """Ids of whole texts as little-endian unsigned 32-bit bytes.
 
-    The vocabulary is read twice: as ranks, by a faster encoder with the same pattern and merges, and as the tokenizer itself, which takes
-    the texts that the other one refuses. Strings of special tokens are ordinary text. Tests compare both.
+    The ids are those of the tokenizer's own call. A text without strings of its special tokens goes through its vocabulary read as ranks, by a faster
+    encoder with the same pattern and merges; all others, and what that one refuses, go through the tokenizer itself. Tests compare both.
     """
 
     def __init__(self, path: str | None = None, ranks: str | None = None):
         import tiktoken
+        from tokenizers import Tokenizer
 
-        with open(ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
-            merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.path = path or public_tokenizers.path("byte_bpe_50k.json")
-        self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
-        self.tokenizer = None
+        self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.encoding = None
+        if ranks or not path:  # another tokenizer's ranks aren't known
+            with open(ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
+                merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
 
     def exact(self, text: str) -> bytes:
-        from tokenizers import Tokenizer
-
-        if self.tokenizer is None:
-            self.tokenizer = Tokenizer.from_file(self.path)
-            self.tokenizer.encode_special_tokens = True
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def of(self, texts: list[str]) -> list[bytes]:
         out = []
         for t in texts:
+            if self.encoding is None or any(s in t for s in self.special):
+                out.append(self.exact(t))
+                continue
             try:
                 out.append(self.encoding.encode_to_numpy(t, disallowed_special=()).astype("<u4").tobytes())
             except Exception:  # the pattern's backtracking limit, in texts of endless white space
@@ -111,25 +112,28 @@ def padding(patterns: list[tuple[int, list[int]]], length: int = LENGTH) -> int:
 
 
 def pack(cut: DataFrame, length: int = LENGTH) -> DataFrame:
-    """cut (columns ``length`` and others) with sequence_id, offset: gapless from 0 in each sequence. Other columns, repeated rows included, stay as they are. Empty: no rows."""
-    keep = cut.columns
-    marked = T.StructType([*cut.schema.fields, T.StructField("_part", T.LongType()), T.StructField("_rank", T.LongType())])
-    schema = T.StructType([*cut.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    """cut (columns ``length`` and others) with sequence_id, offset: gapless from 0 in each sequence.
+
+    Other columns stay, whatever their names, repeated rows included; sequence_id and offset take the place of columns of those names. Empty: no rows.
+    """
+    keep, rows = cut.columns, packed(cut, "_piece")
+    piece = rows.schema.fields[0]
+    long = lambda name: T.StructField(name, T.LongType())
 
     def ranks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), np.zeros(length + 1, np.int64)
         for x in batches:
-            sizes = np.asarray(x.column("length"))
+            sizes = np.asarray(x.column(0).field("length"), np.int64)
             order = np.argsort(sizes, kind="stable")
             kinds, first, n = np.unique(sizes[order], return_index=True, return_counts=True)
             rank = np.empty(len(sizes), np.int64)
             rank[order] = np.arange(len(sizes)) - np.repeat(first - seen[kinds], n)
             seen[kinds] += n
-            yield pa.RecordBatch.from_arrays([*x.columns, pa.array(np.full(len(sizes), part, np.int64)), pa.array(rank)], names=[*keep, "_part", "_rank"])
+            yield pa.RecordBatch.from_arrays([x.column(0), pa.array(sizes), pa.array(np.full(len(sizes), part, np.int64)), pa.array(rank)], names=["_piece", "_size", "_part", "_rank"])
 
-    cut = written(cut.mapInArrow(ranks, marked))
-    counts = written(cut.groupBy("_part", "length").agg(F.count("*").alias("_n")))
-    patterns = shortest_pack_first({r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("_n")).collect()}, length)  # at most ``length`` rows
+    ranked = written(rows.mapInArrow(ranks, T.StructType([piece, long("_size"), long("_part"), long("_rank")])))
+    counts = written(ranked.groupBy("_part", "_size").agg(F.count("*").alias("_n")))
+    patterns = shortest_pack_first({r[0]: r[1] for r in counts.groupBy("_size").agg(F.sum("_n")).collect()}, length)  # at most ``length`` rows
     slots: dict[int, list[tuple[int, int, int]]] = {}
     used: dict[int, int] = {}
     sequence = 0
@@ -144,15 +148,18 @@ def pack(cut: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            sizes, rank = np.asarray(x.column("length")), np.asarray(x.column("_rank")) + np.asarray(x.column("_before"))
+            sizes, rank = np.asarray(x.column("_size")), np.asarray(x.column("_rank")) + np.asarray(x.column("_before"))
             sequence_id, offset = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
             for size in np.unique(sizes).tolist():
                 rows = np.flatnonzero(sizes == size)
                 begin, seq, off = at[size]
                 k = np.searchsorted(begin, rank[rows], side="right") - 1
                 sequence_id[rows], offset[rows] = seq[k] + rank[rows] - begin[k], off[k]
-            yield pa.RecordBatch.from_arrays([*(x.column(c) for c in keep), pa.array(sequence_id), pa.array(offset)], names=[*keep, "sequence_id", "offset"])
-
-    before = F.sum("_n").over(Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    first = written(counts.select("_part", "length", F.coalesce(before, F.lit(0)).alias("_before")))
-    return cut.join(first, ["_part", "length"]).select(*keep, "_rank", "_before").mapInArrow(place, schema)
+            yield pa.RecordBatch.from_arrays([x.column("_piece"), pa.array(sequence_id), pa.array(offset)], names=["_piece", "_sequence", "_offset"])
+
+    before = F.sum("_n").over(Window.partitionBy("_size").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    first = written(counts.select("_part", "_size", F.coalesce(before, F.lit(0)).alias("_before")))
+    # (partition, length) rows grow with the partitions: a merge join, never a broadcast
+    placed = ranked.join(first.hint("merge"), ["_part", "_size"]).select("_piece", "_size", "_rank", "_before").mapInArrow(place, T.StructType([piece, long("_sequence"), long("_offset")]))
+    rest = [F.col("_piece")[c].alias(c) for c in keep if c not in ("sequence_id", "offset")]
+    return placed.select(*rest, F.col("_sequence").alias("sequence_id"), F.col("_offset").alias("offset"))

@@ -2,14 +2,15 @@
 
 1. Seeds: hashes of k words, those that ``every`` divides: what is chosen does not depend on the words around, so that
    equal words have equal seeds right up to an edit.
-2. Each seed that more than one document has is tied to its first holder (least doc_id), never to all others: rows
-   stay as many as seeds, whatever the number of holders. The n-th copy in a document is tied to the n-th that the
+2. Each seed that more than one document has is tied to its first two holders (least doc_ids), never to all others: rows
+   stay as many as seeds, whatever the number of holders, and a chance holder of a phrase does not hide the passage's. The n-th copy in a document is tied to the n-th that the
    holder has, counted from the front and from the back, or to its last or first one where it has fewer.
-3. Of each pair (document, first holder) the seed matches are chained in order with costs for gaps, by a Fenwick tree of prefix maxima.
+3. Of each pair (document, holder) the seed matches are chained in order with costs for gaps, by a Fenwick tree of prefix maxima.
 4. Chains are aligned: exactly between seeds, by X-drop with gaps beyond the ends; one that is not like enough is cut at its worst gaps. A passage has ``least`` words or more and a likeness of ``like`` or more.
+   Both texts come cut to MARGIN words around the chain; a chain whose alignment reaches such a cut is aligned again with whole texts.
 5. Exact runs of ``least`` words don't depend on any of that. Halves (``least`` // 2 words) are seeds too, each window's least
    one; each window whose least half another document has is hashed whole and tied to its own first holder. So a passage
-   whose parts have different holders is found in parts that overlap. What passages of step 4 cover is not repeated.
+   whose parts have different holders is found in parts that overlap. What passages of step 4 cover between the same two documents is not repeated.
 Only codes of words (32 bits) of documents that have a chain move, not their texts. Joins sort and merge at every size, as no side has a bound.
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidegrid.llm.common import discard, prepare, shared_dir, table, words_of, written
+from tidegrid.llm.common import discard, packed, prepare, shared_dir, table, words_of, written
 
 K, EVERY, LEAST, LIKE = 5, 2, 50, 0.8
 GAP, MARGIN, DROP, PENALTY, BAND = 0.1, 64, 12, 3, 8
@@ -157,13 +158,19 @@ def chains(pos: list[int], other: list[int], weight: float = K, gap: float = GAP
 
 
 def _matches(a: np.ndarray, b: np.ndarray) -> int:
-    """Most words of a and b that agree in order (longest common subsequence)."""
+    """Most words of a and b that agree in order (longest common subsequence), by rows of bits: a long integer holds a row."""
     if len(a) == len(b) and (a == b).all():
         return len(a)
-    row = np.zeros(len(b) + 1, np.int64)
-    for x in a:
-        row[1:] = np.maximum.accumulate(np.maximum(row[1:], (row[:-1] + 1) * (b == x)))
-    return int(row[-1])
+    at: dict[int, int] = {}
+    for k, x in enumerate(b.tolist()):
+        at[x] = at.get(x, 0) | 1 << k
+    full = (1 << len(b)) - 1
+    row = full
+    for x in a.tolist():
+        if m := at.get(x):
+            u = row & m
+            row = ((row + u) | (row - u)) & full
+    return len(b) - row.bit_count()
 
 
 def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
@@ -195,11 +202,12 @@ def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
     return k + at[0], k + at[1], k + (best & (one - 1))
 
 
-def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], least: int = LEAST, like: float = LIKE, k: int = K) -> list[tuple[int, int, int, int, float]]:
+def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], least: int = LEAST, like: float = LIKE, k: int = K, edges: tuple[bool, bool] = (False, False)) -> list[tuple[int, int, int, int, float]] | None:
     """(start, end, other start, other end, likeness) of the passages that a chain of matches holds in the word codes a and b.
 
     A chain that is not like enough as a whole, with or without its extended ends, is cut at the link that leaves most words
     unmatched; both parts are judged in the same way. A part has two matches or more and extends no further than its neighbours.
+    ``edges``: whether a or b was cut (before, behind); None if an alignment comes so near to such a cut that it might go on.
     """
     same = []
     for i in range(len(pos) - 1):
@@ -208,11 +216,16 @@ def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], least:
         same.append(d if d == o and d <= k else step + _matches(a[pos[i] + step : pos[i + 1]], b[other[i] + step : other[i + 1]]))
     lost = np.maximum(np.diff(pos), np.diff(other)) - np.array(same, np.int64)
     before, out, parts = np.concatenate([[0], np.cumsum(same)]), [], [(0, len(pos) - 1)]
+    close = DROP + BAND
     while parts:
         i, j = parts.pop()
         s, t, e, f, m = pos[i], other[i], pos[j] + k, other[j] + k, int(before[j] - before[i]) + k
         left, back, ml = _extend(a[pos[i - 1] + k if i else 0 : s][::-1], b[other[i - 1] + k if i else 0 : t][::-1])
         right, ahead, mr = _extend(a[e : pos[j + 1] if j + 1 < len(pos) else None], b[f : other[j + 1] if j + 1 < len(pos) else None])
+        if edges[0] and not i and min(s - left, t - back) < close:
+            return None
+        if edges[1] and j + 1 == len(pos) and min(len(a) - e - right, len(b) - f - ahead) < close:
+            return None
         tries = ((s - left, e + right, t - back, f + ahead, m + ml + mr), (s, e, t, f, m))
         good = [(*x[:4], x[4] / max(x[1] - x[0], x[3] - x[2])) for x in tries if x[4] >= like * max(x[1] - x[0], x[3] - x[2])]
         if good:
@@ -246,7 +259,7 @@ def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, li
     prepare(spark)
     rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-    def sow(sieve, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sow(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Hashes()
         for x in batches:
             parts = []
@@ -259,22 +272,28 @@ def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, li
                     x, _, at = halves_of(c.astype(np.uint32), least)
                     parts.append((x[at], np.full(len(at), d, np.int64), -1 - at))
             h, d, at = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0, np.uint64) for i in range(3))
-            if sieve is not None:
-                keep = _passes(sieve.value, h >> np.uint64(64 - SEED_BITS))
-                h, d, at = h[keep], d[keep], at[keep]
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(d.astype(np.int64)), pa.array(at.astype(np.int64))], names=["seed", "doc", "at"])
 
-    sown = rows.mapInArrow(partial(sow, None), "seed long, doc long, at long")  # at: a seed's place, or -1 less the position of a half
-    shared = sown.groupBy("seed").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last")
+    def pass_on(sieve, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            bit = np.asarray(x.column(0)).view(np.uint64) >> np.uint64(64 - SEED_BITS)
+            yield x.filter(pa.array(_passes(sieve.value, bit)))
+
     passing = shared_dir(spark)
+    # at: a seed's place, or -1 less the position of a half
+    sown = written(rows.mapInArrow(sow, "seed long, doc long, at long"), f"{passing}/sown")
+    shared = sown.groupBy("seed").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last")
     shared = written(shared.select("seed", "first"), f"{passing}/shared")
     sieve = _sieve(shared.select(F.shiftrightunsigned("seed", 64 - SEED_BITS).alias("bit")), SEED_BITS)
-    sown = rows.mapInArrow(partial(sow, sieve), sown.schema)
-    held = written(sown.join(shared.hint("merge"), "seed"), f"{passing}/held")
+    held = written(sown.mapInArrow(partial(pass_on, sieve), sown.schema).join(shared.hint("merge"), "seed"), f"{passing}/held")
+    discard(spark, f"{passing}/sown")
     pos, before, after = unpack("at")
-    firsts = written(held.where("doc = first AND at >= 0").groupBy("seed").agg(F.sort_array(F.collect_list(pos)).alias("others")), f"{passing}/firsts")
+    seeds_of = held.where("at >= 0")
+    second = seeds_of.where("doc <> first").groupBy("seed").agg(F.min("doc").alias("second"))
+    holders = seeds_of.join(second.hint("merge"), "seed").where("doc = first OR doc = second")
+    holders = written(holders.groupBy("seed", F.col("doc").alias("holder")).agg(F.sort_array(F.collect_list(pos)).alias("others")), f"{passing}/holders")
     halves = written(held.where("at < 0").groupBy("doc").agg(F.collect_set("seed").alias("halves")))
-    matches = held.where("doc <> first AND at >= 0").join(firsts.hint("merge"), "seed")
+    matches = seeds_of.where("doc <> first").join(holders.hint("merge"), "seed").where("holder < doc").withColumnRenamed("holder", "other_doc").drop("first").withColumnRenamed("other_doc", "first")
     last = F.size("others") - 1
     ends = F.array_distinct(F.array(F.get("others", F.least(before, last)), F.get("others", F.greatest(last - after, F.lit(0)))))
     matches = matches.select("doc", "first", pos.alias("pos"), F.explode(ends).alias("other"))
@@ -303,30 +322,55 @@ def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, li
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["id", "key", "codes"])
 
     coded = rows.select("doc_id", F.xxhash64("text").alias("key"), "text", F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - FILTER_BITS).alias("bit")).mapInArrow(encode, "id long, key long, codes binary")
-    mine = found.join(coded.select(F.col("id").alias("doc"), F.col("key").alias("text_key"), "codes").hint("merge"), "doc")
-    low, high = F.greatest(F.element_at("pos", 1) - MARGIN, F.lit(0)), F.element_at("pos", -1) + k + MARGIN
-    mine = mine.select("doc", "text_key", "first", "pos", "other", low.alias("low"), F.substring("codes", 4 * low + 1, 4 * (high - low)).alias("a"))
-    both = mine.join(coded.select(F.col("id").alias("first"), F.col("codes").alias("b")).hint("merge"), "first")
+    codes_of = written(coded)
+
+    def aligned(chosen: DataFrame, margin: int | None) -> DataFrame:
+        """Passages of chains (doc, first, pos, other); with a margin, chains that reach a cut come back with doc_id null and their pos and other."""
+        mine = chosen.join(codes_of.select(F.col("id").alias("doc"), F.col("key").alias("text_key"), "codes").hint("merge"), "doc")
+        both = mine.select("doc", "text_key", "first", "pos", "other", *_cut("pos", "low", "a", "before", k, margin))
+        both = both.join(codes_of.select(F.col("id").alias("first"), "codes").hint("merge"), "first")
+        both = both.select("doc", "text_key", "first", "pos", "other", "low", "a", "before", "behind_a", *_cut("other", "other_low", "b", "before_b", k, margin))
+        return both.mapInArrow(partial(compare, margin is not None), f"{PASSAGE}, doc long, first long, pos array<int>, other array<int>")
 
-    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(again: bool, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             out = []
-            for d, key, f, pos, other, base, a, b in zip(*(x.column(c).to_pylist() for c in ("doc", "text_key", "first", "pos", "other", "low", "a", "b")), strict=True):
+            names = ("doc", "text_key", "first", "pos", "other", "low", "a", "before", "behind_a", "other_low", "b", "before_b", "behind_b")
+            for d, key, f, pos, other, base, a, cut, cut_end, low, b, cut_b, cut_b_end in zip(*(x.column(c).to_pylist() for c in names), strict=True):
                 a, b = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-                if pos[-1] + k - base > len(a) or other[-1] + k > len(b):
+                p, o = np.array(pos) - base, np.array(other) - low
+                if p[-1] + k > len(a) or o[-1] + k > len(b):
                     continue  # the match is of another row with this doc_id
-                if (a[np.add.outer(np.array(pos) - base, np.arange(k))] != b[np.add.outer(np.array(other), np.arange(k))]).any():
+                if (a[np.add.outer(p, np.arange(k))] != b[np.add.outer(o, np.arange(k))]).any():
                     continue  # so is this one
-                out += [(d, key, s + base, e + base, f, t, u, likeness) for s, e, t, u, likeness in align(a, b, [p - base for p in pos], other, least, like, k)]
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["doc_id", "text_key", "start", "end", "other_id", "other_start", "other_end", "likeness"])
+                edges = (cut or cut_b, cut_end or cut_b_end) if again else (False, False)
+                found = align(a, b, p.tolist(), o.tolist(), least, like, k, edges)
+                if found is None:
+                    out.append((None,) * 8 + (d, f, pos, other))
+                else:
+                    out += [(d, key, s + base, e + base, f, t + low, u + low, likeness) + (None,) * 4 for s, e, t, u, likeness in found]
+            ints = pa.list_(pa.int32())
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.int64(), ints, ints)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["doc_id", "text_key", "start", "end", "other_id", "other_start", "other_end", "likeness", "doc", "first", "pos", "other"])
+
+    near = written(aligned(found, MARGIN))
+    columns = [c.split()[0] for c in PASSAGE.split(", ")]
+    wider = aligned(near.where("doc IS NOT NULL").select("doc", "first", "pos", "other").distinct(), None).select(*columns)
+    chained = written(near.where("doc_id IS NOT NULL").select(*columns).unionByName(wider).distinct())
+    return chained.unionByName(exact(codes_of.join(halves.hint("merge"), F.col("id") == F.col("doc")), chained, least))
+
 
-    chained = written(both.mapInArrow(compare, PASSAGE))
-    return chained.unionByName(exact(coded.join(halves.hint("merge"), F.col("id") == F.col("doc")), chained, least))
+def _cut(places: str, low: str, codes: str, before: str, k: int, margin: int | None) -> list[F.Column]:
+    """The words of ``codes`` around a chain's places, the first one's number, and whether words are left out before and behind."""
+    at = F.greatest(F.element_at(places, 1) - margin, F.lit(0)) if margin is not None else F.lit(0)
+    words = F.octet_length("codes") / 4
+    end = F.least(F.element_at(places, -1) + k + margin, words) if margin is not None else words
+    part = F.substring("codes", (4 * at + 1).cast("int"), (4 * (end - at)).cast("int"))
+    return [at.alias(low), part.alias(codes), (at > 0).alias(before), (end < words).alias(f"behind_{codes}")]
 
 
 def exact(shared: DataFrame, chained: DataFrame, least: int) -> DataFrame:
-    """Runs of ``least`` words or more that an earlier document has word for word, less those within the passages ``chained``; shared(id, key, codes, halves) has the hashes of halves that other documents have too."""
+    """Runs of ``least`` words or more that an earlier document has word for word, less those within passages ``chained`` of the same two documents; shared(id, key, codes, halves) has the hashes of halves that other documents have too."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -340,27 +384,29 @@ def exact(shared: DataFrame, chained: DataFrame, least: int) -> DataFrame:
     held = windows.groupBy("run").agg(F.min(F.struct("doc", "pos")).alias("first"), F.max("doc").alias("last")).where("first.doc <> last")
     later = windows.join(held.hint("merge"), "run").where("doc <> first.doc")
     later = later.groupBy("doc", "key").agg(F.collect_set(F.struct("pos", F.col("first.doc").alias("first"), F.col("first.pos").alias("other"))).alias("at"))
-    spans = chained.groupBy(F.col("doc_id").alias("doc"), F.col("text_key").alias("key")).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    spans = chained.groupBy(F.col("doc_id").alias("doc"), F.col("text_key").alias("key")).agg(F.collect_set(F.struct(F.col("other_id").alias("other"), "start", "end")).alias("spans"))
 
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             out = []
             for d, key, at, spans in zip(*(x.column(n).to_pylist() for n in ("doc", "key", "at", "spans")), strict=True):
-                covered: list[list[int]] = []
-                for s, e in sorted((v["start"], v["end"]) for v in spans or ()):
-                    if covered and s <= covered[-1][1]:
-                        covered[-1][1] = max(e, covered[-1][1])
+                covered: dict[int, list[list[int]]] = {}
+                for o, s, e in sorted((v["other"], v["start"], v["end"]) for v in spans or ()):
+                    mine = covered.setdefault(o, [])
+                    if mine and s <= mine[-1][1]:
+                        mine[-1][1] = max(e, mine[-1][1])
                     else:
-                        covered.append([s, e])
-                starts, joined = [s for s, _ in covered], []
+                        mine.append([s, e])
+                joined: list[list[int]] = []
                 for pos, first, other in sorted((v["pos"], v["first"], v["other"]) for v in at):
                     if joined and joined[-1][1:] == [pos - 1 + least, first, other - 1 + least]:
                         joined[-1][1], joined[-1][3] = pos + least, other + least
                     else:
                         joined.append([pos, pos + least, first, other + least])
                 for s, e, first, f in joined:
-                    i = bisect_right(starts, s) - 1
-                    if i < 0 or covered[i][1] < e:
+                    mine = covered.get(first, [])
+                    i = bisect_right(mine, s, key=lambda x: x[0]) - 1
+                    if i < 0 or mine[i][1] < e:
                         out.append((d, key, s, e, first, f - (e - s), f, 1.0))
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["doc_id", "text_key", "start", "end", "other_id", "other_start", "other_end", "likeness"])
@@ -369,19 +415,21 @@ def exact(shared: DataFrame, chained: DataFrame, least: int) -> DataFrame:
 
 
 def remove(docs: DataFrame, **options) -> DataFrame:
-    """docs without the passages that an earlier document has; n_chars follows the text. All rows and columns stay; a text that is one passage becomes empty."""
-    spans = find(docs, **options)
-    spans = spans.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.collect_set(F.struct("start", "end")).alias("_spans"))
-    joined = docs.join(written(spans).hint("merge"), (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_key")), "left").drop("_id", "_key")
-    schema = docs.schema
+    """docs without the passages that an earlier document has; n_chars follows the text. All rows and columns stay, whatever their names; a text that is one passage becomes empty."""
+    spans = find(docs.select("doc_id", "text"), **options)
+    spans = written(spans.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "end")).alias("spans")))
+    rows, doc = packed(docs), F.col("_doc")
+    here = (doc["doc_id"].cast("long") == F.col("doc_id")) & (F.xxhash64(doc["text"].cast("string")) == F.col("text_key"))
+    joined = rows.join(spans.hint("merge"), here, "left").select("_doc", "spans")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
 
         word = re.compile(r"[^\x20\x09-\x0D]+")
         for x in batches:
-            texts = x.column("text").to_pylist()
-            for i, spans in enumerate(x.column("_spans").to_pylist()):
+            cols = dict(zip((f.name for f in x.column(0).type), x.column(0).flatten(), strict=True))
+            texts = cols["text"].to_pylist()
+            for i, spans in enumerate(x.column(1).to_pylist()):
                 if spans:
                     at, out, k = [m.span() for m in word.finditer(texts[i])], [], 0
                     for s in sorted(spans, key=lambda s: (s["start"], s["end"])):
@@ -389,12 +437,14 @@ def remove(docs: DataFrame, **options) -> DataFrame:
                         out.append(texts[i][k : max(k, s)])
                         k = max(k, e)
                     texts[i] = "".join([*out, texts[i][k:]]).strip(" \t\n\x0b\x0c\r")
-            cols = {c: x.column(c) for c in x.schema.names if c != "_spans"}
-            cols["text"] = pa.array(texts, pa.string())
+            cols["text"] = pa.array(texts, cols["text"].type)
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
-    out = joined.mapInArrow(cut, schema)
-    return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))) if "n_chars" in docs.columns else out
+    out = joined.mapInArrow(cut, docs.schema)
+    if "n_chars" not in docs.columns:
+        return out
+    kind = docs.schema["n_chars"].dataType
+    return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)))
 
 
 def op7_chains(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidegrid.llm.common import components, forest, prepare, written
+from tidegrid.llm.common import components, forest, packed, prepare, written
 
 RADIUS, SHINGLE, SEED, TILE = 4, 4, 42, 32768
 
@@ -42,26 +42,29 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(h), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint's bits as a signed long. A null text counts as empty."""
-    prepare(docs.sparkSession)
+def _hashed(rows: DataFrame, kept: str, shingle: int) -> DataFrame:
+    """rows (columns ``kept``, then text) with the text replaced by fp, the fingerprint's bits as a signed long."""
+    prepare(rows.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            fp = np.array([simhash(t, shingle) for t in x.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([x.column(0), pa.array(fp)], names=["doc_id", "fp"])
+            fp = np.array([simhash(t, shingle) for t in x.column(x.num_columns - 1).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*x.columns[:-1], pa.array(fp)], names=[*x.schema.names[:-1], "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, f"{kept}, fp long")
 
 
-def _near(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes of all pairs within the radius."""
-    out = []
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, fp): fp is the fingerprint's bits as a signed long. A null text counts as empty."""
+    return _hashed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "doc_id long", shingle)
+
+
+def _near(a: np.ndarray, b: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Indexes of all pairs within the radius, a slab at a time."""
     step = max(1, (1 << 20) // max(1, len(b)))
     for k in range(0, len(a), step):
         i, j = np.nonzero(np.bitwise_count(a[k : k + step, None] ^ b[None, :]) <= radius)
-        out.append((i + k, j))
-    return np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])
+        yield i + k, j
 
 
 def _quarters(x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -73,22 +76,23 @@ def _quarters(x: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
 
 
 def near_forest(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links between fingerprints a and b (uint64), as signed longs."""
-    edges = [np.empty((2, 0), np.int64)]
+    """A spanning forest of the links between fingerprints a and b (uint64), as signed longs. It is reduced as slabs come, so a dense tile never holds all its pairs."""
     if len(a) * len(b) < 1 << 20:
-        i, j = _near(a, b, radius)
-        edges.append(np.stack([a[i], b[j]]).view(np.int64))
+        groups = [(a, b)]
     else:
         (ka, ga), (kb, gb) = _quarters(a), _quarters(b)
-        for k, x in zip(ka, ga, strict=True):
-            near = np.flatnonzero(np.abs(kb - k).sum(axis=1) <= radius)
-            if len(near):
-                y = np.concatenate([gb[t] for t in near])
-                i, j = _near(x, y, radius)
-                edges.append(np.stack([x[i], y[j]]).view(np.int64))
-    e = np.concatenate(edges, axis=1)
-    e = e[:, e[0] != e[1]]
-    return forest(e[0], e[1])
+        near = (np.flatnonzero(np.abs(kb - k).sum(axis=1) <= radius) for k in ka)
+        groups = [(x, np.concatenate([gb[t] for t in n])) for x, n in zip(ga, near, strict=True) if len(n)]
+    held, size = [np.empty((2, 0), np.int64)], 0
+    for x, y in groups:
+        for i, j in _near(x, y, radius):
+            e = np.stack([x[i], y[j]]).view(np.int64)
+            held.append(e[:, e[0] != e[1]])
+            size += held[-1].shape[1]
+            if size > 1 << 20:
+                held = [np.stack(forest(*np.concatenate(held, axis=1)))]
+                size = 0
+    return forest(*np.concatenate(held, axis=1))
 
 
 def links(fps: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
@@ -142,7 +146,13 @@ def simhash_components(docs: DataFrame, radius: int = RADIUS, shingle: int = SHI
     return rows.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def near_dedup(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """docs without all but one document of each component: the one with the smallest doc_id stays, all columns kept. Rows with a null doc_id stay."""
-    gone = simhash_components(docs.select("doc_id", "text"), radius).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs.doc_id == F.col("_gone"), "left_anti")
+def near_dedup(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+    """docs with one row of each component: the one with the smallest doc_id (null last), of repeated rows one. All columns stay, whatever their names."""
+    rows = written(packed(docs).withColumn("_row", F.monotonically_increasing_id()))
+    prints = written(_hashed(rows.select(F.col("_row"), F.col("_doc")["doc_id"].cast("long").alias("doc_id"), F.col("_doc")["text"].cast("string").alias("text")), "_row long, doc_id long", shingle))
+    fps = written(prints.select("fp").distinct())
+    roots = written(components(links(fps, radius)))
+    named = prints.join(roots, prints.fp == roots.node, "left").select("_row", "doc_id", F.coalesce("root", "fp").alias("root"))
+    best = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "_row")).alias("b"))
+    gone = written(named.join(written(best), "root").where(F.col("_row") != F.col("b._row")).select(F.col("_row").alias("_gone")))
+    return rows.join(gone, F.col("_row") == F.col("_gone"), "left_anti").select("_doc.*")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import prepare, table
+from tidegrid.llm.common import packed, prepare, table
 
 ORDER, SPAN, DECAY, LANDMARKS, PENALTY = 4, 7, 0.6, 256, 10.0
 #: Where the curve's middle is moved, from the clean documents' 99.9th percentile (0) to its fitted place (1).
@@ -275,7 +275,7 @@ def held_out() -> F.Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Model:
-    """Fits on a sample of the labelled documents that are not held out: the first ``rows`` by hash of doc_id, as long as their texts have ``chars`` characters or less. Rows with a null id or label are left out.
+    """Fits on a sample of the labelled documents that are not held out: the first ``rows`` by hash of doc_id, less each whose text would bring the sample over ``chars`` characters. Rows with a null id or label are left out.
 
     The fit runs in one task of an executor, as the sample is bounded; the driver receives the weights (4 MB) only.
     """
@@ -286,8 +286,12 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int
     picked = spark.createDataFrame([tuple(r) for r in picked.collect()], "_id long, toxic int")
     sample = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "_id")
     sizes = sample.groupBy("_id").agg(F.sum(F.coalesce(F.length("text"), F.lit(0)).cast("long")).alias("n")).select(F.xxhash64("_id").alias("h"), "_id", "n").orderBy("h", "_id").collect()
-    total = np.cumsum([r.n for r in sizes]).tolist()
-    some = spark.createDataFrame([(r["_id"],) for r, t in zip(sizes, total, strict=True) if t <= chars], "_id long")
+    some, total = [], 0
+    for r in sizes:
+        if total + r.n <= chars:
+            some.append((r["_id"],))
+            total += r.n
+    some = spark.createDataFrame(some, "_id long")
 
     def words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -324,26 +328,36 @@ def _fit_sample(sample: pa.Table) -> pa.Table:
     return pa.table({"weights": pa.array([m.weights.tobytes()], pa.binary()), "bias": [float(m.bias)], "slope": [float(m.curve[0])], "middle": [float(m.curve[1])]})
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with toxicity (0 to 1) of the whole text. Null and empty texts score as texts without words. Other columns stay."""
+def scored(docs: DataFrame, model: Model) -> DataFrame:
+    """(_doc, _score): rows of docs as structs, and the toxicity (0 to 1) of the whole text. Null and empty texts score as texts without words."""
     prepare(docs.sparkSession)
-    spark = docs.sparkSession
+    spark, rows = docs.sparkSession, packed(docs)
     shared = spark.sparkContext.broadcast(model)  # LETTERS ** ORDER floats, 4 MB
-    schema = docs.withColumn("toxicity", F.lit(0.0)).schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for x in batches:
-            texts, done, out = [t or "" for t in x.column("text").to_pylist()], 0, []
+            texts, done, out = [t or "" for t in x.column(0).field("text").to_pylist()], 0, []
             while done < len(texts):  # a few million letters at a time
                 k, n = done, 0
                 while k < len(texts) and (k == done or n + len(texts[k]) <= 1 << 20):
                     n, k = n + len(texts[k]), k + 1
                 out.append(m.scores(texts[done:k]))
                 done = k
-            yield pa.RecordBatch.from_arrays([*x.columns, pa.array(np.concatenate(out) if out else [], pa.float64())], names=[*x.schema.names, "toxicity"])
+            yield pa.RecordBatch.from_arrays([*x.columns, pa.array(np.concatenate(out) if out else [], pa.float64())], names=["_doc", "_score"])
+
+    return rows.mapInArrow(run, rows.withColumn("_score", F.lit(0.0)).schema)
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """docs with toxicity, in the place of a column of that name if there is one; other columns stay."""
+    rest = [F.col("_doc")[c].alias(c) for c in docs.columns if c != "toxicity"]
+    return scored(docs, model).select(*rest, F.col("_score").alias("toxicity"))
+
 
-    return docs.mapInArrow(run, schema)
+def clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """docs without those that score ``threshold`` or more; all columns stay, whatever their names."""
+    return scored(docs, model).where(F.col("_score") < threshold).select("_doc.*")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
