@@ -12,11 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import prepare, table, written
+from tidegrid.llm.common import discard, prepare, shared_dir, table, written
 
 #: (verdict, host, path); the longest that fits decides.
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
-DAMPING, THRESHOLD, TOLERANCE, MOST_ROUNDS = 0.85, 0.5, 1e-4, 30
+DAMPING, THRESHOLD, TOLERANCE = 0.85, 0.5, 1e-4
 
 
 def host_and_path(df: DataFrame, url: str = "url") -> DataFrame:
@@ -45,40 +45,54 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
-    """(host, score): seeds(host, seed) carried over edges(src, dst, w): score = (1 - damping) seed + damping sum of what comes in.
+    """(node, score of each seed column): seeds(node, ...) carried over edges(src, dst, w): score = (1 - damping) seed + damping sum of what comes in.
 
-    A host without edges out keeps what it has, so mass is kept. Rounds end when no score moves by ``tolerance``.
-    Hosts appear if they have a seed or an edge. Each round aggregates before its shuffle.
+    A node without edges out keeps what it has, so mass is kept. Rounds go on until no score moves by ``tolerance``: all moves
+    together shrink by ``damping`` at least in each round, so they end, about 57 rounds for each 1e-4. All columns go in the same rounds.
+    Nodes appear if they have a seed or an edge. A round aggregates before its shuffle, and its table replaces the last one.
     """
-    nodes = seeds.select("host").union(edges.select("src")).union(edges.select("dst")).distinct()
+    spark, names = seeds.sparkSession, [c for c in seeds.columns if c != "node"]
+    nodes = seeds.select("node").union(edges.select("src")).union(edges.select("dst")).distinct()
     out = edges.groupBy("src").agg(F.sum("w").alias("out"))
-    base = written(nodes.join(seeds, "host", "left").join(out.withColumnRenamed("src", "host"), "host", "left").select("host", F.coalesce("seed", F.lit(0.0)).alias("seed"), "out"))
-    step = written(edges.join(base.select(F.col("host").alias("src"), "out"), "src").select("src", "dst", (F.col("w") / F.col("out")).alias("p")))
-    score = base.select("host", F.col("seed").alias("score"))
-    for _ in range(MOST_ROUNDS):
-        come = written(score.join(step, score.host == step.src).groupBy("dst").agg(F.sum(F.col("score") * F.col("p")).alias("come")))
-        new = base.join(score, "host").join(come, F.col("host") == F.col("dst"), "left")
-        kept = F.when(F.col("out").isNull(), F.col("score")).otherwise(F.lit(0.0))
-        new = written(new.select("host", ((1 - damping) * F.col("seed") + damping * (F.coalesce("come", F.lit(0.0)) + kept)).alias("score"), F.col("score").alias("old")))
-        moved = new.agg(F.max(F.abs(F.col("score") - F.col("old")))).first()[0]
-        score = new.select("host", "score")
+    base = nodes.join(seeds, "node", "left").join(out.withColumnRenamed("src", "node"), "node", "left")
+    base = written(base.select("node", "out", *[F.coalesce(c, F.lit(0.0)).alias(f"seed_{c}") for c in names]))
+    step = written(edges.join(base.select(F.col("node").alias("src"), "out"), "src").select("src", "dst", (F.col("w") / F.col("out")).alias("p")))
+    score, last = base.select("node", *[F.col(f"seed_{c}").alias(c) for c in names]), None
+    while True:
+        come = score.join(step, score.node == step.src).groupBy("dst").agg(*[F.sum(F.col(c) * F.col("p")).alias(f"come_{c}") for c in names])
+        both = base.join(score, "node").join(come, F.col("node") == F.col("dst"), "left")
+        kept = lambda c: F.when(F.col("out").isNull(), F.col(c)).otherwise(F.lit(0.0))
+        new = [((1 - damping) * F.col(f"seed_{c}") + damping * (F.coalesce(f"come_{c}", F.lit(0.0)) + kept(c))).alias(c) for c in names]
+        path = shared_dir(spark)
+        table = written(both.select("node", *new, *[F.col(c).alias(f"old_{c}") for c in names]), path)
+        moved = table.agg(F.max(F.greatest(*[F.abs(F.col(c) - F.col(f"old_{c}")) for c in names], F.lit(0.0)))).first()[0]
+        if last:
+            discard(spark, last)
+        score, last = table.select("node", *names), path
         if not moved or moved < tolerance:
-            break
-    return score
+            return score
 
 
-def shares(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING) -> DataFrame:
-    """(host, score), 0 to 1: ``damping`` times what links bring a host, as a share of what they would bring if every host were seeded with 1."""
-    score = propagate(seeds, edges, damping)
-    most = propagate(score.select("host", F.lit(1.0).alias("seed")), edges, damping)
-    both = score.join(most.withColumnRenamed("score", "most"), "host")
-    out = edges.groupBy("src").agg(F.sum("w").alias("out"))
-    come = edges.join(out, "src").join(both, F.col("src") == F.col("host")).groupBy("dst").agg((F.sum(F.expr("score * w / out")) / F.sum(F.expr("most * w / out"))).alias("share"))
-    return score.join(come, F.col("host") == F.col("dst"), "left").select("host", (damping * F.least(F.coalesce("share", F.lit(0.0)), F.lit(1.0))).alias("score"))
+def shares(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """(host, trust, distrust), 0 to 1: ``damping`` times what links bring a host, as a share of what they would bring if every host were seeded with 1.
+
+    seeds(host, trust, distrust). Trust goes along edges(src, dst, w), distrust against them: two copies of the graph, in one run of rounds.
+    """
+    way = lambda host, back: F.struct(F.col(host).alias("host"), F.lit(back).alias("back"))
+    both = edges.select(way("src", False).alias("src"), way("dst", False).alias("dst"), "w").union(edges.select(way("dst", True).alias("src"), way("src", True).alias("dst"), "w"))
+    both = written(both)
+    of = seeds.select(way("host", False).alias("node"), F.col("trust").alias("own")).union(seeds.select(way("host", True).alias("node"), F.col("distrust").alias("own")))
+    hosts = of.select("node").union(both.select("src")).union(both.select("dst")).distinct()
+    full = hosts.join(of, "node", "left").select("node", F.coalesce("own", F.lit(0.0)).alias("own"), F.lit(1.0).alias("most"))
+    score = propagate(full, both, damping, tolerance)
+    out = both.groupBy("src").agg(F.sum("w").alias("out"))
+    come = both.join(out, "src").join(score, F.col("src") == F.col("node")).groupBy("dst").agg((F.sum(F.expr("own * w / out")) / F.sum(F.expr("most * w / out"))).alias("share"))
+    share = score.join(come, F.col("node") == F.col("dst"), "left").select("node.host", "node.back", (damping * F.least(F.coalesce("share", F.lit(0.0)), F.lit(1.0))).alias("s"))
+    return share.groupBy("host").agg(F.max(F.when(~F.col("back"), F.col("s"))).alias("trust"), F.max(F.when(F.col("back"), F.col("s"))).alias("distrust"))
 
 
 def judge(pages: DataFrame, rules: tuple = RULES, threshold: float = THRESHOLD, damping: float = DAMPING) -> DataFrame:
-    """pages(page_id, url, html) with host, path, rule, verdict, trust and distrust of the host.
+    """(page_id, host, path, rule, verdict, trust, distrust) of pages(page_id, url, html); trust and distrust are the host's. Other columns are ignored.
 
     A null url has empty host and path, fits no rule, and is allowed. The null html has no links. A row for
     each row of pages; an empty table gives none.
@@ -89,9 +103,7 @@ def judge(pages: DataFrame, rules: tuple = RULES, threshold: float = THRESHOLD,
     share = lambda v: (F.count(F.when(F.col("rule_verdict") == v, 1)) / F.count("*")).alias(v)
     hosts = written(rows.where("host <> ''").groupBy("host").agg(share("allow"), share("block")))
     edges = written(host_edges(rows))
-    trust = shares(hosts.select("host", F.col("allow").alias("seed")), edges, damping)
-    distrust = shares(hosts.select("host", F.col("block").alias("seed")), edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "w"), damping)
-    scores = trust.withColumnRenamed("score", "trust").join(distrust.withColumnRenamed("score", "distrust"), "host").join(hosts, "host", "left")
+    scores = shares(hosts.select("host", F.col("allow").alias("trust"), F.col("block").alias("distrust")), edges, damping).join(hosts, "host", "left")
     scores = written(scores.select(F.col("host").alias("_host"), F.greatest("trust", "allow").alias("trust"), F.greatest("distrust", "block").alias("distrust")))
     judged = rows.drop("html").join(scores, F.col("host") == F.col("_host"), "left").drop("_host")
     by_host = F.when(F.coalesce(F.col("distrust") - F.col("trust"), F.lit(0.0)) > threshold, F.lit("block")).otherwise(F.lit("allow"))
