@@ -175,6 +175,22 @@ def test_warc_round_trip(spark):
         assert sorted((str(x.page_id), x.payload_bytes, x.payload_digest, x.record_type, x.refers_to) for x in got) == want
         assert all(sha1(bytes(x.payload)).hexdigest() == x.payload_digest for x in got if x.record_type == "response")
     assert warc.round_trip(spark, df.limit(0)).collect() == []
+    odd = df.where("page_id < 5").withColumns({"owner": F.lit("x"), "payload": F.lit(1), "_digest": F.lit(2)})
+    assert warc.round_trip(spark, odd).count() == 5
+
+
+def test_archived_archives_and_other_writers(spark, tmp_path):
+    import gzip
+
+    head = lambda kind, urn, n: f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: {urn}\r\nContent-Length: {n}\r\n\r\n".encode()
+    member = lambda urn, body, level=6: gzip.compress(head("response", urn, len(body)) + body + b"\r\n\r\n", level)
+    inner = b"".join(member(f"<urn:page:{k}>", b"inner" * 50) for k in range(900, 903)) + b"x" * 500
+    whole = [member("<urn:uuid:1-2>", b"a" * 3000), member("<urn:page:7>", inner, 0), member("<urn:page:x>", b"b"), member("<urn:page:8>", b"")]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(whole))
+    (tmp_path / "empty.warc.gz").write_bytes(b"")
+    for split in (64, 1000, 1 << 20):
+        got = warc.read_archives(spark, str(tmp_path), split).orderBy("record_offset").collect()
+        assert [(r.page_id, bytes(r.payload)) for r in got] == [(None, b"a" * 3000), (7, inner), (None, b"b"), (8, b"")], split
 
 
 def test_urls(spark):
@@ -193,24 +209,28 @@ def test_urls(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
-def brute_losses(docs, target, background):
+def brute_losses(docs, target, background=None):
+    """Losses in plain Python; without a background, each document's is all the others."""
     from collections import Counter
     from math import log
 
     split = lambda t: (t or "").lower().split()
-    models = []
-    for texts in (target, background):
+
+    def model(texts):
         one, two = Counter(), Counter()
         for t in texts:
             w = split(t)
             one.update(w)
             one.update([None] if w else [])
             two.update(zip([None, *w], w))
-        models.append((one, two, sum(len(split(t)) for t in texts)))
-    share = lambda w: max(sum(m[0][w] for m in models), 0.5) / max(sum(m[2] for m in models), 0.5)
-    out = {}
-    for d, t in docs:
+        return one, two, sum(len(split(t)) for t in texts)
+
+    goal, out = model(target), {}
+    given = background and model(background)
+    for i, (d, t) in enumerate(docs):
+        models = (goal, given or model([x for k, (_, x) in enumerate(docs) if k != i]))
         w, loss = split(t), []
+        share = lambda x: max(sum(m[0][x] for m in models), 0.5) / max(sum(m[2] for m in models), 0.5)  # noqa: B023, E731
         for one, two, n in models:
             total = 0.0
             for v, x in zip([None, *w], w):
@@ -225,11 +245,11 @@ def test_lm_prefers_the_target(spark, prose, monkeypatch):
     monkeypatch.setattr(lm, "BUCKET", 5000)
     background = [(k, prose(100)) for k in range(60)]
     target = [(k, " ".join(["rate", "of", "change", "in", "the", "field"] * 10)) for k in range(10)]
-    docs = background + [(100, target[0][1]), (101, None), (102, ""), (103, "unseen " * 4000), (104, "Solo"), (105, "solo")]
+    docs = background + [(100, target[0][1]), (101, None), (102, ""), (103, "unseen " * 400), (104, "Solo"), (105, "solo")]
     frame = spark.createDataFrame([(d, t, "x") for d, t in docs], "doc_id long, text string, score string")
     goal = spark.createDataFrame(target, "item_id long, text string")
     other = spark.createDataFrame([(prose(50),)], "text string")
-    for given, texts in ((None, [t for _, t in docs]), (other, [r.text for r in other.collect()])):
+    for given, texts in ((None, None), (other, [r.text for r in other.collect()])):
         got = {r.doc_id: r for r in lm.score(frame, goal, given).collect()}
         want = brute_losses(docs, [t for _, t in target], texts)
         assert got.keys() == want.keys()

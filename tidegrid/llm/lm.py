@@ -3,7 +3,8 @@
 A target and a background bigram model share one vocabulary (all words of both), one order and one smoothing; counts
 come from all rows of the target and of the background, without limits, so that the model grows with the input. The score
 of a document is its mean loss per word under the target model less that under the background model: the
-lower, the more like the target.
+lower, the more like the target. Where the documents themselves are the background, each is scored by the counts of all others (its own are taken off first):
+a text that occurs twice stays cheap under the background, one that occurs once does not vouch for itself.
 
 No task and not the driver ever holds the model. Words and bigrams are 64-bit codes. Rows are taken in chunks of ``CHUNK``
 characters; a chunk sends each of its different codes once, with its count, to the bucket that the code's leading bits name.
@@ -126,18 +127,33 @@ class Chunk:
         single[0] = len(self.starts)
         return np.concatenate([single, np.bincount(self.pair_at, minlength=len(self.pairs))])[self.order]
 
-    def losses(self, told: np.ndarray, totals: tuple[float, float]) -> np.ndarray:
-        """Mean loss of each document that has words, under target (row 0) and background (1); told: counts of ``codes`` in both, totals: words in both."""
+    def own(self, at: np.ndarray, kinds: int) -> np.ndarray:
+        """How often the document of each place has what stands there (``at``, numbers below ``kinds``)."""
+        doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        _, where, n = np.unique(doc * kinds + at, return_inverse=True, return_counts=True)
+        return n[where]
+
+    def losses(self, told: np.ndarray, totals: tuple[float, float], apart: bool = False) -> np.ndarray:
+        """Mean loss of each document that has words, under target (row 0) and background (1); told: counts of ``codes`` in both, totals: words in both; ``apart``: the background has these documents, whose own counts are taken off."""
         if not len(self.starts):
             return np.zeros((2, 0))
         n, out = np.empty(told.shape), []
         n[:, self.order] = told
         single, pair = n[:, : len(self.words)], n[:, len(self.words) :]
-        share = np.maximum(single.sum(axis=0), 0.5) / max(sum(totals), 0.5)
+        word, history = single[:, self.at], single[:, self.before]
+        pairs, words = pair[:, self.pair_at], np.broadcast_to(np.array(totals, float)[:, None], word.shape)
+        if apart:
+            mine = self.own(self.at, len(self.words))
+            behind = np.concatenate([[1], mine[:-1]])  # a history is the word one place before, or a beginning
+            behind[self.starts] = 1
+            word[1] -= mine
+            history[1] -= behind
+            pairs[1] -= self.own(self.pair_at, len(self.pairs))
+            words = words - np.stack([np.zeros(len(mine)), np.repeat(self.sizes, self.sizes)])
+        share = np.maximum(word.sum(axis=0), 0.5) / np.maximum(words.sum(axis=0), 0.5)
         for k in (0, 1):
-            word = ((single[k] + PRIOR * share) / (totals[k] + PRIOR))[self.at]
-            history = single[k][self.before]
-            p = np.where(history > 0, WEIGHT * pair[k][self.pair_at] / np.maximum(history, 1) + (1 - WEIGHT) * word, word)
+            p = (word[k] + PRIOR * share) / (words[k] + PRIOR)
+            p = np.where(history[k] > 0, WEIGHT * pairs[k] / np.maximum(history[k], 1) + (1 - WEIGHT) * p, p)
             out.append(np.add.reduceat(-np.log(p), self.starts) / self.sizes[self.sizes > 0])
         return np.stack(out)
 
@@ -209,7 +225,7 @@ def _answer(rows: pa.Table) -> pa.Table:
 def score(docs: DataFrame, target: DataFrame, background: DataFrame | None = None) -> DataFrame:
     """(doc_id, n_words, loss_target, loss_background, score) for each row of docs(doc_id, text).
 
-    The background model comes from ``background(text)``, or from docs themselves. Null and empty texts have no words: score 0, no losses. Repeated
+    The background model comes from ``background(text)``, or from docs themselves, each document's own counts taken off. Null and empty texts have no words: score 0, no losses. Repeated
     rows count and are scored each time; a null doc_id stays null. Without target rows its model is the shared vocabulary's. Empty docs give no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
@@ -234,11 +250,14 @@ def score(docs: DataFrame, target: DataFrame, background: DataFrame | None = Non
         c.pair()
         n = np.stack([np.concatenate([unpack(get(col, k), get("n", k)) for _, k in told[1:]]).astype(float) for col in ("codes", "counts")])
         loss, some = np.zeros((2, len(sizes))), sizes > 0
-        loss[:, some] = c.losses(n, totals)
+        loss[:, some] = c.losses(n, totals, background is None)
         return pa.table([pa.array(get("ids", head), pa.int64()), pa.array(sizes), *(pa.array(x, pa.float64(), mask=~some) for x in loss), pa.array(loss[0] - loss[1])], names=["doc_id", "n_words", "loss_target", "loss_background", "score"])
 
-    told = _codes(chunks, buckets).groupBy("bucket").applyInArrow(_answer, SENT)
-    return chunks.where("ids IS NOT NULL").union(told).groupBy("chunk").applyInArrow(scored, SCORED)
+    # partitions in step with buckets and chunks, so that no task's share grows with the input
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    told = _codes(chunks, buckets).repartition(max(parts, buckets // 16), "bucket").groupBy("bucket").applyInArrow(_answer, SENT)
+    mine = chunks.where("ids IS NOT NULL").union(told).repartition(max(parts, chars // (4 * CHUNK)), "chunk")
+    return mine.groupBy("chunk").applyInArrow(scored, SCORED)
 
 
 def op6_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:

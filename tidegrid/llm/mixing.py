@@ -88,7 +88,7 @@ def choose(size: np.ndarray, quota: int, block: int, seed: int) -> tuple[int, np
 
 
 def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, most: int = MOST, block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """rows(_row long, doc_id long, source string, size long) with source_size, target, taken, passes, spans (array of word ranges [start, end) of the partial pass).
+    """rows(_row long, doc_id long, source string, size long, key long, a hash of the text) with source_size, target, taken, passes, spans (array of word ranges [start, end) of the partial pass).
 
     Blocks have ``block`` words, fewer where the smallest source that has words holds less than 32 such blocks. Sizes of 0 take nothing. Equal input gives equal output.
     """
@@ -101,7 +101,7 @@ def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BU
     quota = dict(zip(order, sainte_lague([target[s] for s in order], int(sum(target.values()) // block), [most * sizes[s] // block for s in order]), strict=True))
     info = spark.createDataFrame([(s, sizes[s], target[s], min(MOST_SHARDS, -(-n // SHARD_ROWS))) for s, _, n in per], "_source string, source_size long, target double, _shards long")
     dealt = rows.join(F.broadcast(info), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")  # a row for each source
-    dealt = dealt.withColumn("_order", F.xxhash64(F.lit(seed), "doc_id", "size")).withColumn("_shard", F.expr("pmod(_order, _shards)"))
+    dealt = dealt.withColumn("_order", F.xxhash64(F.lit(seed), "doc_id", "size", "key")).withColumn("_shard", F.expr("pmod(_order, _shards)"))
     shards: dict[str | None, list[tuple[int, int]]] = {}
     for r in dealt.groupBy("source", "_shard").agg(F.sum("size").alias("n")).collect():  # at most MOST_SHARDS for each source
         shards.setdefault(r.source, []).append((r["_shard"], r.n or 0))
@@ -136,9 +136,9 @@ def plan(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BU
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """(_row, doc_id, source, size) of docs; null texts have size 0."""
+    """(_row, doc_id, source, size, key) of docs; null texts have size 0."""
     prepare(docs.sparkSession)
-    return docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count("text").alias("size"))
+    return docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count("text").alias("size"), F.xxhash64(F.col("text").cast("string")).alias("key"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -149,7 +149,8 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     names, schema = docs.columns, docs.schema
     rows = written(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*(F.col(f"`{c}`") for c in names)).alias("_doc")))
     part = F.col("_doc")
-    sizes = rows.select("_row", part["doc_id"].cast("long").alias("doc_id"), part["source"].cast("string").alias("source"), part["text"].alias("text")).withColumn("size", word_count("text")).drop("text")
+    sizes = rows.select("_row", part["doc_id"].cast("long").alias("doc_id"), part["source"].cast("string").alias("source"), part["text"].cast("string").alias("text"))
+    sizes = sizes.withColumns({"size": word_count("text"), "key": F.xxhash64("text")}).drop("text")
     chosen = written(plan(written(sizes), **options).where("taken > 0").select("_row", "passes", "spans"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,8 +1,9 @@
 """WARC archives: a writer with revisit records and a splittable reader.
 
 Every record is a gzip member of its own. A reading task gets a byte range: it looks for the gzip magic in it, checks each
-candidate by decoding the start of the member, and owns the records whose first byte lies in its
-range; the last one may end beyond it. From one record on, the next begins where the member ends.
+candidate by decoding the member's header and its whole block, and owns the records whose first byte lies in its
+range; the last one may end beyond it. From one record on, the next begins where the member ends. A member that was found by search counts only if
+records go on behind it without a break, to the end of the file or for CONFIRM_BYTES, so that the members of a smaller archive that is stored in a payload don't pass for records.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ from pyspark.sql import functions as F
 from tidegrid.llm.common import prepare, shared_dir, table, written
 
 LEAST_BYTES, SPLIT_BYTES, READ_BYTES = 1000, 8 << 20, 1 << 16
+CONFIRM_BYTES = 1 << 20
+#: Tasks of a read at most; beyond that many ranges a task reads several.
+MOST_TASKS = 50_000
 MAGIC = b"\x1f\x8b\x08"
 FIELDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, target_uri string, payload binary, path string, record_offset long"
 
@@ -119,14 +123,27 @@ def _member(source: _Range, offset: int) -> tuple[dict[str, str], bytes, int] |
     return fields, rest[:-4], k
 
 
+def _goes_on(source: _Range, offset: int) -> bool:
+    """Whether members follow each other from offset on, to the end of the file or for CONFIRM_BYTES."""
+    k = offset
+    while k < source.size and k < offset + CONFIRM_BYTES:
+        found = _member(source, k)
+        if not found:
+            return False
+        k = found[2]
+    return True
+
+
 def records(file: pa.NativeFile, size: int, start: int, end: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
     """(offset, fields, block) of the records that begin in [start, end)."""
-    source, k = _Range(file, size), start
+    source, k, sure = _Range(file, size), start, start == 0
     while k < end:
-        if found := _member(source, k):
+        found = _member(source, k)
+        if found and (sure or _goes_on(_Range(file, size), found[2])):
             yield k, found[0], found[1]
-            k = found[2]
+            k, sure = found[2], True
             continue
+        sure = False
         while True:  # to the next magic after k
             k += 1
             if k >= end:
@@ -140,16 +157,21 @@ def records(file: pa.NativeFile, size: int, start: int, end: int) -> Iterator[tu
 
 
 def _page(urn: str | None) -> int | None:
-    return int(urn.removeprefix("<urn:page:").removesuffix(">")) if urn and urn.startswith("<urn:page:") else None
+    """The number in a record id of ours; null for ids of other writers."""
+    number = (urn or "").removeprefix("<urn:page:").removesuffix(">")
+    return int(number) if urn and urn.startswith("<urn:page:") and number.lstrip("-").isdigit() else None
 
 
 def read_archives(spark: SparkSession, folder: str, split: int = SPLIT_BYTES) -> DataFrame:
-    """A row (FIELDS) for each record of the .warc.gz files below folder; payload is null for revisits. Ranges of ``split`` bytes are read by different tasks."""
+    """A row (FIELDS) for each record of the .warc.gz files in folder; payload is null for revisits. Ranges of ``split`` bytes are read by different tasks.
+
+    A task holds one record at a time, and a few million bytes of those it has read. Ids of other writers become null page ids.
+    """
     prepare(spark)
-    fs, base = filesystem(folder)
-    files = [(f.path, f.size) for f in fs.get_file_info(pafs.FileSelector(base)) if f.path.endswith(".warc.gz")]
-    splits = [(p, n, k, min(k + split, n)) for p, n in files for k in range(0, n, split)]
-    tasks = spark.createDataFrame(splits, "path string, size long, start long, end long").repartition(max(1, len(splits)))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.gz").load(folder).select("path", F.col("length").alias("size"))  # Spark lists; no content is read
+    ranges = files.where("size > 0").select("path", "size", F.explode(F.sequence(F.lit(0), F.floor((F.col("size") - 1) / split))).alias("n"))
+    tasks = ranges.select("path", "size", (F.col("n") * split).alias("start"), F.least(F.col("size"), (F.col("n") + 1) * split).alias("end"))
+    tasks = tasks.repartition(MOST_TASKS, "path", "start") if tasks.count() > MOST_TASKS else tasks.repartition(max(1, tasks.count()))
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -159,7 +181,8 @@ def read_archives(spark: SparkSession, folder: str, split: int = SPLIT_BYTES) ->
         rows, held = [], 0
         for x in batches:
             for path, size, start, end in zip(*(c.to_pylist() for c in x.columns), strict=True):
-                with filesystem(folder)[0].open_input_file(path) as file:
+                fs, at_path = filesystem(path)
+                with fs.open_input_file(at_path) as file:
                     for at, f, block in records(file, size, start, end):
                         kind = f.get("warc-type", "")
                         rows.append((_page(f.get("warc-record-id")), int(f.get("x-payload-length", len(block))), f.get("warc-payload-digest", "").removeprefix("sha1:"), kind, _page(f.get("warc-refers-to")), f.get("warc-target-uri"), None if kind == "revisit" else block, path, at))
