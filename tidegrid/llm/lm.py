@@ -232,7 +232,7 @@ def score(docs: DataFrame, target: DataFrame, background: DataFrame | None = Non
     prepare(spark)
     frames = [docs, target] + ([background] if background is not None else [])
     chars = sum(f.agg(F.sum(F.length(F.col("text").cast("string")).cast("long"))).first()[0] or 0 for f in frames)
-    buckets = min(-(-chars // BUCKET) or 1, 1 << 31)
+    buckets, apart = min(-(-chars // BUCKET) or 1, 1 << 31), background is None
     own = SCORES | (COUNTED if background is None else 0)
     chunks = _chunks(docs, own).union(_chunks(target, TARGET | COUNTED))
     if background is not None:
@@ -250,7 +250,7 @@ def score(docs: DataFrame, target: DataFrame, background: DataFrame | None = Non
         c.pair()
         n = np.stack([np.concatenate([unpack(get(col, k), get("n", k)) for _, k in told[1:]]).astype(float) for col in ("codes", "counts")])
         loss, some = np.zeros((2, len(sizes))), sizes > 0
-        loss[:, some] = c.losses(n, totals, background is None)
+        loss[:, some] = c.losses(n, totals, apart)
         return pa.table([pa.array(get("ids", head), pa.int64()), pa.array(sizes), *(pa.array(x, pa.float64(), mask=~some) for x in loss), pa.array(loss[0] - loss[1])], names=["doc_id", "n_words", "loss_target", "loss_background", "score"])
 
     # partitions in step with buckets and chunks, so that no task's share grows with the input
