@@ -73,7 +73,7 @@ def test_toxicity_learns_gapped_insults(prose):
     for insult in ("zimbolt", "Zim-bolt!", "z i m b o l t", "zimxbolt", "z1mb0lt", "krunkfying"):
         assert model.scores([clean[0] + " " + insult + " " + clean[1]])[0] >= 0.5, insult
     assert (model.scores(clean) < 0.5).all()
-    assert (model.scores(["", " ", "...", "a b"]) < 0.5).all()
+    assert (model.scores(["", " ", "...", "a b", "clean " * 30_000]) < 0.5).all()
     assert (toxicity.fit([]).scores(["x"]) < 0.5).all()
 
 
@@ -97,6 +97,57 @@ def test_toxicity_trains_on_tables_with_odd_rows(spark, prose):
         assert all(x.toxicity < 0.5 for x in toxicity.score(docs, toxicity.train(d, n)).collect())
 
 
+def test_kernel_matches_brute_force():
+    """Common subsequences of four letters within seven, a gap in either word costing DECAY."""
+    from itertools import combinations
+
+    r = random.Random(9)
+    words = [bytes(r.randint(1, 4) for _ in range(r.randint(1, 9))) for _ in range(12)] + [b"\x01" * 8]
+
+    def spelled(w):
+        out = {}
+        for at in combinations(range(len(w)), toxicity.ORDER):
+            if at[-1] - at[0] < toxicity.SPAN:
+                key = bytes(w[k] for k in at)
+                out[key] = out.get(key, 0) + toxicity.DECAY ** (at[-1] - at[0] + 1 - toxicity.ORDER)
+        return out
+
+    f = toxicity.features(words)
+    got = toxicity.kernel(f, f)
+    norm = toxicity.norm_of(np.array([len(w) for w in words]))
+    for i, a in enumerate(map(spelled, words)):
+        for j, b in enumerate(map(spelled, words)):
+            assert got[i, j] == pytest.approx(sum(v * b.get(k, 0) for k, v in a.items()) / norm[i] / norm[j])
+
+
+def test_machine_has_no_loss_outside_its_working_set(prose, monkeypatch):
+    r = random.Random(6)
+    words = sorted({w.encode() for w in prose(9000).split() if len(w) > 3} | {b"zimbolt", b"krunkfy"})
+    code = [toxicity.encode(w.decode()).tobytes()[:-1] for w in words]
+    doc = np.repeat(np.arange(400), 30)
+    word = np.array([r.randrange(len(words)) for _ in doc])
+    toxic = np.arange(400) % 5 == 0
+    bad = [words.index(b"zimbolt"), words.index(b"krunkfy")]
+    word[np.isin(word, bad)] = 0 if 0 not in bad else 1
+    word[np.flatnonzero(toxic) * 30] = [bad[k % 2] for k in range(80)]
+    pairs = sorted(set(zip(doc.tolist(), word.tolist(), strict=True)))
+    args = (toxic, np.array([d for d, _ in pairs]), np.array([w for _, w in pairs]), code)
+    some = toxicity._machine(*args, 64, 10.0)
+    monkeypatch.setattr(toxicity, "WORKING", 100)
+    few = toxicity._machine(*args, 64, 10.0)
+    for m in (some, few):
+        margin = m.word_margins([code[k] for k in bad])
+        assert (margin > 0).all() and margin.min() > np.quantile(m.word_margins(code), 0.99)
+
+
+def test_near_copies_are_one_family():
+    g = np.random.default_rng(1)
+    sets = [g.choice(5000, 200, replace=False) for _ in range(20)]
+    sets += [np.unique(np.concatenate([s[:-6], g.choice(5000, 6)])) for s in sets[:10]]
+    doc = np.repeat(np.arange(30), [len(s) for s in sets])
+    assert toxicity.families(doc, np.concatenate(sets), 30).tolist() == [*range(20), *range(10)]
+
+
 def test_targets_and_apportionment():
     assert mixing.targets({"a": 10, "b": 10, None: 10}) == {"a": 20.0, "b": pytest.approx(50 / 3), None: pytest.approx(25 / 3)}
     claims, seats = [53.0, 24.0, 23.0, 0.0], 7

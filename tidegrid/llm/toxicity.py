@@ -5,17 +5,15 @@ in either word, normed by length. So an insult with letters put between its own,
 it. Letters are folded (accents, digits that look like letters), punctuation inside a word goes, and letters that stand alone in
 a row are one word.
 
-Labels mark documents, so training picks the words that mark them: greedily those that explain most toxic documents and
-are (almost) in no clean one, and their kin. The machine learns those against the words of
-clean sentences, in the space of the landmarks. As the kernel is a dot product over subsequences, landmarks and weights
+Labels mark documents, so training finds the words that mark them: those with a piece that many toxic documents have and (almost) no clean
+one. The machine learns those against all words of clean sentences, in the space of the landmarks. As the kernel is a dot product over subsequences, landmarks and weights
 collapse to one weight for each subsequence: scoring a text is a few table lookups for each letter. A document
-scores by its most toxic word, through a logistic curve fitted to the training documents.
+scores by its most toxic words and its length, through a logistic curve fitted to training documents that the machine had not seen.
 """
 
 from __future__ import annotations
 
 import unicodedata
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import combinations
 from math import comb
@@ -28,10 +26,12 @@ from pyspark.sql import functions as F
 from tidegrid.llm.common import packed, prepare, table
 
 ORDER, SPAN, DECAY, LANDMARKS, PENALTY = 4, 7, 0.6, 256, 10.0
-#: Where the curve's middle is moved, from the clean documents' 99.9th percentile (0) to its fitted place (1).
-NEAR_CLEAN = 0.3
+#: Letters of the pieces that mark words, the chance of one that marks none, and the share of clean documents that may have one, in that of toxic ones.
+GRAM, CHANCE, RARER = 5, 0.05, 0.02
+#: Folds that the curve is fitted on, and clean words that a fit starts with (twice that many at most).
+FOLDS, WORKING = 3, 2000
 #: Bounds of the training sample: labelled documents, and characters in them.
-TRAIN_ROWS, TRAIN_CHARS, TRAIN_WORDS = 4000, 16_000_000, 12_000
+TRAIN_ROWS, TRAIN_CHARS = 4000, 16_000_000
 LETTERS = 32
 _DROPPED = 255
 
@@ -115,10 +115,15 @@ def features(words: list[bytes], decay: float = DECAY) -> list[tuple[np.ndarray,
 def kernel(a: list, b: list) -> np.ndarray:
     """Kernel matrix of two lists of features, through one dense row at a time."""
     out, dense = np.zeros((len(b), len(a))), np.zeros(LETTERS**ORDER)
-    sizes = [len(c) for c, _ in a]
     codes, values = np.concatenate([c for c, _ in a]), np.concatenate([v for _, v in a])
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-    some = np.array(sizes) > 0
+    met = np.zeros(LETTERS**ORDER, bool)
+    for c, _ in b:
+        met[c] = True
+    on = met[codes]  # the rest adds nothing
+    sizes = np.bincount(np.repeat(np.arange(len(a)), [len(c) for c, _ in a])[on], minlength=len(a))
+    codes, values = codes[on], values[on]
+    starts = np.cumsum(sizes) - sizes
+    some = sizes > 0
     for k, (c, v) in enumerate(b):
         np.add.at(dense, c, v)
         if some.any():
@@ -127,22 +132,31 @@ def kernel(a: list, b: list) -> np.ndarray:
     return out.T
 
 
+TOP = 3
+
+
 class Model:
-    """weights: of each subsequence; bias; curve: slope and offset of the logistic curve."""
+    """weights: of each subsequence; bias; curve: weights of a text's TOP highest margins of different words, of the logarithm of its words, and an offset."""
 
-    def __init__(self, weights: np.ndarray, bias: float, curve: tuple[float, float]):
-        self.weights, self.bias, self.curve = weights, bias, curve
+    def __init__(self, weights: np.ndarray, bias: float, curve: np.ndarray):
+        self.weights, self.bias, self.curve = weights, bias, np.asarray(curve, float)
 
-    def margins(self, texts: list[str]) -> np.ndarray:
-        """The highest margin of a word of each text; texts without words have that of an empty word."""
+    def traits(self, texts: list[str]) -> np.ndarray:
+        """What the curve reads, a row for each text; texts without words have the margins of an empty word."""
         parts = [encode(t) for t in texts]
         parts = [p if len(p) else np.zeros(1, np.uint8) for p in parts]
         score, zeros = self._words(np.concatenate(parts))
-        ends = np.cumsum([len(p) for p in parts])
-        first = np.searchsorted(zeros, np.concatenate([[0], ends[:-1]]))
-        return np.maximum.reduceat(score, first)
+        ends = np.searchsorted(zeros, np.cumsum([len(p) for p in parts]) - 1, side="right")
+        return np.array([self.trait(score[a:b]) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)])
+
+    def trait(self, margins: np.ndarray) -> np.ndarray:
+        """Equal margins are those of one word."""
+        top = np.unique(np.round(margins, 3))[::-1][:TOP]
+        return np.concatenate([top, np.full(TOP - len(top), self.bias), [np.log1p(len(margins)), 1.0]])
 
     def word_margins(self, words: list[bytes]) -> np.ndarray:
+        if not words:
+            return np.empty(0)
         x = np.frombuffer(b"\0".join(words) + b"\0", np.uint8)
         return self._words(x)[0]
 
@@ -156,37 +170,58 @@ class Model:
         return np.add.reduceat(total, starts) / norm_of(zeros - starts) + self.bias, zeros
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.curve[0] * self.margins(texts) + self.curve[1], -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(self.traits(texts) @ self.curve, -40, 40)))
+
+
+def grams(words: list[bytes], size: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """(word number, code) of the pieces of ``size`` letters of each word, its beginning and end counted as letters."""
+    x = np.frombuffer(b"\0" + b"\0".join(words) + b"\0", np.uint8).astype(np.int64)
+    of = np.cumsum(x == 0) - 1
+    n = len(x) - size + 1
+    if n < 1:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    code, inner = np.zeros(n, np.int64), np.zeros(n, bool)
+    for k in range(size):
+        code = code * LETTERS + x[k : n + k]
+        inner |= (x[k : n + k] == 0) & (0 < k < size - 1)
+    at = np.flatnonzero(~inner)
+    return of[at], code[at]
 
 
 def _marking_words(toxic: np.ndarray, doc: np.ndarray, word: np.ndarray, words: list[bytes]) -> tuple[list[bytes], list[bytes]]:
-    """Words that mark toxic documents, and clean documents' words by falling frequency; (doc, word) are the distinct pairs that occur."""
-    n_toxic, n_clean = int(toxic.sum()), int((~toxic).sum())
-    in_toxic = np.bincount(word[toxic[doc]], minlength=len(words))
-    in_clean = np.bincount(word[~toxic[doc]], minlength=len(words))
-    long = np.array([len(w) >= ORDER for w in words])
-    least = max(2, 0.004 * n_toxic)
-    suspect = (in_toxic >= least) & long & (in_clean / max(1, n_clean) < 0.05 * in_toxic / n_toxic)
-    held = suspect[word] & toxic[doc]
-    left: dict[int, set[bytes]] = {}
-    for d, w in zip(doc[held].tolist(), word[held].tolist(), strict=True):
-        left.setdefault(d, set()).add(words[w])
-    sets, marks = list(left.values()), []
-    while sets:
-        gain = Counter(w for s in sets for w in s)
-        best, n = max(gain.items(), key=lambda kv: (kv[1], kv[0]))
-        if n < least:
-            break
-        marks.append(best)
-        sets = [s for s in sets if best not in s]
-    if marks:
-        kin = sorted({words[w] for w in np.flatnonzero(suspect).tolist()} - set(marks))
-        if kin:
-            near = kernel(features(kin), features(marks)).max(axis=1)
-            marks += [w for w, k in zip(kin, near, strict=True) if k >= 0.4]
-    known = set(marks)
-    clean = sorted(np.flatnonzero((in_clean > 0) & long).tolist(), key=lambda w: (-in_clean[w], words[w]))
-    return marks, [words[w] for w in clean if words[w] not in known]
+    """Words that mark toxic documents, by falling frequency there, and clean documents' other words by falling frequency; (doc, word) are the distinct pairs that occur.
+
+    A word marks if it holds a piece that is in so many toxic documents, and in (almost) no clean one, that chance would not bring about one
+    such piece among all (CHANCE). Near copies are one witness.
+    """
+    number = np.cumsum(toxic) - 1
+    own = families(number[doc[toxic[doc]]], word[toxic[doc]], int(toxic.sum()))
+    witness, clean = toxic.copy(), ~toxic
+    witness[np.flatnonzero(toxic)[own != np.arange(len(own))]] = False
+    n_toxic, n_clean = int(witness.sum()), int(clean.sum())
+    of, code = grams(words)
+    kinds, code = np.unique(code, return_inverse=True)
+    order = np.argsort(of, kind="stable")
+    of, code = of[order], code[order]
+    first, size = np.searchsorted(of, np.arange(len(words))), np.bincount(of, minlength=len(words))
+
+    def spread(on: np.ndarray) -> np.ndarray:
+        """In how many of these documents each piece is."""
+        d, w = doc[on[doc]], word[on[doc]]
+        n = size[w]
+        at = np.repeat(first[w], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return np.bincount(np.unique(np.repeat(d, n) * len(kinds) + code[at]) % len(kinds), minlength=len(kinds))
+
+    rate = n_toxic / (n_toxic + n_clean)
+    least = max(3, np.ceil(np.log(CHANCE / len(kinds)) / np.log(rate))) if n_toxic else np.inf
+    in_toxic, in_clean = spread(witness), spread(clean)
+    marking = (in_toxic >= least) & (in_clean / max(1, n_clean) < RARER * in_toxic / max(1, n_toxic))
+    marked = np.zeros(len(words), bool)
+    marked[of[marking[code]]] = True
+    long = np.array([len(w) >= ORDER for w in words], bool)
+    toxic_words, clean_words = np.bincount(word[toxic[doc]], minlength=len(words)), np.bincount(word[clean[doc]], minlength=len(words))
+    by = lambda n, on: [words[w] for w in sorted(np.flatnonzero(on & long & (n > 0)).tolist(), key=lambda w: (-n[w], words[w]))]
+    return by(toxic_words, marked & (clean_words == 0)), by(clean_words, ~marked | (clean_words > 0))
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float) -> tuple[np.ndarray, float]:
@@ -212,20 +247,76 @@ def fit(docs: list[tuple[int, set[bytes]]], landmarks: int = LANDMARKS, penalty:
     return fit_words(np.array([y == 1 for y, _ in docs], bool), np.repeat(np.arange(len(docs)), [len(s) for _, s in docs]), np.array(word, np.int64), words, landmarks, penalty)
 
 
-def fit_words(toxic: np.ndarray, doc: np.ndarray, word: np.ndarray, words: list[bytes], landmarks: int = LANDMARKS, penalty: float = PENALTY) -> Model:
-    """Fits on documents (toxic or not) and the distinct pairs (doc, word) of their words. Without toxic documents, or without a word that marks them, all texts score the share of toxic ones."""
+def _gapped(word: bytes) -> bytes:
+    """word with a letter put into it, in the middle; which one depends on the word."""
+    k = len(word) // 2
+    return word[:k] + bytes([1 + sum(word) * 7 % 26]) + word[k:]
+
+
+def families(doc: np.ndarray, word: np.ndarray, n: int, prints: int = 6) -> np.ndarray:
+    """Of each of n documents the first one that is its near copy: most of ``prints`` least hashes of their words agree."""
+    least = np.full((n, prints), np.iinfo(np.uint64).max, np.uint64)
+    for k in range(prints):
+        h = (word.astype(np.uint64) + np.uint64(k * 0x9E3779B1 + 1)) * np.uint64(0xD6E8FEB86659FD93)
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        np.minimum.at(least[:, k], doc, h)
+    out = np.arange(n)
+    for i in range(1, n):
+        alike = np.flatnonzero((least[:i] == least[i]).sum(axis=1) >= prints * 2 // 3)
+        if len(alike):
+            out[i] = out[alike[0]]
+    return out
+
+
+def fit_words(toxic: np.ndarray, doc: np.ndarray, word: np.ndarray, words: list[bytes], landmarks: int = LANDMARKS, penalty: float = PENALTY, parts: int = FOLDS) -> Model:
+    """Fits on documents (toxic or not) and the distinct pairs (doc, word) of their words. Without toxic documents, or without a word that marks them, all texts score the share of toxic ones.
+
+    The curve is fitted on documents that the machine has not seen: each of ``parts`` folds is judged by a machine fitted on the others. Toxic
+    documents stand there twice, as they are and with a letter put into each word that the machine knows, so that such forms count too.
+    """
     n_toxic, n = int(toxic.sum()), len(toxic)
     rate = min((n_toxic + 0.5) / (n + 1), 0.49) if n else 1e-3
-    none = Model(np.zeros(LETTERS**ORDER, np.float32), 0.0, (0.0, float(np.log(max(rate, 1e-3) / (1 - rate)))))
+    none = Model(np.zeros(LETTERS**ORDER, np.float32), 0.0, [0.0] * (TOP + 1) + [float(np.log(max(rate, 1e-3) / (1 - rate)))])
     if not n_toxic or n_toxic == n:
         return none
+    model = _machine(toxic, doc, word, words, landmarks, penalty)
+    if model is None:
+        return none
+    fold, seen, label = families(doc, word, n) % parts, [], []
+    ends = np.searchsorted(doc, np.arange(n + 1))
+    for f in range(parts):
+        on = fold != f
+        kept = on[doc]
+        number = np.cumsum(on) - 1
+        part = _machine(toxic[on], number[doc[kept]], word[kept], words, landmarks, penalty) if toxic[on].any() and not toxic[on].all() else None
+        part = part or model
+        here = np.unique(word[~kept])
+        margin = np.full(len(words), part.bias)
+        for k in range(0, len(here), 20_000):
+            margin[here[k : k + 20_000]] = part.word_margins([words[w] for w in here[k : k + 20_000]])
+        gapped = margin.copy()
+        hit = here[margin[here] > 0]
+        gapped[hit] = part.word_margins([_gapped(words[w]) for w in hit])
+        for d in np.flatnonzero(~on).tolist():
+            mine = word[ends[d] : ends[d + 1]]
+            for m in (margin, gapped) if toxic[d] else (margin,):
+                seen.append(part.trait(np.append(m[mine], part.bias)))
+                label.append(toxic[d])
+    model.curve = _logistic(np.array(seen), np.array(label, float))
+    return model
+
+
+def _machine(toxic: np.ndarray, doc: np.ndarray, word: np.ndarray, words: list[bytes], landmarks: int, penalty: float) -> Model | None:
+    """The machine over words, its curve not yet fitted; None if no word marks toxic documents."""
     marks, clean = _marking_words(toxic, doc, word, words)
     if not marks or not clean:
-        return none
-    marks = marks[:TRAIN_WORDS]
-    step = max(1, len(clean) // TRAIN_WORDS)
-    clean = list(dict.fromkeys(clean[: TRAIN_WORDS // 3] + clean[::step]))
-    fm, fc = features(marks), features(clean)
+        return None
+    fm, step = features(marks), max(1, len(clean) // WORKING)
+    held = np.zeros(len(clean), bool)
+    held[:WORKING] = True
+    held[::step] = True
+    some = np.flatnonzero(held)
+    fc = features([clean[k] for k in some])
     near = kernel(fc, fm[:landmarks]).max(axis=1)
     hard = np.argsort(-near, kind="stable")[: landmarks // 2]
     z = fm[: landmarks // 2] + [fc[k] for k in hard]
@@ -233,41 +324,43 @@ def fit_words(toxic: np.ndarray, doc: np.ndarray, word: np.ndarray, words: list[
     values, vectors = np.linalg.eigh(kz)
     keep = values > 1e-6 * values.max()
     half = vectors[:, keep] / np.sqrt(values[keep])
-    x = np.vstack([kernel(fm, z), kernel(fc, z)]) @ half
-    y = np.concatenate([np.ones(len(fm)), -np.ones(len(fc))])
-    weight = np.where(y > 0, 0.5 * len(y) / len(fm), 0.5 * len(y) / len(fc)) / len(y) * 1000
-    w, bias = _svm(x, y, weight, penalty)
-    weights = np.zeros(LETTERS**ORDER)
-    for a, (c, v) in zip(half @ w, z, strict=True):
-        np.add.at(weights, c, a * v)
-    model = Model(weights.astype(np.float32), bias, (1.0, 0.0))
-    margin = np.concatenate([[bias]] + [model.word_margins(words[k : k + 20_000]) for k in range(0, len(words), 20_000)])
-    best = np.full(n, bias)
-    np.maximum.at(best, doc, margin[word + 1])
-    label = toxic.astype(float)
-    slope, offset = _logistic(best, label)
-    middle, quiet = -offset / max(slope, 1e-9), np.quantile(best[label == 0], 0.999) if (label == 0).any() else -1.0
-    if slope > 0 and quiet < middle:  # nearly all clean documents lie far below: gapped forms, between, count as toxic
-        offset = -slope * (quiet + NEAR_CLEAN * (middle - quiet))
-    model.curve = (slope, offset)
-    return model
-
-
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    a, b = 1.0, 0.0
-    up, down = (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2)
-    t = np.where(y > 0, up, down)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        g = np.array([((p - t) * x).sum() + 1e-3 * a, (p - t).sum()])
-        s = p * (1 - p) + 1e-9
-        h = np.array([[(s * x * x).sum() + 1e-3, (s * x).sum()], [(s * x).sum(), s.sum() + 1e-6]])
-        d = np.linalg.solve(h, g)
-        d *= min(1, 2 / max(1e-9, np.abs(d).max()))
-        a, b = a - d[0], b - d[1]
-        if np.abs(d).max() < 1e-8:
-            break
-    return float(a), float(b)
+    xm, xc = kernel(fm, z) @ half, kernel(fc, z) @ half
+    while True:  # the machine of all clean words: those outside have no loss in the end
+        y = np.concatenate([np.ones(len(xm)), -np.ones(len(xc))])
+        weight = np.where(y > 0, 0.5 / len(xm), 0.5 / len(clean)) * 1000
+        w, bias = _svm(np.vstack([xm, xc]), y, weight, penalty)
+        weights = np.zeros(LETTERS**ORDER)
+        for a, (c, v) in zip(half @ w, z, strict=True):
+            np.add.at(weights, c, a * v)
+        model = Model(weights.astype(np.float32), bias, np.zeros(TOP + 2))
+        rest = np.flatnonzero(~held)
+        margin = np.concatenate([np.empty(0), *(model.word_margins([clean[j] for j in rest[k : k + 20_000]]) for k in range(0, len(rest), 20_000))])
+        wrong = rest[margin > -1 + 1e-3]
+        if not len(wrong):
+            return model
+        held[wrong] = True
+        xc = np.vstack([xc, *(kernel(features([clean[j] for j in wrong[k : k + 20_000]]), z) @ half for k in range(0, len(wrong), 20_000))])
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Weights of a logistic curve, by Newton steps; the last column, of ones, is not held small. No margin weighs below zero: columns that would are left out."""
+    free = np.ones(x.shape[1], bool)
+    while True:
+        z, w = x[:, free], np.zeros(int(free.sum()))
+        hold = ridge * np.eye(len(w))
+        hold[-1, -1] = 1e-6
+        for _ in range(100):
+            p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+            h = (z * (p * (1 - p) + 1e-9)[:, None]).T @ z + hold
+            d = np.linalg.solve(h, z.T @ (p - y) + hold @ w)
+            w -= d * min(1, 4 / max(1e-9, np.abs(d).max()))
+            if np.abs(d).max() < 1e-8:
+                break
+        out = np.zeros(x.shape[1])
+        out[free] = w
+        if (out[:TOP] >= 0).all():
+            return out
+        free[:TOP] &= out[:TOP] >= 0
 
 
 def held_out() -> F.Column:
@@ -299,10 +392,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int
             yield pa.RecordBatch.from_arrays([x.column(0), x.column(1), pa.array(sets, pa.list_(pa.binary()))], names=["_id", "toxic", "words"])
 
     coded = sample.join(F.broadcast(some), "_id").select("_id", "toxic", "text").mapInArrow(words, "_id long, toxic int, words array<binary>")
-    got = coded.groupBy().applyInArrow(_fit_sample, "weights binary, bias double, slope double, middle double").collect()
+    got = coded.groupBy().applyInArrow(_fit_sample, "weights binary, bias double, curve array<double>").collect()
     if not got:
         return fit([])
-    return Model(np.frombuffer(got[0].weights, np.float32), got[0].bias, (got[0].slope, got[0].middle))
+    return Model(np.frombuffer(got[0].weights, np.float32), got[0].bias, got[0].curve)
 
 
 def _fit_sample(sample: pa.Table) -> pa.Table:
@@ -325,7 +418,7 @@ def _fit_sample(sample: pa.Table) -> pa.Table:
     doc = np.repeat(np.cumsum(kept) - 1, sizes)
     on = np.repeat(kept, sizes)
     m = fit_words(toxic[kept], doc[on], word[on], [names[k] for k in order])
-    return pa.table({"weights": pa.array([m.weights.tobytes()], pa.binary()), "bias": [float(m.bias)], "slope": [float(m.curve[0])], "middle": [float(m.curve[1])]})
+    return pa.table({"weights": pa.array([m.weights.tobytes()], pa.binary()), "bias": [float(m.bias)], "curve": pa.array([m.curve.tolist()], pa.list_(pa.float64()))})
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
