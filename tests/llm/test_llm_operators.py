@@ -54,11 +54,40 @@ def test_spotsigs(spark, prose):
     assert got[0].near_edited > 0.4 > 0.05 > got[0].near_next
     small = spotsigs.with_next(spark.createDataFrame(rows, "doc_id long, text string"), bucket_rows=2).collect()
     assert sum(not r.ahead for r in small) == len(rows)
-    pairs = {(r.a, r.b) for r in spotsigs.near_duplicates(spark.createDataFrame([(1, texts[4]), (2, texts[4] + " more"), (3, texts[0])], "doc_id long, text string")).collect()}
-    assert pairs == {(1, 2)}
     assert spotsigs.compare_edits(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_spotsigs_components_match_brute_force(spark, prose):
+    r = random.Random(12)
+    texts = []
+    for n in (30, 200, 200, 400, 900):
+        base = prose(n).split()
+        for _ in range(9):
+            w = base.copy()
+            for _ in range(r.choice([0, 1, 2, n // 40, n // 15])):
+                w[r.randrange(len(w))] = r.choice(["changed", "other", "the"])
+            texts.append(" ".join(w[: len(w) - r.choice([0, 0, n // 12])]))
+    texts += [None, "", " ", "solo", "Solo!", *[prose(60) for _ in range(20)], "long " * 40_000, texts[0]]
+    rows = [(100 - k, t, "x", "y") for k, t in enumerate(texts)] + [(None, texts[3], "x", "y"), (7, texts[3], "x", "y"), (7, prose(70), "x", "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key string, component_id string").repartition(4)
+    sets = [spotsigs.signatures(t) for _, t, _, _ in rows]
+    comp = list(range(len(rows)))
+    for _ in range(8):
+        for i in range(len(rows)):
+            for j in range(i):
+                if spotsigs.jaccard(sets[i], sets[j]) >= 0.8:
+                    comp[i] = comp[j] = min(comp[i], comp[j])
+    low = {c: min((rows[i][0] for i in range(len(rows)) if comp[i] == c and rows[i][0] is not None), default=None) for c in comp}
+    want = sorted((d, spotsigs.fingerprint(s), low[c]) for (d, *_), s, c in zip(rows, sets, comp, strict=True) if d is not None)
+    for file in (3, 2048):
+        got = spotsigs.near_duplicates(df, file=file).collect()
+        keys = {spotsigs.key_of(s): spotsigs.fingerprint(s) for s in sets}
+        assert sorted((x.doc_id, keys[x.key], x.component_id) for x in got if x.doc_id is not None) == want
+    got = spotsigs.compare_edits(df).collect()
+    assert len(got) == len(rows)
+    assert sorted((x.doc_id, x.fingerprint, x.component_id) for x in got if x.doc_id is not None) == want
+
+
 def test_toxicity_learns_gapped_insults(prose):
     r = random.Random(3)
     docs = []

@@ -6,7 +6,7 @@ distance is within the budget of one block at least. Rows are dealt to tiles by
 tile and block the centre and radius are kept, and a pair of tiles is joined only in the blocks whose balls come within
 budget. Candidates of any block are verified by cosine in double precision, each pair once.
 
-Equal vectors are one node with a count. A pair of tiles returns link counts and a spanning forest, never all pairs.
+A pair of tiles costs the move of both, so tiles are large: what moves grows with rows x tiles. Equal vectors are one node with a count. A pair of tiles returns link counts and a spanning forest, never all pairs.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidegrid.llm.common import components, forest, prepare, table, written
 
-COSINE, BLOCK_DIMS, TILE, MOST_TILES, PIVOTS, SEED = 0.9, 16, 2048, 4096, 64, 11
+COSINE, BLOCK_DIMS, TILE, PIVOTS, SEED = 0.9, 16, 8192, 64, 11
 _STEP = 1024
 
 
@@ -107,8 +107,7 @@ def _links(nodes: DataFrame, dims: int, count: int, cosine: float, tile: int, wi
     spark = nodes.sparkSession
     blocks, turn = blocks_of(dims, width), rotation(dims, seed)
     budget = budgets(blocks, cosine)
-    size = max(tile, -(-count // MOST_TILES))
-    n_pivots = max(1, min(PIVOTS, count // size))
+    size, n_pivots = tile, max(1, min(PIVOTS, count // tile))
     picked = nodes.orderBy(F.xxhash64(F.lit(seed), "node")).limit(n_pivots).select("embedding").collect()  # bounded by PIVOTS
     pivots = unit(np.array([r[0] for r in picked], np.float64))
 
@@ -137,7 +136,7 @@ def _links(nodes: DataFrame, dims: int, count: int, cosine: float, tile: int, wi
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(one, kinds, strict=True)], names=["cell", "part", "nodes", "counts", "raw", "centre", "radius"])
 
     tiles = written(tiles.mapInArrow(pack, "cell int, part int, nodes binary, counts binary, raw binary, centre array<double>, radius array<double>"))
-    balls = tiles.select("cell", "part", "centre", "radius").orderBy("cell", "part").collect()  # at most MOST_TILES + PIVOTS
+    balls = tiles.select("cell", "part", "centre", "radius").orderBy("cell", "part").collect()  # a row for each ``tile`` vectors
     centre, radius = np.array([b.centre for b in balls]), np.array([b.radius for b in balls])
 
     def partners(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
