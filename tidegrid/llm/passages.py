@@ -2,8 +2,8 @@
 
 1. Seeds: hashes of k words, those that ``every`` divides: what is chosen does not depend on the words around, so that
    equal words have equal seeds right up to an edit.
-2. Each seed that more than one document has is tied to its first two holders (least doc_ids), never to all others: rows
-   stay as many as seeds, whatever the number of holders, and a chance holder of a phrase does not hide the passage's. The n-th copy in a document is tied to the n-th that the
+2. Each seed that more than one document has is tied to its first holder (least doc_id), never to all others: rows
+   stay as many as seeds, whatever the number of holders. The n-th copy in a document is tied to the n-th that the
    holder has, counted from the front and from the back, or to its last or first one where it has fewer.
 3. Of each pair (document, holder) the seed matches are chained in order with costs for gaps, by a Fenwick tree of prefix maxima.
 4. Chains are aligned: exactly between seeds, by X-drop with gaps beyond the ends; one that is not like enough is cut at its worst gaps. A passage has ``least`` words or more and a likeness of ``like`` or more.
@@ -124,6 +124,9 @@ def chains(pos: list[int], other: list[int], weight: float = K, gap: float = GAP
     The score of a chain is ``weight`` for each match less ``gap`` for each word stepped over in either text; as that cost is a
     difference of sums, the best predecessor is a prefix maximum, kept in a Fenwick tree over ``other``.
     """
+    p, o = np.array(pos, np.int64), np.array(other, np.int64)
+    if len(p) > 1 and (np.diff(p) > 0).all() and (np.diff(o) > 0).all() and (weight * np.arange(1, len(p)) > gap * (p + o - p[0] - o[0])[1:]).all():
+        return [list(range(len(pos)))]  # all rise together: each follows the one before
     order = sorted(range(len(pos)), key=lambda i: (pos[i], -other[i]))
     rank = {v: r + 1 for r, v in enumerate(sorted(set(other)))}
     size = len(rank)
@@ -202,12 +205,12 @@ def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
     return k + at[0], k + at[1], k + (best & (one - 1))
 
 
-def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], least: int = LEAST, like: float = LIKE, k: int = K, edges: tuple[bool, bool] = (False, False)) -> list[tuple[int, int, int, int, float]] | None:
+def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], least: int = LEAST, like: float = LIKE, k: int = K, edges: tuple[bool, ...] = (False,) * 4) -> list[tuple[int, int, int, int, float]] | None:
     """(start, end, other start, other end, likeness) of the passages that a chain of matches holds in the word codes a and b.
 
     A chain that is not like enough as a whole, with or without its extended ends, is cut at the link that leaves most words
     unmatched; both parts are judged in the same way. A part has two matches or more and extends no further than its neighbours.
-    ``edges``: whether a or b was cut (before, behind); None if an alignment comes so near to such a cut that it might go on.
+    ``edges``: whether a was cut before and behind, and b; None if an alignment comes so near to such a cut that it might go on.
     """
     same = []
     for i in range(len(pos) - 1):
@@ -222,9 +225,9 @@ def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], least:
         s, t, e, f, m = pos[i], other[i], pos[j] + k, other[j] + k, int(before[j] - before[i]) + k
         left, back, ml = _extend(a[pos[i - 1] + k if i else 0 : s][::-1], b[other[i - 1] + k if i else 0 : t][::-1])
         right, ahead, mr = _extend(a[e : pos[j + 1] if j + 1 < len(pos) else None], b[f : other[j + 1] if j + 1 < len(pos) else None])
-        if edges[0] and not i and min(s - left, t - back) < close:
+        if not i and (edges[0] and s - left < close or edges[2] and t - back < close):
             return None
-        if edges[1] and j + 1 == len(pos) and min(len(a) - e - right, len(b) - f - ahead) < close:
+        if j + 1 == len(pos) and (edges[1] and len(a) - e - right < close or edges[3] and len(b) - f - ahead < close):
             return None
         tries = ((s - left, e + right, t - back, f + ahead, m + ml + mr), (s, e, t, f, m))
         good = [(*x[:4], x[4] / max(x[1] - x[0], x[3] - x[2])) for x in tries if x[4] >= like * max(x[1] - x[0], x[3] - x[2])]
@@ -289,11 +292,9 @@ def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, li
     discard(spark, f"{passing}/sown")
     pos, before, after = unpack("at")
     seeds_of = held.where("at >= 0")
-    second = seeds_of.where("doc <> first").groupBy("seed").agg(F.min("doc").alias("second"))
-    holders = seeds_of.join(second.hint("merge"), "seed").where("doc = first OR doc = second")
-    holders = written(holders.groupBy("seed", F.col("doc").alias("holder")).agg(F.sort_array(F.collect_list(pos)).alias("others")), f"{passing}/holders")
+    holders = written(seeds_of.where("doc = first").groupBy("seed").agg(F.sort_array(F.collect_list(pos)).alias("others")), f"{passing}/holders")
     halves = written(held.where("at < 0").groupBy("doc").agg(F.collect_set("seed").alias("halves")))
-    matches = seeds_of.where("doc <> first").join(holders.hint("merge"), "seed").where("holder < doc").withColumnRenamed("holder", "other_doc").drop("first").withColumnRenamed("other_doc", "first")
+    matches = seeds_of.where("doc <> first").join(holders.hint("merge"), "seed")
     last = F.size("others") - 1
     ends = F.array_distinct(F.array(F.get("others", F.least(before, last)), F.get("others", F.greatest(last - after, F.lit(0)))))
     matches = matches.select("doc", "first", pos.alias("pos"), F.explode(ends).alias("other"))
@@ -332,6 +333,8 @@ def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, li
         both = both.select("doc", "text_key", "first", "pos", "other", "low", "a", "before", "behind_a", *_cut("other", "other_low", "b", "before_b", k, margin))
         return both.mapInArrow(partial(compare, margin is not None), f"{PASSAGE}, doc long, first long, pos array<int>, other array<int>")
 
+    enough = int(like * like * least)  # a passage's share within the margins may be less like than the whole
+
     def compare(again: bool, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             out = []
@@ -343,8 +346,9 @@ def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, li
                     continue  # the match is of another row with this doc_id
                 if (a[np.add.outer(p, np.arange(k))] != b[np.add.outer(o, np.arange(k))]).any():
                     continue  # so is this one
-                edges = (cut or cut_b, cut_end or cut_b_end) if again else (False, False)
-                found = align(a, b, p.tolist(), o.tolist(), least, like, k, edges)
+                if np.isin(a, b).sum() < enough:
+                    continue  # no passage here, however the words are ordered
+                found = align(a, b, p.tolist(), o.tolist(), least, like, k, (cut, cut_end, cut_b, cut_b_end) if again else (False,) * 4)
                 if found is None:
                     out.append((None,) * 8 + (d, f, pos, other))
                 else:
