@@ -176,21 +176,45 @@ def _matches(a: np.ndarray, b: np.ndarray) -> int:
     return len(b) - row.bit_count()
 
 
+def _run(a: np.ndarray, b: np.ndarray) -> int:
+    """Equal words at the start of a and b."""
+    n, k, step = min(len(a), len(b)), 0, 64
+    while k < n:
+        differ = np.flatnonzero(a[k : min(n, k + step)] != b[k : min(n, k + step)])
+        if len(differ):
+            return k + int(differ[0])
+        k, step = k + step, step * 4
+    return n
+
+
 def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
-    """(words of a, words of b, matches) of the best common start of a and b: +1 a match, -PENALTY a word changed, added or left out, at most BAND words apart, until the score drops by DROP."""
-    n = min(len(a), len(b))
-    differ = np.flatnonzero(a[:n] != b[:n])
-    k = int(differ[0]) if len(differ) else n
-    a, b = a[k:], b[k:]
-    if not len(a) or not len(b):
-        return k, k, k
+    """(words of a, words of b, matches) of the best common start of a and b: +1 a match, -PENALTY a word changed, added or left out, at most BAND words apart, until the score drops by DROP.
+
+    Equal words are run over at once; where 2 BAND of them follow a new best place, the alignment starts anew from there.
+    """
+    i = j = m = 0
+    while True:
+        k = _run(a[i:], b[j:])
+        i, j, m = i + k, j + k, m + k
+        if i >= len(a) or j >= len(b):
+            return i, j, m
+        x, y, n, on = _bridge(a[i:], b[j:])
+        i, j, m = i + x, j + y, m + n
+        if not on:
+            return i, j, m
+
+
+def _bridge(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, bool]:
+    """(words of a, words of b, matches, whether equal words follow) of the best common start, which begins with a difference."""
     one = 1 << 32  # scores in the high half, matches in the low one
     fall = PENALTY * one * np.arange(2 * BAND + 1)
     line = np.where(np.arange(2 * BAND + 1) >= BAND, PENALTY * -one * (np.arange(2 * BAND + 1) - BAND), -(one << 28))
-    wide = np.concatenate([b[: len(a) + BAND].astype(np.int64), np.full(len(a) + 2 * BAND + 1, -1)])
-    wide = np.concatenate([np.full(BAND, -2), wide])
-    best, at = 0, (0, 0)
-    for i, x in enumerate(a.tolist()):
+    best, at, most = 0, (0, 0), 512
+    wide = np.full(most + 3 * BAND + 1, -1, np.int64)
+    wide[:BAND] = -2
+    part = b[: most + 2 * BAND + 1]
+    wide[BAND : BAND + len(part)] = part
+    for i, x in enumerate(a[:most].tolist()):
         near = wide[i : i + 2 * BAND + 1]
         new = line + np.where(near == x, one + 1, -PENALTY * one)
         new[:-1] = np.maximum(new[:-1], line[1:] - PENALTY * one)
@@ -200,9 +224,11 @@ def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
         top = int(line[j])
         if top >> 32 > best >> 32:
             best, at = top, (i + 1, i + 1 + j - BAND)
+            if at[1] > 0 and _run(a[at[0] : at[0] + 2 * BAND], b[at[1] : at[1] + 2 * BAND]) == 2 * BAND:
+                return *at, best & (one - 1), True
         elif (best >> 32) - (top >> 32) > DROP:
             break
-    return k + at[0], k + at[1], k + (best & (one - 1))
+    return *at, best & (one - 1), False
 
 
 def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], least: int = LEAST, like: float = LIKE, k: int = K, edges: tuple[bool, ...] = (False,) * 4) -> list[tuple[int, int, int, int, float]] | None:
@@ -331,7 +357,7 @@ def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, li
         both = mine.select("doc", "text_key", "first", "pos", "other", *_cut("pos", "low", "a", "before", k, margin))
         both = both.join(codes_of.select(F.col("id").alias("first"), "codes").hint("merge"), "first")
         both = both.select("doc", "text_key", "first", "pos", "other", "low", "a", "before", "behind_a", *_cut("other", "other_low", "b", "before_b", k, margin))
-        return both.mapInArrow(partial(compare, margin is not None), f"{PASSAGE}, doc long, first long, pos array<int>, other array<int>")
+        return both.mapInArrow(partial(compare, margin is not None), f"{PASSAGE}, runs array<int>, doc long, first long, pos array<int>, other array<int>")
 
     enough = int(like * like * least)  # a passage's share within the margins may be less like than the whole
 
@@ -350,18 +376,32 @@ def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, li
                     continue  # no passage here, however the words are ordered
                 found = align(a, b, p.tolist(), o.tolist(), least, like, k, (cut, cut_end, cut_b, cut_b_end) if again else (False,) * 4)
                 if found is None:
-                    out.append((None,) * 8 + (d, f, pos, other))
-                else:
-                    out += [(d, key, s + base, e + base, f, t + low, u + low, likeness) + (None,) * 4 for s, e, t, u, likeness in found]
+                    out.append((None,) * 9 + (d, f, pos, other))
+                elif found:
+                    runs = [x + base for x in _equal(a, b, p, o, least)]
+                    out += [(d, key, s + base, e + base, f, t + low, u + low, likeness, runs) + (None,) * 4 for s, e, t, u, likeness in found]
             ints = pa.list_(pa.int32())
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.int64(), ints, ints)
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["doc_id", "text_key", "start", "end", "other_id", "other_start", "other_end", "likeness", "doc", "first", "pos", "other"])
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), ints, pa.int64(), pa.int64(), ints, ints)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["doc_id", "text_key", "start", "end", "other_id", "other_start", "other_end", "likeness", "runs", "doc", "first", "pos", "other"])
 
     near = written(aligned(found, MARGIN))
     columns = [c.split()[0] for c in PASSAGE.split(", ")]
-    wider = aligned(near.where("doc IS NOT NULL").select("doc", "first", "pos", "other").distinct(), None).select(*columns)
-    chained = written(near.where("doc_id IS NOT NULL").select(*columns).unionByName(wider).distinct())
-    return chained.unionByName(exact(codes_of.join(halves.hint("merge"), F.col("id") == F.col("doc")), chained, least))
+    wider = aligned(near.where("doc IS NOT NULL").select("doc", "first", "pos", "other").distinct(), None).select(*columns, "runs")
+    chained = written(near.where("doc_id IS NOT NULL").select(*columns, "runs").unionByName(wider).distinct())
+    done = chained.select(*columns).distinct()
+    return done.unionByName(exact(codes_of.join(halves.hint("merge"), F.col("id") == F.col("doc")), chained, least))
+
+
+def _equal(a: np.ndarray, b: np.ndarray, p: np.ndarray, o: np.ndarray, least: int) -> list[int]:
+    """[start, end, start, end, ...] in a of the runs of ``least`` words or more that a chain's matches (p, o) have word for word in b."""
+    out: list[tuple[int, int]] = []
+    for d in np.unique(p - o).tolist():
+        lo, hi = max(0, d), min(len(a), len(b) + d)
+        if hi - lo < least:
+            continue
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], a[lo:hi] == b[lo - d : hi - d], [False]]).astype(np.int8)))
+        out += [(lo + s, lo + e) for s, e in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True) if e - s >= least]
+    return [x for span in sorted(set(out)) for x in span]
 
 
 def _cut(places: str, low: str, codes: str, before: str, k: int, margin: int | None) -> list[F.Column]:
@@ -374,16 +414,27 @@ def _cut(places: str, low: str, codes: str, before: str, k: int, margin: int | N
 
 
 def exact(shared: DataFrame, chained: DataFrame, least: int) -> DataFrame:
-    """Runs of ``least`` words or more that an earlier document has word for word, less those within passages ``chained`` of the same two documents; shared(id, key, codes, halves) has the hashes of halves that other documents have too."""
+    """Runs of ``least`` words or more that an earlier document has word for word, less those within passages ``chained`` of the same two documents; shared(id, key, codes, halves) has the hashes of halves that other documents have too.
+
+    Windows within a run that the document is known to have of an earlier one (``runs`` of chained) are left out: that document has them too, or
+    has them in turn of a still earlier one, and the first holder of all leaves none out. So no class of holders falls apart.
+    """
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            for d, key, c, h in zip(*(x.column(n).to_pylist() for n in ("id", "key", "codes", "halves")), strict=True):
+            for d, key, c, h, spans in zip(*(x.column(n).to_pylist() for n in ("id", "key", "codes", "halves", "known")), strict=True):
                 c = np.frombuffer(c, np.uint32)
-                at = np.flatnonzero(np.isin(halves_of(c, least)[1].view(np.int64), np.array(h, np.int64)))
+                x_least = halves_of(c, least)[1]
+                on = np.isin(x_least.view(np.int64), np.array(h, np.int64))
+                for runs in spans or ():
+                    for s, e in zip(runs[::2], runs[1::2], strict=True):
+                        on[s : e - least + 1] = False
+                at = np.flatnonzero(on)
                 run = runs_of(c, least)[at] if len(at) else np.empty(0, np.uint64)
                 yield pa.RecordBatch.from_arrays([pa.array(run.view(np.int64)), pa.array(np.full(len(at), d, np.int64)), pa.array(np.full(len(at), key, np.int64)), pa.array(at.astype(np.int32))], names=["run", "doc", "key", "pos"])
 
+    known = chained.where(F.size("runs") > 0).groupBy(F.col("doc_id").alias("of"), F.col("text_key").alias("text")).agg(F.collect_set("runs").alias("known"))
+    shared = shared.join(known.hint("merge"), (F.col("id") == F.col("of")) & (F.col("key") == F.col("text")), "left").select("id", "key", "codes", "halves", "known")
     windows = written(shared.mapInArrow(cut, "run long, doc long, key long, pos int"))
     held = windows.groupBy("run").agg(F.min(F.struct("doc", "pos")).alias("first"), F.max("doc").alias("last")).where("first.doc <> last")
     later = windows.join(held.hint("merge"), "run").where("doc <> first.doc")
