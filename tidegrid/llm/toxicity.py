@@ -27,7 +27,7 @@ from tidegrid.llm.common import packed, prepare, table
 
 ORDER, SPAN, DECAY, LANDMARKS, PENALTY = 4, 7, 0.6, 256, 10.0
 #: Letters of the pieces that mark words, the chance of one that marks none, and the share of clean documents that may have one, in that of toxic ones.
-GRAM, CHANCE, RARER = 5, 0.05, 0.02
+GRAM, CHANCE, RARER = 5, 0.05, 0.005
 #: Folds that the curve is fitted on, and clean words that a fit starts with (twice that many at most).
 FOLDS, WORKING = 3, 2000
 #: Bounds of the training sample: labelled documents, and characters in them.
@@ -224,15 +224,20 @@ def _marking_words(toxic: np.ndarray, doc: np.ndarray, word: np.ndarray, words:
     return by(toxic_words, marked & (clean_words == 0)), by(clean_words, ~marked | (clean_words > 0))
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float) -> tuple[np.ndarray, float]:
-    """Linear machine with squared hinge loss by Newton steps; x without, the result with a bias."""
-    z = np.hstack([x, np.ones((len(x), 1))])
-    w, ridge = np.zeros(z.shape[1]), np.eye(z.shape[1])
+def _svm(blocks: list[tuple[np.ndarray, float, float]], penalty: float) -> tuple[np.ndarray, float]:
+    """Linear machine with squared hinge loss by Newton steps; blocks: (rows, label, weight of a row), rows in single precision and without a bias, the result with one."""
+    width = blocks[0][0].shape[1]
+    w, ridge = np.zeros(width + 1), np.eye(width + 1)
     ridge[-1, -1] = 1e-6
     for _ in range(30):
-        on = y * (z @ w) < 1
-        zw = z[on] * weight[on, None]
-        new = np.linalg.solve(ridge + penalty * zw.T @ z[on], penalty * zw.T @ y[on])
+        left, right = ridge.copy(), np.zeros(width + 1)
+        for x, y, weight in blocks:
+            for k in range(0, len(x), 8192):
+                z = np.hstack([x[k : k + 8192], np.ones((len(x[k : k + 8192]), 1), np.float32)]).astype(np.float64)
+                z = z[y * (z @ w) < 1]
+                left += penalty * weight * (z.T @ z)
+                right += penalty * weight * y * z.sum(axis=0)
+        new = np.linalg.solve(left, right)
         if np.allclose(new, w, atol=1e-8):
             break
         w = new
@@ -324,22 +329,21 @@ def _machine(toxic: np.ndarray, doc: np.ndarray, word: np.ndarray, words: list[b
     values, vectors = np.linalg.eigh(kz)
     keep = values > 1e-6 * values.max()
     half = vectors[:, keep] / np.sqrt(values[keep])
-    xm, xc = kernel(fm, z) @ half, kernel(fc, z) @ half
+    rows = lambda f: (kernel(f, z) @ half).astype(np.float32)
+    xm, xc = rows(fm), [rows(fc)]
     while True:  # the machine of all clean words: those outside have no loss in the end
-        y = np.concatenate([np.ones(len(xm)), -np.ones(len(xc))])
-        weight = np.where(y > 0, 0.5 / len(xm), 0.5 / len(clean)) * 1000
-        w, bias = _svm(np.vstack([xm, xc]), y, weight, penalty)
+        w, bias = _svm([(xm, 1.0, 500.0 / len(xm)), *((x, -1.0, 500.0 / len(clean)) for x in xc)], penalty)
         weights = np.zeros(LETTERS**ORDER)
         for a, (c, v) in zip(half @ w, z, strict=True):
             np.add.at(weights, c, a * v)
         model = Model(weights.astype(np.float32), bias, np.zeros(TOP + 2))
         rest = np.flatnonzero(~held)
-        margin = np.concatenate([np.empty(0), *(model.word_margins([clean[j] for j in rest[k : k + 20_000]]) for k in range(0, len(rest), 20_000))])
+        margin = np.concatenate([np.empty(0), *(model.word_margins([clean[j] for j in rest[k : k + 10_000]]) for k in range(0, len(rest), 10_000))])
         wrong = rest[margin > -1 + 1e-3]
         if not len(wrong):
             return model
         held[wrong] = True
-        xc = np.vstack([xc, *(kernel(features([clean[j] for j in wrong[k : k + 20_000]]), z) @ half for k in range(0, len(wrong), 20_000))])
+        xc += [rows(features([clean[j] for j in wrong[k : k + 10_000]])) for k in range(0, len(wrong), 10_000)]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
