@@ -29,7 +29,7 @@ from xxhash import xxh64_intdigest
 from tidegrid.llm.common import discard, packed, prepare, shared_dir, table, words_of, written
 
 K, EVERY, LEAST, LIKE = 5, 2, 50, 0.8
-GAP, MARGIN, DROP, PENALTY, BAND = 0.1, 64, 12, 3, 8
+GAP, MARGIN, DROP, PENALTY, BAND, FAR = 0.1, 64, 12, 3, 8, 4096
 SEED_BITS, FILTER_BITS, REMEMBERED = 26, 23, 500_000
 COPIES = (1 << 15) - 1  # copies of a seed in one document that are told apart
 _BASE = 0x9E3779B97F4A7C15
@@ -161,12 +161,21 @@ def chains(pos: list[int], other: list[int], weight: float = K, gap: float = GAP
 
 
 def _matches(a: np.ndarray, b: np.ndarray) -> int:
-    """Most words of a and b that agree in order (longest common subsequence), by rows of bits: a long integer holds a row."""
+    """Most words of a and b that agree in order (longest common subsequence), by rows of bits: a long integer holds a row.
+
+    0 where both have more than FAR words without a common seed: a chain is cut there, and its parts are passages of their own.
+    """
     if len(a) == len(b) and (a == b).all():
         return len(a)
+    if min(len(a), len(b)) > FAR:
+        return 0
+    if len(b) > len(a):
+        a, b = b, a
     at: dict[int, int] = {}
+    both = set(a.tolist())
     for k, x in enumerate(b.tolist()):
-        at[x] = at.get(x, 0) | 1 << k
+        if x in both:
+            at[x] = at.get(x, 0) | 1 << k
     full = (1 << len(b)) - 1
     row = full
     for x in a.tolist():

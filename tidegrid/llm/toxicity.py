@@ -205,12 +205,18 @@ def _marking_words(toxic: np.ndarray, doc: np.ndarray, word: np.ndarray, words:
     of, code = of[order], code[order]
     first, size = np.searchsorted(of, np.arange(len(words))), np.bincount(of, minlength=len(words))
 
+    begin = np.searchsorted(doc, np.arange(len(toxic) + 1))
+
     def spread(on: np.ndarray) -> np.ndarray:
-        """In how many of these documents each piece is."""
-        d, w = doc[on[doc]], word[on[doc]]
-        n = size[w]
-        at = np.repeat(first[w], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        return np.bincount(np.unique(np.repeat(d, n) * len(kinds) + code[at]) % len(kinds), minlength=len(kinds))
+        """In how many of these documents each piece is; a few documents at a time."""
+        total, chosen = np.zeros(len(kinds), np.int64), np.flatnonzero(on)
+        for part in np.array_split(chosen, max(1, len(chosen) // 200)):
+            pairs = np.concatenate([np.arange(begin[d], begin[d + 1]) for d in part] + [np.empty(0, np.int64)])
+            w = word[pairs]
+            n = size[w]
+            at = np.repeat(first[w], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            total += np.bincount(np.unique(np.repeat(doc[pairs], n) * len(kinds) + code[at]) % len(kinds), minlength=len(kinds))
+        return total
 
     rate = n_toxic / (n_toxic + n_clean)
     least = max(3, np.ceil(np.log(CHANCE / len(kinds)) / np.log(rate))) if n_toxic else np.inf
@@ -402,6 +408,17 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int
     return Model(np.frombuffer(got[0].weights, np.float32), got[0].bias, got[0].curve)
 
 
+def _give_back() -> None:
+    """Returns freed memory to the system: the worker lives on, beside others."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def _fit_sample(sample: pa.Table) -> pa.Table:
     """The model of the whole sample (_id, toxic, words), as one row."""
     sample = sample.sort_by([("_id", "ascending"), ("toxic", "ascending")])
@@ -422,6 +439,8 @@ def _fit_sample(sample: pa.Table) -> pa.Table:
     doc = np.repeat(np.cumsum(kept) - 1, sizes)
     on = np.repeat(kept, sizes)
     m = fit_words(toxic[kept], doc[on], word[on], [names[k] for k in order])
+    del sample, flat, coded, word, names, doc, keys, first
+    _give_back()
     return pa.table({"weights": pa.array([m.weights.tobytes()], pa.binary()), "bias": [float(m.bias)], "curve": pa.array([m.curve.tolist()], pa.list_(pa.float64()))})
 
 
