@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidegrid.llm.common import discard, packed, prepare, shared_dir, table, words_of, written
+from tidegrid.llm.common import discard, give_back, packed, prepare, shared_dir, table, words_of, written
 
 K, EVERY, LEAST, LIKE = 5, 2, 50, 0.8
 GAP, MARGIN, DROP, PENALTY, BAND, FAR = 0.1, 64, 12, 3, 8, 4096
-SEED_BITS, FILTER_BITS, REMEMBERED = 26, 23, 500_000
+SEED_BITS, FILTER_BITS, REMEMBERED = 26, 23, 200_000
 COPIES = (1 << 15) - 1  # copies of a seed in one document that are told apart
 _BASE = 0x9E3779B97F4A7C15
 PASSAGE = "doc_id long, text_key long, start int, end int, other_id long, other_start int, other_end int, likeness double"
@@ -311,6 +311,8 @@ def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, li
                     parts.append((x[at], np.full(len(at), d, np.int64), -1 - at))
             h, d, at = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0, np.uint64) for i in range(3))
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(d.astype(np.int64)), pa.array(at.astype(np.int64))], names=["seed", "doc", "at"])
+        known.clear()
+        give_back()
 
     def pass_on(sieve, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -356,6 +358,8 @@ def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, li
             keep = np.flatnonzero(_passes(needed.value, np.asarray(x.column(3), np.int64))).tolist()
             out = [(x.column(0)[i].as_py(), x.column(1)[i].as_py(), codes(words_of(x.column(2)[i].as_py().lower()), known).astype(np.uint32).tobytes()) for i in keep]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["id", "key", "codes"])
+        known.clear()
+        give_back()
 
     coded = rows.select("doc_id", F.xxhash64("text").alias("key"), "text", F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - FILTER_BITS).alias("bit")).mapInArrow(encode, "id long, key long, codes binary")
     codes_of = written(coded)
@@ -392,6 +396,7 @@ def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, li
             ints = pa.list_(pa.int32())
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), ints, pa.int64(), pa.int64(), ints, ints)
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["doc_id", "text_key", "start", "end", "other_id", "other_start", "other_end", "likeness", "runs", "doc", "first", "pos", "other"])
+        give_back()
 
     near = written(aligned(found, MARGIN))
     columns = [c.split()[0] for c in PASSAGE.split(", ")]

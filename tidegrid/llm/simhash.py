@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tidegrid.llm.common import components, forest, packed, prepare, written
+from tidegrid.llm.common import components, forest, give_back, packed, prepare, written
 
 RADIUS, SHINGLE, SEED, TILE = 4, 4, 42, 32768
 
@@ -50,6 +50,7 @@ def _hashed(rows: DataFrame, kept: str, shingle: int) -> DataFrame:
         for x in batches:
             fp = np.array([simhash(t, shingle) for t in x.column(x.num_columns - 1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*x.columns[:-1], pa.array(fp)], names=[*x.schema.names[:-1], "fp"])
+        give_back()
 
     return rows.mapInArrow(run, f"{kept}, fp long")
 

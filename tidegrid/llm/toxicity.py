@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import packed, prepare, table
+from tidegrid.llm.common import give_back, packed, prepare, table
 
 ORDER, SPAN, DECAY, LANDMARKS, PENALTY = 4, 7, 0.6, 256, 10.0
 #: Letters of the pieces that mark words, the chance of one that marks none, and the share of clean documents that may have one, in that of toxic ones.
@@ -408,17 +408,6 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int
     return Model(np.frombuffer(got[0].weights, np.float32), got[0].bias, got[0].curve)
 
 
-def _give_back() -> None:
-    """Returns freed memory to the system: the worker lives on, beside others."""
-    import ctypes
-    import gc
-
-    gc.collect()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
-
-
 def _fit_sample(sample: pa.Table) -> pa.Table:
     """The model of the whole sample (_id, toxic, words), as one row."""
     sample = sample.sort_by([("_id", "ascending"), ("toxic", "ascending")])
@@ -440,7 +429,7 @@ def _fit_sample(sample: pa.Table) -> pa.Table:
     on = np.repeat(kept, sizes)
     m = fit_words(toxic[kept], doc[on], word[on], [names[k] for k in order])
     del sample, flat, coded, word, names, doc, keys, first
-    _give_back()
+    give_back()
     return pa.table({"weights": pa.array([m.weights.tobytes()], pa.binary()), "bias": [float(m.bias)], "curve": pa.array([m.curve.tolist()], pa.list_(pa.float64()))})
 
 
@@ -461,6 +450,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                 out.append(m.scores(texts[done:k]))
                 done = k
             yield pa.RecordBatch.from_arrays([*x.columns, pa.array(np.concatenate(out) if out else [], pa.float64())], names=["_doc", "_score"])
+        give_back()
 
     return rows.mapInArrow(run, rows.withColumn("_score", F.lit(0.0)).schema)
 
