@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegrid.llm.common import prepare, table, words_of, written
+from tidegrid.llm.common import give_back, prepare, table, words_of, written
 
 WEIGHT, PRIOR = 0.7, 1000.0
 #: Characters of a chunk, and of the texts for each bucket.
@@ -131,7 +131,7 @@ class Chunk:
         """How often the document of each place has what stands there (``at``, numbers below ``kinds``)."""
         doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
         _, where, n = np.unique(doc * kinds + at, return_inverse=True, return_counts=True)
-        return n[where]
+        return n.astype(np.int32)[where]
 
     def losses(self, told: np.ndarray, totals: tuple[float, float], apart: bool = False) -> np.ndarray:
         """Mean loss of each document that has words, under target (row 0) and background (1); told: counts of ``codes`` in both, totals: words in both; ``apart``: the background has these documents, whose own counts are taken off."""
@@ -140,20 +140,18 @@ class Chunk:
         n, out = np.empty(told.shape), []
         n[:, self.order] = told
         single, pair = n[:, : len(self.words)], n[:, len(self.words) :]
-        word, history = single[:, self.at], single[:, self.before]
-        pairs, words = pair[:, self.pair_at], np.broadcast_to(np.array(totals, float)[:, None], word.shape)
+        off = dict.fromkeys(("word", "history", "pair", "words"), 0)
         if apart:
             mine = self.own(self.at, len(self.words))
             behind = np.concatenate([[1], mine[:-1]])  # a history is the word one place before, or a beginning
             behind[self.starts] = 1
-            word[1] -= mine
-            history[1] -= behind
-            pairs[1] -= self.own(self.pair_at, len(self.pairs))
-            words = words - np.stack([np.zeros(len(mine)), np.repeat(self.sizes, self.sizes)])
-        share = np.maximum(word.sum(axis=0), 0.5) / np.maximum(words.sum(axis=0), 0.5)
-        for k in (0, 1):
-            p = (word[k] + PRIOR * share) / (words[k] + PRIOR)
-            p = np.where(history[k] > 0, WEIGHT * pairs[k] / np.maximum(history[k], 1) + (1 - WEIGHT) * p, p)
+            off = {"word": mine, "history": behind, "pair": self.own(self.pair_at, len(self.pairs)), "words": np.repeat(self.sizes, self.sizes)}
+        share = np.maximum((single[0] + single[1])[self.at] - off["word"], 0.5) / np.maximum(sum(totals) - off["words"], 0.5)
+        for k in (0, 1):  # one model after the other: a chunk has millions of places
+            less = off if k else dict.fromkeys(off, 0)
+            p = (single[k][self.at] - less["word"] + PRIOR * share) / (totals[k] - less["words"] + PRIOR)
+            history = single[k][self.before] - less["history"]
+            p = np.where(history > 0, WEIGHT * (pair[k][self.pair_at] - less["pair"]) / np.maximum(history, 1) + (1 - WEIGHT) * p, p)
             out.append(np.add.reduceat(-np.log(p), self.starts) / self.sizes[self.sizes > 0])
         return np.stack(out)
 
@@ -251,6 +249,8 @@ def score(docs: DataFrame, target: DataFrame, background: DataFrame | None = Non
         n = np.stack([np.concatenate([unpack(get(col, k), get("n", k)) for _, k in told[1:]]).astype(float) for col in ("codes", "counts")])
         loss, some = np.zeros((2, len(sizes))), sizes > 0
         loss[:, some] = c.losses(n, totals, apart)
+        del c, n
+        give_back()
         return pa.table([pa.array(get("ids", head), pa.int64()), pa.array(sizes), *(pa.array(x, pa.float64(), mask=~some) for x in loss), pa.array(loss[0] - loss[1])], names=["doc_id", "n_words", "loss_target", "loss_background", "score"])
 
     # partitions in step with buckets and chunks, so that no task's share grows with the input
