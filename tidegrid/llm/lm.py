@@ -180,6 +180,9 @@ def _chunks(df: DataFrame, kind: int) -> DataFrame:
                     ids, texts, size = [], [], 0
         if ids:
             yield from row(ids, texts)
+        ids, texts = [], []
+        known.clear()
+        give_back()
 
     key = F.col("doc_id").cast("long") if kind & SCORES else F.lit(None).cast("long")
     return df.select(key.alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SENT)
@@ -200,6 +203,8 @@ def _codes(chunks: DataFrame, buckets: int) -> DataFrame:
                 for a, b in zip(ends, ends[1:], strict=False):
                     row = {"chunk": chunk, "bucket": int(of[a]), "kind": kind, "codes": pack(steps(c.codes[a:b])), "counts": pack(n[a:b]), "n": b - a}
                     yield from _table([row]).to_batches()
+                del c, n, of
+                give_back()
 
     return chunks.mapInArrow(run, SENT)
 
