@@ -88,6 +88,17 @@ def test_spotsigs_components_match_brute_force(spark, prose):
     assert sorted((x.doc_id, x.fingerprint, x.component_id) for x in got if x.doc_id is not None) == want
 
 
+def test_spotsigs_counts_signatures_of_all_sets(spark):
+    g = np.random.default_rng(3)
+    n = 50_000  # one signature in all sets, one in each third, the others rare
+    sets = [np.unique(np.array([7, *([3 << 30] if k % 3 == 0 else []), *g.integers(100, 1 << 32, 2)], np.uint32)) for k in range(n)]
+    kinds, want = np.unique(np.concatenate(sets), return_counts=True)
+    table = spark.createDataFrame([(k, s.tobytes()) for k, s in enumerate(sets)], "key long, sigs binary")
+    sig, often = spotsigs._common(table)
+    assert sig.tolist() == kinds[want > 1].tolist() and often.tolist() == want[want > 1].tolist()
+    assert len(spotsigs._common(table.limit(0))[0]) == 0
+
+
 def test_toxicity_learns_gapped_insults(prose):
     r = random.Random(3)
     docs = []

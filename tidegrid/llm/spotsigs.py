@@ -26,7 +26,7 @@ from xxhash import xxh32_intdigest, xxh64_intdigest
 from tidegrid.llm.common import components, discard, forest, prepare, shared_dir, table, words_of, written
 
 CHAIN, STEP, BUCKET_ROWS, MOST_BUCKETS = 3, 1, 1000, 20_000
-LIKE, FIRST, FILE, SAMPLE, COMMON = 0.8, 3, 2048, 20_000, 100_000
+LIKE, FIRST, FILE, COMMON, COUNTERS = 0.8, 3, 2048, 100_000, 1024
 #: Common words: English, French, German, Spanish. Fixed values.
 ANCHORS = frozenset(
     "a an and are as at be but by for from had has have he her his in is it not of on or she that the this to was were will with you "
@@ -268,16 +268,41 @@ def near_duplicates(docs: DataFrame, least: float = LIKE, chain: int = CHAIN, st
 
 
 def _common(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(signatures, how often) of the COMMON most frequent ones in a sample of about SAMPLE sets: any order of signatures is right for all sets alike; this one keeps files small."""
-    part = max(1, sets.count() // SAMPLE)
+    """(signatures, how often) of the COMMON most frequent ones, counted over all sets. Any order of signatures is right, if it is one for all sets; this one keeps files small. The rest come first in it, being rarer.
 
-    def each(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(x.column(0).to_pylist()), np.int32))], names=["sig"])
+    Counts move as arrays, one for each of COUNTERS ranges of signatures, and each range returns its most frequent ones: no others can be among those of all.
+    """
+    names = ["bucket", "sigs", "n"]
+    edges = np.arange(1, COUNTERS, dtype=np.uint64) * np.uint64((1 << 32) // COUNTERS)
 
-    seen = sets.where(F.pmod("key", F.lit(part)) == 0).select("sigs").mapInArrow(each, "sig int").groupBy("sig").agg(F.count("*").alias("n")).where("n > 1")
-    top = seen.orderBy(F.desc("n"), "sig").limit(COMMON).toArrow()
-    sig, n = np.asarray(top.column(0).combine_chunks(), np.int32).view(np.uint32), np.asarray(top.column(1).combine_chunks(), np.int64)
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        sig, n = np.unique(np.concatenate([*held, np.empty(0, np.uint32)]), return_counts=True)
+        ends = [0, *np.searchsorted(sig, edges).tolist(), len(sig)]
+        rows = [(k, sig[i:j].tobytes(), n[i:j].astype(np.int64).tobytes()) for k, (i, j) in enumerate(zip(ends, ends[1:], strict=False)) if j > i]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=names)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for x in batches:
+            held.append(np.frombuffer(b"".join(x.column(0).to_pylist()), np.uint32))
+            size += len(held[-1])
+            if size > 1 << 22:
+                yield counted(held)
+                held, size = [], 0
+        yield counted(held)
+
+    def top(x: pa.Table) -> pa.Table:
+        sig, n = (np.frombuffer(b"".join(x.column(c).to_pylist()), t) for c, t in (("sigs", np.uint32), ("n", np.int64)))
+        kinds, at = np.unique(sig, return_inverse=True)
+        total = np.zeros(len(kinds), np.int64)
+        np.add.at(total, at, n)
+        most = np.lexsort((kinds.view(np.int32), -total))[:COMMON]
+        most = most[total[most] > 1]
+        return pa.table({"sig": pa.array(kinds[most].view(np.int32)), "n": pa.array(total[most])})
+
+    seen = written(sets.select("sigs").mapInArrow(count, "bucket int, sigs binary, n binary").groupBy("bucket").applyInArrow(top, "sig int, n long"))
+    listed = seen.orderBy(F.desc("n"), "sig").limit(COMMON).toArrow()
+    sig, n = np.asarray(listed.column(0).combine_chunks(), np.int32).view(np.uint32), np.asarray(listed.column(1).combine_chunks(), np.int64)
     order = np.argsort(sig)
     return sig[order], n[order]
 
