@@ -166,3 +166,29 @@ def test_a_very_long_text(spark, prose):
     texts = [f"{prose(60_000)} {p} {prose(60_000)}", f"{p} " * 3, prose(30)]
     rows = found(spark, texts)
     assert covered(rows, 2) == set(range(240))
+
+
+def test_seeds_with_ten_first_holders_tie_a_passage(spark, prose):
+    """No earlier document has more than one phrase of the passage, no two phrases are joined by the same word."""
+    phrases = [prose(8) for _ in range(10)]
+    passage = lambda: " ".join(f"{p} {prose(1)}" for p in phrases)
+    texts = [f"{prose(30)} {p} {prose(30)}" for p in phrases] + [f"{prose(20)} {passage()} {prose(20)}", f"{prose(40)} {passage()} {prose(40)}"]
+    assert covered(found(spark, texts), 12) >= set(range(45, 120))
+
+
+def test_likeness_of_a_long_stretch_without_seeds():
+    g = np.random.default_rng(6)
+    a = g.integers(0, 2**32, 9_000).astype(np.uint32)
+    b = a.copy()
+    b[2_000:7_000:4] += np.uint32(1)  # three of four words agree
+    pos = [*range(0, 1_990, 5), *range(7_000, 8_990, 5)]
+    (start, end, *_, likeness), *more = passages.align(a, b, pos, pos)
+    assert (start, end, more) == (0, 9_000, []) and abs(likeness - (9_000 - 1_250) / 9_000) < 1e-9
+
+
+def test_matches_carry_from_block_to_block(monkeypatch):
+    monkeypatch.setattr(passages, "BLOCK", 16)
+    g = np.random.default_rng(7)
+    for n, m, kinds in ((90, 70, 9), (200, 130, 3), (64, 33, 40)):
+        a, b = g.integers(0, kinds, n).astype(np.uint32), g.integers(0, kinds, m).astype(np.uint32)
+        assert _matches(a, b, None) == lcs(a.tolist(), b.tolist())

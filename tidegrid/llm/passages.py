@@ -5,6 +5,8 @@
 2. Each seed that more than one document has is tied to its first holder (least doc_id), never to all others: rows
    stay as many as seeds, whatever the number of holders. The n-th copy in a document is tied to the n-th that the
    holder has, counted from the front and from the back, or to its last or first one where it has fewer.
+   Two seeds in a row (of those that others have) are tied in the same way to the first document that has both in a row, so that a
+   passage whose seeds have other first holders one by one is tied to a document that has it.
 3. Of each pair (document, holder) the seed matches are chained in order with costs for gaps, by a Fenwick tree of prefix maxima.
 4. Chains are aligned: exactly between seeds, by X-drop with gaps beyond the ends; one that is not like enough is cut at its worst gaps. A passage has ``least`` words or more and a likeness of ``like`` or more.
    Both texts come cut to MARGIN words around the chain; a chain whose alignment reaches such a cut is aligned again with whole texts.
@@ -24,12 +26,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from xxhash import xxh64_intdigest
 
 from tidegrid.llm.common import discard, give_back, packed, prepare, shared_dir, table, words_of, written
 
 K, EVERY, LEAST, LIKE = 5, 2, 50, 0.8
-GAP, MARGIN, DROP, PENALTY, BAND, FAR = 0.1, 64, 12, 3, 8, 4096
+GAP, MARGIN, DROP, PENALTY, BAND, FAR, BLOCK = 0.1, 64, 12, 3, 8, 4096, 1 << 16
 SEED_BITS, FILTER_BITS, REMEMBERED = 26, 23, 200_000
 COPIES = (1 << 15) - 1  # copies of a seed in one document that are told apart
 _BASE = 0x9E3779B97F4A7C15
@@ -160,29 +163,36 @@ def chains(pos: list[int], other: list[int], weight: float = K, gap: float = GAP
     return out
 
 
-def _matches(a: np.ndarray, b: np.ndarray) -> int:
-    """Most words of a and b that agree in order (longest common subsequence), by rows of bits: a long integer holds a row.
+def _matches(a: np.ndarray, b: np.ndarray, far: int | None = FAR) -> int:
+    """Most words of a and b that agree in order (longest common subsequence), by rows of bits: a long integer holds a row of BLOCK words of the shorter one; what a row carries goes to the next block.
 
-    0 where both have more than FAR words without a common seed: a chain is cut there, and its parts are passages of their own.
+    0 where both have more than ``far`` words; None: no bound.
     """
     if len(a) == len(b) and (a == b).all():
         return len(a)
-    if min(len(a), len(b)) > FAR:
+    if far is not None and min(len(a), len(b)) > far:
         return 0
     if len(b) > len(a):
         a, b = b, a
-    at: dict[int, int] = {}
-    both = set(a.tolist())
-    for k, x in enumerate(b.tolist()):
-        if x in both:
-            at[x] = at.get(x, 0) | 1 << k
-    full = (1 << len(b)) - 1
-    row = full
-    for x in a.tolist():
-        if m := at.get(x):
-            u = row & m
-            row = ((row + u) | (row - u)) & full
-    return len(b) - row.bit_count()
+    words, carry, out = a.tolist(), bytearray(len(a)), 0
+    both = set(words)
+    for start in range(0, len(b), BLOCK):
+        part = b[start : start + BLOCK].tolist()
+        at: dict[int, int] = {}
+        for k, x in enumerate(part):
+            if x in both:
+                at[x] = at.get(x, 0) | 1 << k
+        full = (1 << len(part)) - 1
+        row = full
+        for i, x in enumerate(words):
+            m = at.get(x)
+            if m or carry[i]:
+                u = row & (m or 0)
+                total = row + u + carry[i]
+                carry[i] = total >> len(part)
+                row = (total | (row - u)) & full
+        out += len(part) - row.bit_count()
+    return out
 
 
 def _run(a: np.ndarray, b: np.ndarray) -> int:
@@ -251,7 +261,7 @@ def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], least:
     for i in range(len(pos) - 1):
         d, o = pos[i + 1] - pos[i], other[i + 1] - other[i]
         step = min(k, d, o)
-        same.append(d if d == o and d <= k else step + _matches(a[pos[i] + step : pos[i + 1]], b[other[i] + step : other[i + 1]]))
+        same.append(d if d == o and d <= k else step + _matches(a[pos[i] + step : pos[i + 1]], b[other[i] + step : other[i + 1]], None))
     lost = np.maximum(np.diff(pos), np.diff(other)) - np.array(same, np.int64)
     before, out, parts = np.concatenate([[0], np.cumsum(same)]), [], [(0, len(pos) - 1)]
     close = DROP + BAND
@@ -335,13 +345,21 @@ def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, li
     last = F.size("others") - 1
     ends = F.array_distinct(F.array(F.get("others", F.least(before, last)), F.get("others", F.greatest(last - after, F.lit(0)))))
     matches = matches.select("doc", "first", pos.alias("pos"), F.explode(ends).alias("other"))
+    # neighbours among a document's shared seeds, as one seed
+    line = Window.partitionBy("doc").orderBy("pos", "seed")
+    twos = seeds_of.select("doc", "seed", "first", pos.alias("pos")).withColumns({c: F.lead(n).over(line) for c, n in (("seed_2", "seed"), ("first_2", "first"), ("pos_2", "pos"))})
+    twos = written(twos.where("seed_2 IS NOT NULL").select("doc", F.xxhash64("seed", "seed_2").alias("two"), "first", "first_2", "pos", "pos_2"), f"{passing}/twos")
+    have = twos.groupBy("two").agg(F.min(F.struct("doc", "pos", "pos_2")).alias("h"), F.max("doc").alias("last")).where("h.doc <> last").select("two", "h")
+    new = twos.join(have.hint("merge"), "two").where("doc <> h.doc AND (first <> h.doc OR first_2 <> h.doc)")
+    new = new.select("doc", F.col("h.doc").alias("first"), F.inline(F.array(F.struct("pos", F.col("h.pos").alias("other")), F.struct(F.col("pos_2").alias("pos"), F.col("h.pos_2").alias("other")))))
+    matches = matches.unionByName(new)
     pairs = matches.groupBy("doc", "first").agg(F.collect_list(F.struct("pos", "other")).alias("at")).where(F.size("at") > 1)
 
     def chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             out = []
             for d, f, at in zip(*(x.column(i).to_pylist() for i in range(3)), strict=True):
-                at = sorted((m["pos"], m["other"]) for m in at)  # ties fall alike in every run
+                at = sorted({(m["pos"], m["other"]) for m in at})  # ties fall alike in every run
                 pos, other = [p for p, _ in at], [o for _, o in at]
                 out += [(d, f, [pos[i] for i in c], [other[i] for i in c]) for c in chains(pos, other, k)]
             ints = pa.list_(pa.int32())
