@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidegrid.llm import passages
@@ -192,3 +193,48 @@ def test_matches_carry_from_block_to_block(monkeypatch):
     for n, m, kinds in ((90, 70, 9), (200, 130, 3), (64, 33, 40)):
         a, b = g.integers(0, kinds, n).astype(np.uint32), g.integers(0, kinds, m).astype(np.uint32)
         assert _matches(a, b, None) == lcs(a.tolist(), b.tolist())
+
+
+def test_chunks_and_buckets_change_nothing(spark, prose, monkeypatch):
+    common = [prose(12) for _ in range(5)]
+    p = prose(70).split()
+    texts = [f"{prose(20)} {common[k % 5]} {' '.join(p[k % 3 * 10 :])} {prose(30)} {common[(k + 1) % 5]}" for k in range(40)] + [f"{prose(30)} " + " ".join([*p[:33], "edited", *p[34:], *p])]
+    whole = sorted(found(spark, texts))
+    assert covered(whole, 41) == set(range(30, 170))
+    monkeypatch.setattr(passages, "CHUNK", 300)
+    monkeypatch.setattr(passages, "BUCKET", 500)
+    assert sorted(found(spark, texts)) == whole
+
+
+def test_a_seed_of_every_document_is_sent_once_a_chunk():
+    g = np.random.default_rng(8)
+    common = g.integers(0, 2**32, 30).astype(np.uint32)
+    docs = [(int(d), 0, np.concatenate([g.integers(0, 2**32, 20).astype(np.uint32), common, common])) for d in g.permutation(200)]
+    c = passages.Chunk.read(passages.Chunk.of(docs).head())
+    assert c.ids.tolist() == list(range(200)) and all((c.codes[80 * d : 80 * d + 80] == t).all() for d, _, t in docs)
+    c.sow(5, 1, 50)
+    x = np.concatenate([c.keys_of[: c.seeds][c.doc[: c.seeds] == d] for d in range(200)])
+    assert len(x) == 200 * 76 and len(np.unique(x)) < 200 * 24 + 60
+    sent = list(passages.Sorted(c.keys_of).sent("a", c.ids[c.doc], c.pos, 7))
+    assert sum(r[2] for r in sent) == len(np.unique(c.keys_of)) and len({r[1] for r in sent}) == 7
+    shared, first, n, begin, places = passages._told(pa.concat_tables(passages._answer(passages._rows([r])) for r in sent))
+    keys = np.unique(c.keys_of)
+    at = np.searchsorted(keys, passages.seeds(common.astype(np.uint64), 5, 1)[0])
+    assert shared[at].all() and (first[at] == 0).all() and (n[at] == 2).all()
+    assert [places[b : b + 2].tolist() for b in begin[at]] == [[20 + i, 50 + i] for i in range(26)]
+    assert not shared[np.searchsorted(keys, passages.seeds(c.codes[:20].astype(np.uint64), 5, 1)[0])].any()
+
+
+def test_extensions_made_together_are_those_made_alone():
+    g = np.random.default_rng(9)
+    pairs = []
+    for k in range(120):
+        a = g.integers(0, 2**32, int(g.integers(1, 900))).astype(np.uint32)
+        b = a.copy()
+        b[g.random(len(b)) < g.choice([0.01, 0.05, 0.1, 0.3])] += np.uint32(1)
+        b = np.delete(b, g.integers(0, len(b), k % 4))
+        pairs.append((a, b))
+    pairs.append((np.empty(0, np.uint32), pairs[0][0]))
+    assert passages._extensions(pairs) == [passages._extend(a, b) for a, b in pairs]
+    together = [(a, b, [0, 5], [0, 5], (False,) * 4) for a in (np.arange(80, dtype=np.uint32),) for b in (a, np.delete(a, 40), np.roll(a, 7))]
+    assert passages.align_all(together) == [passages.align(*c[:4]) for c in together]

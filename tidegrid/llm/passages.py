@@ -2,11 +2,13 @@
 
 1. Seeds: hashes of k words, those that ``every`` divides: what is chosen does not depend on the words around, so that
    equal words have equal seeds right up to an edit.
-2. Each seed that more than one document has is tied to its first holder (least doc_id), never to all others: rows
+2. Each seed that more than one document has is tied to its first holder (least doc_id), never to all others: matches
    stay as many as seeds, whatever the number of holders. The n-th copy in a document is tied to the n-th that the
    holder has, counted from the front and from the back, or to its last or first one where it has fewer.
    Two seeds in a row (of those that others have) are tied in the same way to the first document that has both in a row, so that a
    passage whose seeds have other first holders one by one is tied to a document that has it.
+   Texts are taken in chunks of ``CHUNK`` words. A chunk sends each of its different seeds once, with its own first holder, to the bucket that
+   the seed's leading bits name; the bucket answers with the first holder of all. So there are no hot keys, and the chunk ties its documents by itself.
 3. Of each pair (document, holder) the seed matches are chained in order with costs for gaps, by a Fenwick tree of prefix maxima.
 4. Chains are aligned: exactly between seeds, by X-drop with gaps beyond the ends; one that is not like enough is cut at its worst gaps. A passage has ``least`` words or more and a likeness of ``like`` or more.
    Both texts come cut to MARGIN words around the chain; a chain whose alignment reaches such a cut is aligned again with whole texts.
@@ -18,23 +20,27 @@ Only codes of words (32 bits) of documents that have a chain move, not their tex
 
 from __future__ import annotations
 
+import uuid
 from bisect import bisect_right
-from collections.abc import Iterable, Iterator
+from collections.abc import Generator, Iterable, Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 from xxhash import xxh64_intdigest
 
 from tidegrid.llm.common import discard, give_back, packed, prepare, shared_dir, table, words_of, written
+from tidegrid.llm.lm import pack, steps, unpack
 
 K, EVERY, LEAST, LIKE = 5, 2, 50, 0.8
 GAP, MARGIN, DROP, PENALTY, BAND, FAR, BLOCK = 0.1, 64, 12, 3, 8, 4096, 1 << 16
-SEED_BITS, FILTER_BITS, REMEMBERED = 26, 23, 200_000
-COPIES = (1 << 15) - 1  # copies of a seed in one document that are told apart
+FILTER_BITS, REMEMBERED = 23, 200_000
+#: Words of a chunk, and of the texts for each bucket.
+CHUNK, BUCKET = 1_000_000, 2_000_000
+SENT = "chunk string, bucket long, n long, parts array<binary>"
+_ARROW = pa.schema([("chunk", pa.string()), ("bucket", pa.int64()), ("n", pa.int64()), ("parts", pa.list_(pa.binary()))])
 _BASE = 0x9E3779B97F4A7C15
 PASSAGE = "doc_id long, text_key long, start int, end int, other_id long, other_start int, other_end int, likeness double"
 _MIX = [np.uint64(pow(0x9E3779B97F4A7C15, j + 1, 1 << 64) | 1) for j in range(64)]
@@ -52,36 +58,23 @@ def codes(words: list[bytes], known: dict) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
 def seeds(h: np.ndarray, k: int = K, every: int = EVERY) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place) of those k-word hashes of word hashes h that ``every`` divides; a place packs the position, the number of equal seeds before it and that after it (see ``unpack``)."""
+    """(hash, position) of those k-word hashes of word hashes h that ``every`` divides."""
     n = len(h) - k + 1
     if n < 1:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     x = np.zeros(n, np.uint64)
     for j in range(k):
         x += h[j : n + j] * _MIX[j]
-    x ^= x >> np.uint64(29)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(32)
+    x = _mixed(x)
     at = np.flatnonzero(x % np.uint64(every) == 0)
-    return x[at], placed(x[at], at)
-
-
-def placed(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The places of seeds x at positions ``at``."""
-    order, n = np.argsort(x, kind="stable"), np.arange(len(x))
-    fresh = np.concatenate([[True], x[order][1:] != x[order][:-1]])[: len(x)]
-    first = np.maximum.accumulate(np.where(fresh, n, 0))
-    size = np.diff(np.append(np.flatnonzero(fresh), len(x)))[np.cumsum(fresh) - 1]
-    before, after = np.empty(len(x), np.int64), np.empty(len(x), np.int64)
-    before[order], after[order] = n - first, first + size - 1 - n
-    return at | np.minimum(before, COPIES) << 32 | np.minimum(after, COPIES) << 47
-
-
-def unpack(place: str) -> tuple[F.Column, F.Column, F.Column]:
-    """(position, equal seeds before, equal seeds after) of a place."""
-    x = F.col(place)
-    return x.bitwiseAND(F.lit((1 << 32) - 1)).cast("int"), F.shiftright(x, 32).bitwiseAND(F.lit(COPIES)).cast("int"), F.shiftright(x, 47).cast("int")
+    return x[at], at
 
 
 def _powers(base: int, n: int, known: dict = {}) -> np.ndarray:  # noqa: B006
@@ -97,9 +90,7 @@ def runs_of(codes32: np.ndarray, n: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes32.astype(np.uint64) * _powers(_BASE, len(codes32)), dtype=np.uint64)])
     x = (total[n:] - total[:-n]) * _powers(pow(_BASE, -1, 1 << 64), len(codes32) - n + 1)
-    x ^= x >> np.uint64(29)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
+    return _mixed(x)
 
 
 def _slide(x: np.ndarray, n: int, least: np.ufunc) -> np.ndarray:
@@ -110,13 +101,18 @@ def _slide(x: np.ndarray, n: int, least: np.ufunc) -> np.ndarray:
     return least(x[: len(x) - (n - wide)], x[n - wide :]) if n > wide else x
 
 
-def halves_of(codes32: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes of the halves, the least of each window of ``least`` words, positions of halves that are the least of a window)."""
+def halves_of(codes32: np.ndarray, least: int, left: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of the halves, the least of each window of ``least`` words, positions of halves that are the least of a window).
+
+    ``left``: words from each place to the end of its text, where several texts follow each other.
+    """
     half = least // 2
     x, n = runs_of(codes32, half), least - half + 1
     if len(x) < n:
         return x, np.empty(0, np.uint64), np.empty(0, np.int64)
     m = _slide(x, n, np.minimum)
+    if left is not None:
+        m[left[: len(m)] < least] = 0
     edge = np.zeros(n - 1, np.uint64)
     return x, m, np.flatnonzero(_slide(np.concatenate([edge, m, edge]), n, np.maximum) == x)
 
@@ -207,51 +203,109 @@ def _run(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
-    """(words of a, words of b, matches) of the best common start of a and b: +1 a match, -PENALTY a word changed, added or left out, at most BAND words apart, until the score drops by DROP.
+    """(words of a, words of b, matches) of the best common start of a and b: see ``_extensions``."""
+    return _extensions([(a, b)])[0]
+
+
+def _extensions(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int, int]]:
+    """(words of a, words of b, matches) of the best common start of each pair a, b: +1 a match, -PENALTY a word changed, added or left out, at most BAND words apart, until the score drops by DROP.
 
     Equal words are run over at once; where 2 BAND of them follow a new best place, the alignment starts anew from there.
     """
-    i = j = m = 0
-    while True:
-        k = _run(a[i:], b[j:])
-        i, j, m = i + k, j + k, m + k
-        if i >= len(a) or j >= len(b):
-            return i, j, m
-        x, y, n, on = _bridge(a[i:], b[j:])
-        i, j, m = i + x, j + y, m + n
-        if not on:
-            return i, j, m
-
-
-def _bridge(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, bool]:
-    """(words of a, words of b, matches, whether equal words follow) of the best common start, which begins with a difference."""
-    one = 1 << 32  # scores in the high half, matches in the low one
-    fall = PENALTY * one * np.arange(2 * BAND + 1)
-    line = np.where(np.arange(2 * BAND + 1) >= BAND, PENALTY * -one * (np.arange(2 * BAND + 1) - BAND), -(one << 28))
-    best, at, most = 0, (0, 0), 512
-    wide = np.full(most + 3 * BAND + 1, -1, np.int64)
-    wide[:BAND] = -2
-    part = b[: most + 2 * BAND + 1]
-    wide[BAND : BAND + len(part)] = part
-    for i, x in enumerate(a[:most].tolist()):
-        near = wide[i : i + 2 * BAND + 1]
-        new = line + np.where(near == x, one + 1, -PENALTY * one)
-        new[:-1] = np.maximum(new[:-1], line[1:] - PENALTY * one)
-        new[near == -1] = -(one << 28)  # past the end of b
-        line = np.maximum.accumulate(new + fall) - fall
-        j = int(line.argmax())
-        top = int(line[j])
-        if top >> 32 > best >> 32:
-            best, at = top, (i + 1, i + 1 + j - BAND)
-            if at[1] > 0 and _run(a[at[0] : at[0] + 2 * BAND], b[at[1] : at[1] + 2 * BAND]) == 2 * BAND:
-                return *at, best & (one - 1), True
-        elif (best >> 32) - (top >> 32) > DROP:
+    out, on = [(0, 0, 0)] * len(pairs), range(len(pairs))
+    while on:
+        differ = []
+        for x in on:
+            (a, b), (i, j, m) = pairs[x], out[x]
+            n = _run(a[i:], b[j:])
+            out[x] = i + n, j + n, m + n
+            if i + n < len(a) and j + n < len(b):
+                differ.append(x)
+        on = []
+        for x, (i, j, m, more) in zip(differ, _bridges([(pairs[x][0][out[x][0] :], pairs[x][1][out[x][1] :]) for x in differ]), strict=True):
+            out[x] = out[x][0] + i, out[x][1] + j, out[x][2] + m
+            if more:
+                on.append(x)
+    return out
+
+
+def _bridges(pairs: list[tuple[np.ndarray, np.ndarray]], most: int = 512, block: int = 32) -> list[tuple[int, int, int, bool]]:
+    """(words of a, words of b, matches, whether equal words follow) of the best common start of each pair, which begins with a difference; all pairs go word by word together."""
+    one, wide = 1 << 32, 2 * BAND + 1  # scores in the high half, matches in the low one
+    fall, lost = PENALTY * one * np.arange(wide), PENALTY * one
+    out = [(0, 0, 0, False)] * len(pairs)
+    ids = np.arange(len(pairs))
+    # each line is kept with ``fall`` added, so that words added are a running maximum
+    line = np.tile(np.where(np.arange(wide) >= BAND, BAND * lost, -(one << 28)), (len(pairs), 1))
+    best, at_a, at_b = (np.zeros(len(pairs), np.int64) for _ in range(3))
+    for start in range(0, most, block):
+        ends = np.array([min(most, len(pairs[x][0])) for x in ids.tolist()], np.int64)
+        mine = np.full((len(ids), block + 2 * BAND), -3, np.int64)
+        others = np.full((len(ids), block + 4 * BAND), -1, np.int64)
+        for r, x in enumerate(ids.tolist()):
+            part = pairs[x][0][start : start + mine.shape[1]]
+            mine[r, : len(part)] = part
+            low = start - BAND
+            part = pairs[x][1][max(low, 0) : low + others.shape[1]]
+            others[r, max(-low, 0) : max(-low, 0) + len(part)] = part
+            others[r, : max(-low, 0)] = -2
+        equal = np.lib.stride_tricks.sliding_window_view(others, wide, axis=1) == mine[:, :, None]
+        gains = np.where(equal[:, :block], one + 1, -lost)
+        total = np.cumsum(equal, axis=1, dtype=np.int16)
+        live = np.ones(len(ids), bool)
+        for i in range(block):
+            new = line + gains[:, i]
+            np.maximum(new[:, :-1], line[:, 1:] - 2 * lost, out=new[:, :-1])
+            line = np.maximum.accumulate(new, axis=1)
+            scores = line - fall
+            j = scores.argmax(axis=1)
+            rows = np.arange(len(ids))
+            top = scores[rows, j]
+            better = live & (top >> 32 > best >> 32)
+            over = live & ~better & ((best >> 32) - (top >> 32) > DROP)
+            best[better] = top[better]
+            at_a[better], at_b[better] = start + i + 1, start + i + 1 + j[better] - BAND
+            goes_on = better & (at_b > 0) & (total[rows, i + 2 * BAND, j] - total[rows, i, j] == 2 * BAND)
+            over |= goes_on | live & (start + i + 1 >= ends)
+            if over.any():
+                for r in np.flatnonzero(over).tolist():
+                    out[ids[r]] = int(at_a[r]), int(at_b[r]), int(best[r]) & (one - 1), bool(goes_on[r])
+                live &= ~over
+                if 2 * live.sum() <= len(live):
+                    if not live.any():
+                        return out
+                    ids, line, best, at_a, at_b, ends, gains, total, live = (x[live] for x in (ids, line, best, at_a, at_b, ends, gains, total, live))
+        ids, line, best, at_a, at_b = (x[live] for x in (ids, line, best, at_a, at_b))
+        if not len(ids):
             break
-    return *at, best & (one - 1), False
+    return out
 
 
 def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], least: int = LEAST, like: float = LIKE, k: int = K, edges: tuple[bool, ...] = (False,) * 4) -> list[tuple[int, int, int, int, float]] | None:
-    """(start, end, other start, other end, likeness) of the passages that a chain of matches holds in the word codes a and b.
+    """(start, end, other start, other end, likeness) of the passages that a chain of matches holds in the word codes a and b: see ``_aligned``."""
+    return align_all([(a, b, pos, other, edges)], least, like, k)[0]
+
+
+def align_all(chains: list[tuple], least: int = LEAST, like: float = LIKE, k: int = K) -> list[list[tuple[int, int, int, int, float]] | None]:
+    """What ``align`` gives for each (a, b, pos, other, edges), their extensions made together."""
+    out: list = [None] * len(chains)
+    on = [(i, _aligned(*c[:4], least, like, k, c[4])) for i, c in enumerate(chains)]
+    wanted = [next(x) for _, x in on]
+    while on:
+        done = iter(_extensions([p for w in wanted for p in w]))
+        again, wants = [], []
+        for (i, x), w in zip(on, wanted, strict=True):
+            try:
+                wants.append(x.send([next(done) for _ in w]))
+                again.append((i, x))
+            except StopIteration as end:
+                out[i] = end.value
+        on, wanted = again, wants
+    return out
+
+
+def _aligned(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], least: int, like: float, k: int, edges: tuple[bool, ...]) -> Generator[list, list, list | None]:
+    """Alignment of a chain of matches; yields pairs to extend and is sent their extensions.
 
     A chain that is not like enough as a whole, with or without its extended ends, is cut at the link that leaves most words
     unmatched; both parts are judged in the same way. A part has two matches or more and extends no further than its neighbours.
@@ -266,22 +320,144 @@ def align(a: np.ndarray, b: np.ndarray, pos: list[int], other: list[int], least:
     before, out, parts = np.concatenate([[0], np.cumsum(same)]), [], [(0, len(pos) - 1)]
     close = DROP + BAND
     while parts:
-        i, j = parts.pop()
-        s, t, e, f, m = pos[i], other[i], pos[j] + k, other[j] + k, int(before[j] - before[i]) + k
-        left, back, ml = _extend(a[pos[i - 1] + k if i else 0 : s][::-1], b[other[i - 1] + k if i else 0 : t][::-1])
-        right, ahead, mr = _extend(a[e : pos[j + 1] if j + 1 < len(pos) else None], b[f : other[j + 1] if j + 1 < len(pos) else None])
-        if not i and (edges[0] and s - left < close or edges[2] and t - back < close):
-            return None
-        if j + 1 == len(pos) and (edges[1] and len(a) - e - right < close or edges[3] and len(b) - f - ahead < close):
-            return None
-        tries = ((s - left, e + right, t - back, f + ahead, m + ml + mr), (s, e, t, f, m))
-        good = [(*x[:4], x[4] / max(x[1] - x[0], x[3] - x[2])) for x in tries if x[4] >= like * max(x[1] - x[0], x[3] - x[2])]
-        if good:
-            out += [x for x in good if x[1] - x[0] >= least][:1]
-        elif j - i > 1 and lost[i:j].max() > 0:
-            cut = i + int(lost[i:j].argmax())
-            parts += [p for p in ((cut + 1, j), (i, cut)) if p[1] > p[0]]
-    return out
+        pairs = []
+        for i, j in parts:
+            s, t, e, f = pos[i], other[i], pos[j] + k, other[j] + k
+            pairs.append((a[pos[i - 1] + k if i else 0 : s][::-1], b[other[i - 1] + k if i else 0 : t][::-1]))
+            pairs.append((a[e : pos[j + 1] if j + 1 < len(pos) else None], b[f : other[j + 1] if j + 1 < len(pos) else None]))
+        found, now, parts = iter((yield pairs)), parts, []
+        for i, j in now:
+            s, t, e, f, m = pos[i], other[i], pos[j] + k, other[j] + k, int(before[j] - before[i]) + k
+            (left, back, ml), (right, ahead, mr) = next(found), next(found)
+            if not i and (edges[0] and s - left < close or edges[2] and t - back < close):
+                return None
+            if j + 1 == len(pos) and (edges[1] and len(a) - e - right < close or edges[3] and len(b) - f - ahead < close):
+                return None
+            tries = ((s - left, e + right, t - back, f + ahead, m + ml + mr), (s, e, t, f, m))
+            good = [(*x[:4], x[4] / max(x[1] - x[0], x[3] - x[2])) for x in tries if x[4] >= like * max(x[1] - x[0], x[3] - x[2])]
+            if good:
+                out += [x for x in good if x[1] - x[0] >= least][:1]
+            elif j - i > 1 and lost[i:j].max() > 0:
+                cut = i + int(lost[i:j].argmax())
+                parts += [p for p in ((i, cut), (cut + 1, j)) if p[1] > p[0]]
+    return sorted(out)
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each of the stretches (start, size), one after the other."""
+    sizes = sizes.astype(np.int64)
+    return np.repeat(starts.astype(np.int64) - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def _rows(rows: list[tuple]) -> pa.Table:
+    return pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_ARROW)], schema=_ARROW)
+
+
+class Sorted:
+    """Keys in order, equal ones in the order that they came in: ``order`` sorts them, a run of equal ones begins at each of ``starts``, ``run`` is each key's."""
+
+    def __init__(self, x: np.ndarray):
+        self.order = np.argsort(x, kind="stable")
+        self.x = x[self.order]
+        fresh = np.ones(len(x), bool)
+        fresh[1:] = self.x[1:] != self.x[:-1]
+        self.starts = np.flatnonzero(fresh)
+        self.ends = np.append(self.starts[1:], len(x))
+        self.run = np.cumsum(fresh) - 1
+
+    def sent(self, chunk: str, ids: np.ndarray, places: np.ndarray, buckets: int) -> Iterator[tuple]:
+        """Rows SENT for the buckets: each different key once, with the first of the documents ``ids`` (of each key as it came, rising within equal ones), whether there is another, and the places it has there."""
+        x, ids = self.x[self.starts], ids[self.order]
+        first = ids[self.starts]
+        several, holds = ids[self.ends - 1] != first, ids == first[self.run]
+        n = np.bincount(self.run[holds], minlength=len(x))
+        places, ends = places[self.order][holds], np.concatenate([[0], np.cumsum(n)])
+        of = (x >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a < b:
+                yield chunk, int(of[a]), b - a, [pack(steps(x[a:b])), pack(first[a:b].view(np.uint64)), np.packbits(several[a:b]).tobytes(), pack(n[a:b]), pack(places[ends[a] : ends[b]])]
+
+
+def _answer(rows: pa.Table) -> pa.Table:
+    """One bucket: for each chunk, of the keys it sent, which two documents have, the first of them, and the places it has there."""
+    size, parts = rows.column("n").to_pylist(), rows.column("parts").to_pylist()
+    x = np.concatenate([np.cumsum(unpack(p[0], n), dtype=np.uint64) for p, n in zip(parts, size, strict=True)])
+    ids = np.concatenate([unpack(p[1], n) for p, n in zip(parts, size, strict=True)]).view(np.int64)
+    several = np.concatenate([np.unpackbits(np.frombuffer(p[2], np.uint8), count=n) for p, n in zip(parts, size, strict=True)])
+    n = [unpack(p[3], n).astype(np.int64) for p, n in zip(parts, size, strict=True)]
+    places = np.concatenate([unpack(p[4], int(m.sum())) for p, m in zip(parts, n, strict=True)])
+    n = np.concatenate(n)
+    s = Sorted(x)
+    first = np.minimum.reduceat(ids[s.order], s.starts)
+    shared = (np.maximum.reduceat(ids[s.order], s.starts) != first) | (np.maximum.reduceat(several[s.order], s.starts) > 0)
+    on = shared[s.run] & (ids[s.order] == first[s.run])
+    held, run = s.order[on], s.run[on]
+    at, run = places[_spread((np.cumsum(n) - n)[held], n[held])], np.repeat(run, n[held])
+    at = at[np.lexsort((at, run))]
+    many = np.bincount(run, minlength=len(first))
+    begin, mine, out = np.cumsum(many) - many, np.empty(len(x), np.int64), []
+    mine[s.order] = s.run
+    chunks, bucket, end = rows.column("chunk").to_pylist(), rows.column("bucket")[0].as_py(), 0
+    for chunk, k in zip(chunks, size, strict=True):
+        u = mine[end : end + k]
+        end += k
+        there = shared[u]
+        u = u[there]
+        out.append((chunk, bucket, k, [np.packbits(there).tobytes(), pack(first[u].view(np.uint64)), pack(many[u]), pack(at[_spread(begin[u], many[u])])]))
+    return _rows(out)
+
+
+def _told(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all answers to a chunk, in the order of its keys: which are shared; of each key the first holder, its number of places there and where they begin in the last: the places."""
+    told = sorted((b, n, p) for b, n, p in zip(*(rows.column(c).to_pylist() for c in ("bucket", "n", "parts")), strict=True) if b >= 0)
+    there = [np.unpackbits(np.frombuffer(p[0], np.uint8), count=n).astype(bool) for _, n, p in told]
+    size = [int(t.sum()) for t in there]
+    many = [unpack(p[2], n).astype(np.int64) for (_, _, p), n in zip(told, size, strict=True)]
+    places = np.concatenate([np.empty(0, np.uint64), *(unpack(p[3], int(m.sum())) for (_, _, p), m in zip(told, many, strict=True))])
+    shared = np.concatenate([np.empty(0, bool), *there])
+    first, n = np.zeros(len(shared), np.int64), np.zeros(len(shared), np.int64)
+    first[shared] = np.concatenate([np.empty(0, np.uint64), *(unpack(p[1], n) for (_, _, p), n in zip(told, size, strict=True))]).view(np.int64)
+    n[shared] = np.concatenate([np.empty(0, np.int64), *many])
+    return shared, first, n, np.cumsum(n) - n, places
+
+
+class Chunk:
+    """Documents in order of id: ids, keys of their texts, numbers of words, and the codes of all words."""
+
+    def __init__(self, ids: np.ndarray, keys: np.ndarray, sizes: np.ndarray, codes32: np.ndarray):
+        self.ids, self.keys, self.sizes, self.codes = ids, keys, sizes, codes32
+
+    @classmethod
+    def of(cls, docs: list[tuple[int, int, np.ndarray]]) -> Chunk:
+        docs = sorted(docs, key=lambda d: d[:2])
+        return cls(np.array([d[0] for d in docs], np.int64), np.array([d[1] for d in docs], np.int64), np.array([len(d[2]) for d in docs], np.int64), np.concatenate([d[2] for d in docs]))
+
+    def head(self) -> list[bytes]:
+        words, at, n = np.unique(self.codes, return_inverse=True, return_counts=True)
+        order = np.argsort(-n, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        return [self.ids.tobytes(), self.keys.tobytes(), self.sizes.tobytes(), words[order].tobytes(), pack(rank[at])]
+
+    @classmethod
+    def read(cls, parts: list[bytes]) -> Chunk:
+        """From what head() gives."""
+        ids, keys, sizes = (np.frombuffer(p, np.int64) for p in parts[:3])
+        return cls(ids, keys, sizes, np.frombuffer(parts[3], np.uint32)[unpack(parts[4], int(sizes.sum())).astype(np.int64)])
+
+    def sow(self, k: int, every: int, least: int) -> None:
+        """``keys_of``: seeds, then halves; ``doc`` (number) and ``pos`` of each, ``seeds`` of them are seeds."""
+        begin = np.cumsum(self.sizes) - self.sizes
+        doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        left = (begin + self.sizes)[doc] - np.arange(len(doc))
+        x, at = seeds(self.codes.astype(np.uint64), k, every)
+        whole = left[at] >= k
+        y, _, of = halves_of(self.codes, least, left)
+        of = of[left[of] >= least // 2]
+        self.seeds, at = int(whole.sum()), np.concatenate([at[whole], of])
+        self.keys_of, self.doc = np.concatenate([x[whole], y[of]]), doc[at]
+        self.pos = at - begin[self.doc]
 
 
 def _sieve(bits: DataFrame, size: int):
@@ -297,6 +473,42 @@ def _passes(sieve: np.ndarray, bit: np.ndarray) -> np.ndarray:
     return (sieve[bit >> 6] >> (bit & 63)) & 1 == 1
 
 
+def _twos(doc: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the first, hash) of seeds two in a row of the same document."""
+    at = np.flatnonzero(doc[1:] == doc[:-1])
+    return at, _mixed(seed[at] * _MIX[0] + seed[at + 1] * _MIX[1])
+
+
+def _chained(doc: np.ndarray, holder: np.ndarray, pos: np.ndarray, other: np.ndarray, k: int) -> Iterator[tuple[int, list[int], list[int]]]:
+    """(place of a match, pos, other) of the chains of sorted matches (doc, holder, pos, other), each counted once.
+
+    Where all matches of two documents rise together and each follows the one before, as chains() has it, that is the chain.
+    """
+    if not len(doc):
+        return
+    same = (doc[1:] == doc[:-1]) & (holder[1:] == holder[:-1])
+    once = np.concatenate([[True], ~(same & (pos[1:] == pos[:-1]) & (other[1:] == other[:-1]))])
+    place = np.flatnonzero(once)
+    pos, other = pos[once], other[once]
+    fresh = np.concatenate([[True], ~same])[once]
+    starts = np.flatnonzero(fresh)
+    ends = np.append(starts[1:], len(pos))
+    begin = starts[np.cumsum(fresh) - 1]
+    n = np.arange(len(pos)) - begin
+    rises = fresh.copy()
+    rises[1:] |= (pos[1:] > pos[:-1]) & (other[1:] > other[:-1])
+    rises &= fresh | (k * n > GAP * (pos + other - pos[begin] - other[begin]))
+    straight = np.logical_and.reduceat(rises, starts)
+    for s, e, line in zip(starts.tolist(), ends.tolist(), straight.tolist(), strict=True):
+        if e - s > 1:
+            p, o = pos[s:e].tolist(), other[s:e].tolist()
+            if line:
+                yield int(place[s]), p, o
+            else:
+                for c in chains(p, o, k):
+                    yield int(place[s]), [p[i] for i in c], [o[i] for i in c]
+
+
 def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, like: float = LIKE) -> DataFrame:
     """(doc_id, text_key, start, end, other_id, other_start, other_end, likeness): passages, in words, that doc_id shares with an earlier document.
 
@@ -307,80 +519,129 @@ def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, li
     prepare(spark)
     rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-    def sow(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
+    def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, docs, size = _Hashes(), [], 0
         for x in batches:
-            parts = []
-            for d, t in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True):
+            for d, key, t in zip(*(x.column(i).to_pylist() for i in range(3)), strict=True):
                 w = words_of(t.lower())
                 if len(w) >= least * like:
-                    c = codes(w, known)
-                    h, at = seeds(c, k, every)
-                    parts.append((h, np.full(len(h), d, np.int64), at))
-                    x, _, at = halves_of(c.astype(np.uint32), least)
-                    parts.append((x[at], np.full(len(at), d, np.int64), -1 - at))
-            h, d, at = (np.concatenate([p[i] for p in parts]) if parts else np.empty(0, np.uint64) for i in range(3))
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(d.astype(np.int64)), pa.array(at.astype(np.int64))], names=["seed", "doc", "at"])
+                    docs.append((d, key, codes(w, known).astype(np.uint32)))
+                    size += len(w)
+                if size >= CHUNK:
+                    yield from _rows([(uuid.uuid4().hex, -1, size, Chunk.of(docs).head())]).to_batches()
+                    docs, size = [], 0
+        if docs:
+            yield from _rows([(uuid.uuid4().hex, -1, size, Chunk.of(docs).head())]).to_batches()
+        docs = []
         known.clear()
         give_back()
 
-    def pass_on(sieve, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            bit = np.asarray(x.column(0)).view(np.uint64) >> np.uint64(64 - SEED_BITS)
-            yield x.filter(pa.array(_passes(sieve.value, bit)))
-
     passing = shared_dir(spark)
-    # at: a seed's place, or -1 less the position of a half
-    sown = written(rows.mapInArrow(sow, "seed long, doc long, at long"), f"{passing}/sown")
-    shared = sown.groupBy("seed").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first <> last")
-    shared = written(shared.select("seed", "first"), f"{passing}/shared")
-    sieve = _sieve(shared.select(F.shiftrightunsigned("seed", 64 - SEED_BITS).alias("bit")), SEED_BITS)
-    held = written(sown.mapInArrow(partial(pass_on, sieve), sown.schema).join(shared.hint("merge"), "seed"), f"{passing}/held")
-    discard(spark, f"{passing}/sown")
-    pos, before, after = unpack("at")
-    seeds_of = held.where("at >= 0")
-    holders = written(seeds_of.where("doc = first").groupBy("seed").agg(F.sort_array(F.collect_list(pos)).alias("others")), f"{passing}/holders")
-    halves = written(held.where("at < 0").groupBy("doc").agg(F.collect_set("seed").alias("halves")))
-    matches = seeds_of.where("doc <> first").join(holders.hint("merge"), "seed")
-    last = F.size("others") - 1
-    ends = F.array_distinct(F.array(F.get("others", F.least(before, last)), F.get("others", F.greatest(last - after, F.lit(0)))))
-    matches = matches.select("doc", "first", pos.alias("pos"), F.explode(ends).alias("other"))
-    # neighbours among a document's shared seeds, as one seed
-    line = Window.partitionBy("doc").orderBy("pos", "seed")
-    twos = seeds_of.select("doc", "seed", "first", pos.alias("pos")).withColumns({c: F.lead(n).over(line) for c, n in (("seed_2", "seed"), ("first_2", "first"), ("pos_2", "pos"))})
-    twos = written(twos.where("seed_2 IS NOT NULL").select("doc", F.xxhash64("seed", "seed_2").alias("two"), "first", "first_2", "pos", "pos_2"), f"{passing}/twos")
-    have = twos.groupBy("two").agg(F.min(F.struct("doc", "pos", "pos_2")).alias("h"), F.max("doc").alias("last")).where("h.doc <> last").select("two", "h")
-    new = twos.join(have.hint("merge"), "two").where("doc <> h.doc AND (first <> h.doc OR first_2 <> h.doc)")
-    new = new.select("doc", F.col("h.doc").alias("first"), F.inline(F.array(F.struct("pos", F.col("h.pos").alias("other")), F.struct(F.col("pos_2").alias("pos"), F.col("h.pos_2").alias("other")))))
-    matches = matches.unionByName(new)
-    pairs = matches.groupBy("doc", "first").agg(F.collect_list(F.struct("pos", "other")).alias("at")).where(F.size("at") > 1)
-
-    def chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    chunks = written(rows.select("doc_id", F.xxhash64("text").alias("key"), "text").mapInArrow(encode, SENT), f"{passing}/chunks")
+    count, words = chunks.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    buckets, parts = min(words // BUCKET + 1, 1 << 31), int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def answered(sent: DataFrame) -> DataFrame:
+        return sent.repartition(max(parts, buckets // 2), "bucket").groupBy("bucket").applyInArrow(_answer, SENT)
+
+    def by_chunk(heads: DataFrame, told: DataFrame):
+        return heads.unionByName(told).repartition(max(parts, count // 2), "chunk").groupBy("chunk")
+
+    def send(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            out = []
-            for d, f, at in zip(*(x.column(i).to_pylist() for i in range(3)), strict=True):
-                at = sorted({(m["pos"], m["other"]) for m in at})  # ties fall alike in every run
-                pos, other = [p for p, _ in at], [o for _, o in at]
-                out += [(d, f, [pos[i] for i in c], [other[i] for i in c]) for c in chains(pos, other, k)]
-            ints = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), ints, ints))], names=["doc", "first", "pos", "other"])
+            for chunk, head in zip(x.column(0).to_pylist(), x.column(3).to_pylist(), strict=True):
+                c = Chunk.read(head)
+                c.sow(k, every, least)
+                yield from _rows(list(Sorted(c.keys_of).sent(chunk, c.ids[c.doc], c.pos, buckets))).to_batches()
+        give_back()
 
-    found = written(pairs.mapInArrow(chain, "doc long, first long, pos array<int>, other array<int>"))
-    discard(spark, passing)
+    def match(rows: pa.Table) -> pa.Table:
+        """Of a chunk: the matches of its seeds and the line of its shared seeds (bucket -1), its shared halves (-2), and seeds two in a row for the buckets."""
+        at = rows.column("bucket").to_pylist().index(-1)
+        chunk, c = rows.column("chunk")[at].as_py(), Chunk.read(rows.column("parts")[at].as_py())
+        c.sow(k, every, least)
+        s, (shared, first, n, begin, places) = Sorted(c.keys_of), _told(rows)
+        on = shared[s.run]
+        i, run = s.order[on], s.run[on]
+        half = i >= c.seeds
+        out = [(chunk, -2, int(half.sum()), [c.ids[c.doc[i[half]]].tobytes(), c.keys_of[i[half]].tobytes()])]
+        i, run = i[~half], run[~half]
+        doc, pos, holder = c.doc[i], c.pos[i], first[run]
+        # equal seeds of a document before and after each
+        fresh = np.ones(len(i), bool)
+        fresh[1:] = (run[1:] != run[:-1]) | (doc[1:] != doc[:-1])
+        starts, copy = np.flatnonzero(fresh), np.cumsum(fresh) - 1
+        before = np.arange(len(i)) - starts[copy]
+        after = np.append(starts[1:], len(i))[copy] - 1 - np.arange(len(i))
+        m = np.flatnonzero(c.ids[doc] != holder)
+        last, begin = n[run[m]] - 1, begin[run[m]]
+        others = places[begin + np.minimum(before[m], last)], places[begin + np.maximum(last - after[m], 0)]
+        two = m[others[0] != others[1]]
+        rows_of = np.concatenate([m, two])
+        matches = doc[rows_of], holder[rows_of].view(np.uint64), pos[rows_of], np.concatenate([others[0], others[1][others[0] != others[1]]])
+        line = np.lexsort((c.keys_of[i], pos, doc))
+        line = doc[line], holder[line].view(np.uint64), pos[line], c.keys_of[i][line]
+        out.append((chunk, -1, len(rows_of), [np.int64(len(i)).tobytes(), c.ids.tobytes(), *map(pack, matches), *map(pack, line)]))
+        i, x = _twos(line[0], line[3])
+        out += Sorted(x).sent(chunk, c.ids[line[0][i]], line[2][i] << 32 | line[2][i + 1], buckets)
+        give_back()
+        return _rows(out)
+
+    def chain(rows: pa.Table) -> pa.Table:
+        at = rows.column("bucket").to_pylist().index(-1)
+        n, head = rows.column("n")[at].as_py(), rows.column("parts")[at].as_py()
+        lines, ids = int.from_bytes(head[0], "little"), np.frombuffer(head[1], np.int64)
+        doc, holder, pos, other = (unpack(p, n).view(np.int64) for p in head[2:6])
+        line, held, place, seed = (unpack(p, lines).view(np.int64) for p in head[6:])
+        i, x = _twos(line, seed.view(np.uint64))
+        s, (shared, first, _, begin, places) = Sorted(x), _told(rows)
+        on = shared[s.run]
+        i, run = i[s.order[on]], s.run[on]
+        new = (ids[line[i]] != first[run]) & ((held[i] != first[run]) | (held[i + 1] != first[run]))
+        i, run = i[new], run[new]
+        there = places[begin[run]].view(np.int64)
+        doc, holder = np.concatenate([doc, line[i], line[i]]), np.concatenate([holder, first[run], first[run]])
+        pos, other = np.concatenate([pos, place[i], place[i + 1]]), np.concatenate([other, there >> 32, there & 0xFFFFFFFF])
+        order = np.lexsort((other, pos, holder, doc))
+        doc, holder, pos, other = (x[order] for x in (doc, holder, pos, other))
+        out = list(_chained(doc, holder, pos, other, k))
+        give_back()
+        ints = pa.list_(pa.int32())
+        return pa.table([pa.array(ids[doc[[o[0] for o in out]]]), pa.array(holder[[o[0] for o in out]]), pa.array([o[1] for o in out], ints), pa.array([o[2] for o in out], ints)], names=["doc", "first", "pos", "other"])
+
+    def halved(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            for docs, halves in x.column(3).to_pylist():
+                docs, halves = np.frombuffer(docs, np.int64), np.frombuffer(halves, np.int64)
+                order = np.lexsort((halves, docs))
+                size = len(docs)
+                docs, starts = np.unique(docs[order], return_index=True)
+                lists = pa.ListArray.from_arrays(np.append(starts, size).astype(np.int32), halves[order])
+                yield pa.RecordBatch.from_arrays([pa.array(docs), lists], names=["doc", "halves"])
+
+    told = written(answered(chunks.mapInArrow(send, SENT)), f"{passing}/told")
+    matched = written(by_chunk(chunks, told).applyInArrow(match, SENT), f"{passing}/matched")
+    discard(spark, f"{passing}/told")
+    halves = written(matched.where("bucket = -2").mapInArrow(halved, "doc long, halves array<long>"))
+    told = written(answered(matched.where("bucket >= 0")), f"{passing}/told_twos")
+    found = by_chunk(matched.where("bucket = -1"), told)
+    found = written(found.applyInArrow(chain, "doc long, first long, pos array<int>, other array<int>"))
     needed = found.select(F.explode(F.array("doc", "first")).alias("d")).union(halves.select("doc")).select(F.shiftrightunsigned(F.xxhash64("d"), 64 - FILTER_BITS).alias("bit"))
     needed = _sieve(needed, FILTER_BITS)
 
-    def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
+    def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            keep = np.flatnonzero(_passes(needed.value, np.asarray(x.column(3), np.int64))).tolist()
-            out = [(x.column(0)[i].as_py(), x.column(1)[i].as_py(), codes(words_of(x.column(2)[i].as_py().lower()), known).astype(np.uint32).tobytes()) for i in keep]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["id", "key", "codes"])
-        known.clear()
+            for head in x.column(3).to_pylist():
+                c = Chunk.read(head)
+                ends = np.cumsum(c.sizes)
+                bit = np.array([xxh64_intdigest(d.tobytes(), 42) >> (64 - FILTER_BITS) for d in c.ids], np.int64)  # Spark's xxhash64
+                keep = np.flatnonzero(_passes(needed.value, bit))
+                texts = [c.codes[ends[i] - c.sizes[i] : ends[i]].tobytes() for i in keep.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(c.ids[keep]), pa.array(c.keys[keep]), pa.array(texts, pa.binary())], names=["id", "key", "codes"])
         give_back()
 
-    coded = rows.select("doc_id", F.xxhash64("text").alias("key"), "text", F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - FILTER_BITS).alias("bit")).mapInArrow(encode, "id long, key long, codes binary")
-    codes_of = written(coded)
+    codes_of = written(chunks.mapInArrow(split, "id long, key long, codes binary"))
+    discard(spark, passing)
 
     def aligned(chosen: DataFrame, margin: int | None) -> DataFrame:
         """Passages of chains (doc, first, pos, other); with a margin, chains that reach a cut come back with doc_id null and their pos and other."""
@@ -394,7 +655,7 @@ def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, li
 
     def compare(again: bool, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            out = []
+            out, of, tried = [], [], []
             names = ("doc", "text_key", "first", "pos", "other", "low", "a", "before", "behind_a", "other_low", "b", "before_b", "behind_b")
             for d, key, f, pos, other, base, a, cut, cut_end, low, b, cut_b, cut_b_end in zip(*(x.column(c).to_pylist() for c in names), strict=True):
                 a, b = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
@@ -403,9 +664,11 @@ def find(docs: DataFrame, k: int = K, every: int = EVERY, least: int = LEAST, li
                     continue  # the match is of another row with this doc_id
                 if (a[np.add.outer(p, np.arange(k))] != b[np.add.outer(o, np.arange(k))]).any():
                     continue  # so is this one
-                if np.isin(a, b).sum() < enough:
+                if sum(map(set(b.tolist()).__contains__, a.tolist())) < enough:
                     continue  # no passage here, however the words are ordered
-                found = align(a, b, p.tolist(), o.tolist(), least, like, k, (cut, cut_end, cut_b, cut_b_end) if again else (False,) * 4)
+                of.append((d, key, f, pos, other, base, low, p, o))
+                tried.append((a, b, p.tolist(), o.tolist(), (cut, cut_end, cut_b, cut_b_end) if again else (False,) * 4))
+            for (d, key, f, pos, other, base, low, p, o), (a, b, *_), found in zip(of, tried, align_all(tried, least, like, k), strict=True):
                 if found is None:
                     out.append((None,) * 9 + (d, f, pos, other))
                 elif found:
